@@ -1,0 +1,2 @@
+"""Deliberately empty: every operator in scope reads finite tables, so there is no
+stream to rebuild. Batch operators live in :mod:`orevein.operators`."""
