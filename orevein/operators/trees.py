@@ -11,8 +11,6 @@ gini, label)``; ``node`` is the path from the root ``T`` (``TL``, ``TLR``, ...).
 
 from __future__ import annotations
 
-from functools import reduce as reduce_columns
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -36,15 +34,21 @@ def _class_names(classes: int) -> list[str]:
     return [f"c{c}" for c in range(classes)]
 
 
-def _class_counts(classes: int, weight: str = "m") -> list[Column]:
-    return [F.sum(F.when(F.col("label") == c, F.col(weight)).otherwise(0)).alias(f"c{c}") for c in range(classes)]
+def _class_counts(classes: int) -> list[Column]:
+    return [F.expr(f"sum(CASE WHEN label = {c} THEN m ELSE 0 END) AS c{c}") for c in range(classes)]
 
 
 def single_tree(rows: DataFrame) -> DataFrame:
-    """Rows ``(row_id, label, features)`` as the input of one tree."""
-    return rows.select(
-        F.lit(0).alias("tree"), "row_id", "label", "features", F.lit(1).cast("bigint").alias("m")
-    )
+    """Rows ``(row_id, label, features)`` as the input of one tree.
+
+    The tree number is taken per row: with a constant as join key the lookups of nodes
+    would be planned as nested loops.
+    """
+    return rows.select(_per_row(0).alias("tree"), "row_id", "label", "features", F.lit(1).cast("bigint").alias("m"))
+
+
+def _per_row(value: int | str) -> Column:
+    return F.when(F.col("row_id").isNotNull(), F.lit(value))
 
 
 def long_features(rows: DataFrame) -> DataFrame:
@@ -77,28 +81,22 @@ def apply_columns(rows: DataFrame, kept: list[int]) -> DataFrame:
 # ------------------------------------------------------------------------ node status
 
 
-def _hist_total(hist: Column) -> Column:
-    return F.aggregate(hist, F.lit(0).cast("bigint"), lambda acc, x: acc + x)
-
-
 def node_status(nodes: DataFrame, minfreq: int, width: int | None = None, max_depth: int | None = None) -> DataFrame:
     """Add ``n, pure, label, stop`` from the class histogram ``hist`` of each node.
 
     The label is the majority class, the lowest one on a tie. A node stops if it has
     fewer than ``minfreq`` rows, one class, or no attribute left.
     """
-    hist = F.col("hist")
-    out = (
-        nodes.withColumn("n", _hist_total(hist))
-        .withColumn("pure", F.array_max(hist) == F.col("n"))
-        .withColumn("label", (F.array_position(hist, F.array_max(hist)) - 1).cast("int"))
-    )
-    stop = (F.col("n") < minfreq) | F.col("pure")
+    stop = f"n < {minfreq} OR pure"
     if width is not None:
-        stop = stop | (F.size("used") >= width)
+        stop += f" OR size(used) >= {width}"
     if max_depth is not None:
-        stop = stop | (F.col("depth") >= max_depth)
-    return out.withColumn("stop", stop)
+        stop += f" OR depth >= {max_depth}"
+    return (
+        nodes.selectExpr("*", "aggregate(hist, 0L, (total, x) -> total + x) AS n")
+        .selectExpr("*", "array_max(hist) = n AS pure", "CAST(array_position(hist, array_max(hist)) - 1 AS INT) AS label")
+        .selectExpr("*", f"{stop} AS stop")
+    )
 
 
 def node_histograms(rows: DataFrame, classes: int = CLASSES) -> DataFrame:
@@ -146,85 +144,81 @@ def value_counts(rows: DataFrame, classes: int = CLASSES) -> DataFrame:
     Equal values collapse before the shuffle, so a value that holds a large share of
     all rows costs one record per task.
     """
-    cell = F.posexplode("features").alias("a", "v")
-    cells = rows.select(*NODE_KEY, "label", "m", "used", "ranges", cell)
-    cells = cells.filter(~F.array_contains("used", F.col("a")))
-    part = F.coalesce(F.get("ranges", F.col("a")), F.lit(0)).alias("part")
+    cells = rows.selectExpr(*NODE_KEY, "label", "m", "used", "ranges", "posexplode(features) AS (a, v)")
+    cells = cells.filter("NOT array_contains(used, a)")
     return (
-        cells.select(*NODE_KEY, "label", "m", "a", part, "v")
+        cells.selectExpr(*NODE_KEY, "label", "m", "a", "coalesce(get(ranges, a), 0) AS part", "v")
         .groupBy(*NODE_KEY, "a", "part", "v").agg(*_class_counts(classes))
     )
 
 
 def running_counts(counts: DataFrame, classes: int = CLASSES, ranged: bool = False) -> DataFrame:
-    """Turn class counts into counts of the rows with a smaller value: ``l0, l1, ...``.
+    """Class counts on both sides of every value: ``l0, l1, ...`` smaller, ``r0, r1, ...`` the rest.
 
     A window scans the values of one range. With several ranges, the class totals of the
     ranges before it are added; those totals are one row per (node, attribute, range).
     """
-    names = _class_names(classes)
-    inside = (
-        Window.partitionBy(*NODE_KEY, "a", "part").orderBy("v")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    before = [F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(f"l{c[1:]}") for c in names]
-    scanned = counts.select(*NODE_KEY, "a", "part", "v", *names, *before)
+    labels = range(classes)
+    smaller = "ORDER BY {} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    whole = "ORDER BY {} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
+    scan = "PARTITION BY tree, node, a, part " + smaller.format("v")
+    inside = [f"coalesce(sum(c{c}) OVER ({scan}), 0) AS i{c}" for c in labels]
     if not ranged:
-        return scanned
-    totals = counts.groupBy(*NODE_KEY, "a", "part").agg(*[F.sum(c).alias(c) for c in names])
-    earlier = Window.partitionBy(*NODE_KEY, "a").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *NODE_KEY, "a", "part", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"o{c[1:]}") for c in names]
-    )
-    return scanned.join(offsets, [*NODE_KEY, "a", "part"]).select(
-        *NODE_KEY, "a", "part", "v", *names,
-        *[(F.col(f"l{c[1:]}") + F.col(f"o{c[1:]}")).alias(f"l{c[1:]}") for c in names],
+        scan = "PARTITION BY tree, node, a, part " + whole.format("v")
+        placed = counts.selectExpr(
+            *NODE_KEY, "a", "v", *inside, *[f"sum(c{c}) OVER ({scan}) AS t{c}" for c in labels], *[f"0 AS o{c}" for c in labels]
+        )
+    else:
+        totals = counts.groupBy(*NODE_KEY, "a", "part").agg(*[F.sum(f"c{c}").alias(f"c{c}") for c in labels])
+        ranges = "PARTITION BY tree, node, a "
+        offsets = totals.selectExpr(
+            *NODE_KEY, "a", "part",
+            *[f"coalesce(sum(c{c}) OVER ({ranges + smaller.format('part')}), 0) AS o{c}" for c in labels],
+            *[f"sum(c{c}) OVER ({ranges + whole.format('part')}) AS t{c}" for c in labels],
+        )
+        placed = counts.selectExpr(*NODE_KEY, "a", "part", "v", *inside).join(offsets, [*NODE_KEY, "a", "part"])
+    return placed.selectExpr(
+        *NODE_KEY, "a", "v", *[f"i{c} + o{c} AS l{c}" for c in labels], *[f"t{c} - i{c} - o{c} AS r{c}" for c in labels]
     )
 
 
-def _plus(columns: list[Column]) -> Column:
-    return reduce_columns(Column.__add__, columns)
-
-
-def _squares(columns: list[Column]) -> Column:
-    """Sum of squares as doubles: exact in any practical size and free of overflow."""
-    return _plus([c.cast("double") * c.cast("double") for c in columns])
-
-
-def split_candidates(running: DataFrame, nodes: DataFrame, classes: int = CLASSES) -> DataFrame:
+def split_candidates(running: DataFrame, classes: int = CLASSES) -> DataFrame:
     """``(tree, node, a, v, gini, lh, rh)`` for every boundary between two values.
 
     ``v`` is the value right of the boundary; ``lh`` and ``rh`` are the class counts of
     both sides, which are the histograms of the children. ``gini`` is the impurity of
-    both sides weighted by their size.
+    both sides weighted by their size. Counts are squared as doubles: exact in any
+    practical size and free of overflow.
     """
-    left = [F.col(f"l{c}") for c in range(classes)]
-    right = [F.col(f"r{c}") for c in range(classes)]
-    hist = [(F.get("hist", F.lit(c)) - left[c]).alias(f"r{c}") for c in range(classes)]
-    nl, sl, nr, sr = (F.col(c) for c in ("nl", "sl", "nr", "sr"))
-    gini = ((nl - sl / nl) + (nr - sr / nr)) / (nl + nr)
-    return (
-        running.join(nodes.select(*NODE_KEY, "hist"), NODE_KEY)
-        .select(*NODE_KEY, "a", "v", *left, *hist)
-        .select(
-            *NODE_KEY, "a", "v", F.array(*left).alias("lh"), F.array(*right).alias("rh"),
-            _plus(left).cast("double").alias("nl"), _squares(left).alias("sl"),
-            _plus(right).cast("double").alias("nr"), _squares(right).alias("sr"),
+    def side(name):
+        columns = [f"{name}{c}" for c in range(classes)]
+        return (
+            f"array({', '.join(columns)}) AS {name}h",
+            f"CAST({' + '.join(columns)} AS DOUBLE) AS n{name}",
+            f"{' + '.join(f'CAST({c} AS DOUBLE) * {c}' for c in columns)} AS s{name}",
         )
-        .filter(nl > 0)
-        .select(*NODE_KEY, "a", "v", gini.alias("gini"), "lh", "rh")
+
+    gini = "((nl - sl / nl) + (nr - sr / nr)) / (nl + nr) AS gini"
+    return (
+        running.selectExpr(*NODE_KEY, "a", "v", *side("l"), *side("r"))
+        .filter("nl > 0")
+        .selectExpr(*NODE_KEY, "a", "v", gini, "lh", "rh")
     )
 
 
 def best_splits(candidates: DataFrame) -> DataFrame:
     """Per node the candidate with the least impurity; ties: lowest attribute, then value."""
-    best = F.min(F.struct("gini", "a", F.col("v").alias("split"), "lh", "rh")).alias("best")
+    best = F.expr("min(struct(gini, a, v AS split, lh, rh)) AS best")
     return candidates.groupBy(*NODE_KEY).agg(best).select(*NODE_KEY, "best.*")
 
 
-def find_splits(rows: DataFrame, nodes: DataFrame, classes: int = CLASSES, ranged: bool = False) -> DataFrame:
-    running = running_counts(value_counts(rows, classes), classes, ranged)
-    return best_splits(split_candidates(running, nodes, classes))
+def at_root(rows: DataFrame) -> DataFrame:
+    """Put every row at the root, with all attributes free."""
+    return rows.withColumn("node", _per_row(ROOT)).withColumn("used", F.array().cast("array<int>"))
+
+
+def find_splits(rows: DataFrame, classes: int = CLASSES, ranged: bool = False) -> DataFrame:
+    return best_splits(split_candidates(running_counts(value_counts(rows, classes), classes, ranged), classes))
 
 
 def branch(rows: DataFrame, splits: DataFrame) -> DataFrame:
@@ -232,12 +226,11 @@ def branch(rows: DataFrame, splits: DataFrame) -> DataFrame:
 
     Rows of nodes without a split drop out. ``splits`` is a small table with known size.
     """
-    value = F.get("features", F.col("a"))
-    child = F.concat("node", F.when(value < F.col("split"), F.lit("L")).otherwise(F.lit("R")))
+    child = "concat(node, CASE WHEN get(features, a) < split THEN 'L' ELSE 'R' END) AS node"
     columns = [c for c in rows.columns if c not in ("node", "used")]
     return (
         rows.drop("used").join(splits.select(*NODE_KEY, "a", "split", "used_next"), NODE_KEY)
-        .select(*columns, child.alias("node"), F.col("used_next").alias("used"))
+        .selectExpr(*columns, child, "used_next AS used")
     )
 
 
@@ -276,14 +269,9 @@ MODEL_COLUMNS = ["tree", "node", "depth", "is_leaf", "a", "split", "gini", "labe
 
 
 def _children(level: DataFrame) -> DataFrame:
-    split = level.filter(~F.col("is_leaf"))
-    child = lambda side, hist: F.struct(
-        F.concat("node", F.lit(side)).alias("node"), (F.col("depth") + 1).alias("depth"),
-        F.col(hist).alias("hist"), F.col("used_next").alias("used"),
-    )
-    return split.select("tree", F.inline(F.array(child("L", "lh"), child("R", "rh")))).select(
-        "tree", "node", "depth", "hist", "used"
-    )
+    child = "struct(concat(node, '{0}') AS node, depth + 1 AS depth, {1} AS hist, used_next AS used)"
+    both = f"inline(array({child.format('L', 'lh')}, {child.format('R', 'rh')}))"
+    return level.filter("NOT is_leaf").selectExpr("tree", both)
 
 
 def fit(
@@ -307,13 +295,10 @@ def fit(
     rows = rows.join(active.select("tree", "node", "used"), "tree")
     path, depth = scratch_path(spark, "tree"), 0
     while True:
-        best = find_splits(rows, active, classes, ranged=cuts is not None)
-        found = nodes.join(best, NODE_KEY, "left")
-        is_leaf = F.col("split").isNull()
-        level = found.select(
-            *NODE_KEY, "depth", "n", "hist", "used", is_leaf.alias("is_leaf"), "a", "split", "gini",
-            F.when(is_leaf, F.col("label")).alias("label"), "lh", "rh",
-            F.array_append("used", F.col("a")).alias("used_next"),
+        best = find_splits(rows, classes, ranged=cuts is not None)
+        level = nodes.join(best, NODE_KEY, "left").selectExpr(
+            *NODE_KEY, "depth", "n", "hist", "used", "split IS NULL AS is_leaf", "a", "split", "gini",
+            "CASE WHEN split IS NULL THEN label END AS label", "lh", "rh", "array_append(used, a) AS used_next",
         )
         level.drop("depth").write.parquet(f"{path}/depth={depth}")
         level = _read_level(spark, path, depth)
@@ -325,14 +310,12 @@ def fit(
         depth += 1
         if depth % REWRITE_LEVELS == 0:
             rows = materialize(rows, "rows")
-    if not nodes.isEmpty():  # the last level holds leaves only
-        none = lambda kind: F.lit(None).cast(kind)
-        nodes.select(
-            *NODE_KEY, "n", "hist", "used", F.lit(True).alias("is_leaf"), none("int").alias("a"),
-            none("double").alias("split"), none("double").alias("gini"), "label",
-            none("array<bigint>").alias("lh"), none("array<bigint>").alias("rh"),
-            none("array<int>").alias("used_next"),
-        ).write.parquet(f"{path}/depth={depth + 1}")
+    # What is left on the last level are leaves without a split.
+    nodes.selectExpr(
+        *NODE_KEY, "n", "hist", "used", "true AS is_leaf", "CAST(NULL AS INT) AS a", "CAST(NULL AS DOUBLE) AS split",
+        "CAST(NULL AS DOUBLE) AS gini", "label", "CAST(NULL AS ARRAY<BIGINT>) AS lh",
+        "CAST(NULL AS ARRAY<BIGINT>) AS rh", "CAST(NULL AS ARRAY<INT>) AS used_next",
+    ).write.parquet(f"{path}/depth={depth + 1}")
     return spark.read.schema(_LEVEL_SCHEMA).parquet(path).select(*MODEL_COLUMNS)
 
 
@@ -354,15 +337,11 @@ def predict(model: DataFrame, rows: DataFrame) -> DataFrame:
     walk = rows.select(
         "tree", "row_id", "label", "features", F.lit(ROOT).alias("node"), F.lit(None).cast("int").alias("pred")
     )
-    value = F.get("features", F.col("a"))
+    turn = "CASE WHEN get(features, a) < split THEN 'L' WHEN split IS NOT NULL THEN 'R' ELSE '' END"
     for depth in range(deepest + 1):
-        step = model.filter(F.col("depth") == depth).select(
-            *NODE_KEY, "a", "split", F.col("label").alias("leaf_label")
-        )
-        turn = F.when(value < F.col("split"), F.lit("L")).when(F.col("split").isNotNull(), F.lit("R")).otherwise(F.lit(""))
-        walk = walk.join(step, NODE_KEY, "left").select(
-            "tree", "row_id", "label", "features", F.concat("node", turn).alias("node"),
-            F.coalesce("pred", "leaf_label").alias("pred"),
+        step = model.filter(F.col("depth") == depth).selectExpr(*NODE_KEY, "a", "split", "label AS leaf_label")
+        walk = walk.join(step, NODE_KEY, "left").selectExpr(
+            "tree", "row_id", "label", "features", f"concat(node, {turn}) AS node", "coalesce(pred, leaf_label) AS pred"
         )
         if depth % 8 == 7 and depth < deepest:
             walk = materialize(walk, "walk")
