@@ -16,7 +16,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from orevein.functions.hashing import mix
 from orevein.operators import vectors as V
@@ -30,8 +30,6 @@ SCORE_DIGITS = 9  # similarities are compared at this precision, ties go to the
 
 def seeds(vectors: DataFrame, k: int, trials: int = 1) -> DataFrame:
     """``(trial, k, id)``: per trial the ``k`` documents that come first in hash order."""
-    from pyspark.sql import Window
-
     order = Window.partitionBy("trial").orderBy(mix(F.col("id"), F.col("trial")), "id")
     # The rank filter is pushed below the shuffle, so each task ships at most k rows a trial.
     return (
@@ -47,30 +45,27 @@ def centroid(t: int, j: int) -> str:
     return f"c_{t}_{j}"
 
 
+def _sums(member: str, keys: list[tuple[int, int]]) -> list[Column]:
+    """One conditional sum of weights per (trial, cluster)."""
+    return [F.expr(f"sum(CASE WHEN {member.format(t=t, j=j)} THEN w ELSE 0D END) AS {centroid(t, j)}") for t, j in keys]
+
+
 def seed_centroids(vectors: DataFrame, seed: DataFrame, k: int, trials: range) -> DataFrame:
     """Wide centroids ``(dim, c_t_j ...)`` that equal the seed documents."""
-    pick = lambda t, j: F.when((F.col("trial") == t) & (F.col("k") == j), F.col("w")).otherwise(0.0)
-    return (
-        vectors.join(seed, "id").groupBy("dim")
-        .agg(*[F.sum(pick(t, j)).alias(centroid(t, j)) for t in trials for j in range(k)])
-    )
+    keys = [(t, j) for t in trials for j in range(k)]
+    return vectors.join(seed, "id").groupBy("dim").agg(*_sums("trial = {t} AND k = {j}", keys))
 
 
 def composites(vectors: DataFrame, assigned: DataFrame, k: int, trials: list[int]) -> DataFrame:
     """Wide sums of the member vectors; a hot dimension is combined before the shuffle."""
-    pick = lambda t, j: F.when(F.col(f"k_{t}") == j, F.col("w")).otherwise(0.0)
-    return (
-        vectors.join(assigned, "id").groupBy("dim")
-        .agg(*[F.sum(pick(t, j)).alias(centroid(t, j)) for t in trials for j in range(k)])
-    )
+    keys = [(t, j) for t in trials for j in range(k)]
+    return vectors.join(assigned, "id").groupBy("dim").agg(*_sums("k_{t} = {j}", keys))
 
 
 def cluster_sizes(assigned: DataFrame, k: int, trials: list[int]) -> dict[tuple[int, int], int]:
-    counts = [
-        F.count_if(F.col(f"k_{t}") == j).alias(centroid(t, j)) for t in trials for j in range(k)
-    ]
-    row = assigned.agg(*counts).first()
-    return {(t, j): row[centroid(t, j)] for t in trials for j in range(k)}
+    keys = [(t, j) for t in trials for j in range(k)]
+    row = assigned.agg(*[F.expr(f"count_if(k_{t} = {j}) AS {centroid(t, j)}") for t, j in keys]).first()
+    return {(t, j): row[centroid(t, j)] for t, j in keys}
 
 
 @dataclass
@@ -92,10 +87,10 @@ def cluster_stats(
     """One row of scalars over the centroid table."""
     sums = []
     for t, j in sizes:
-        c = F.col(centroid(t, j))
-        sums.append(F.sum(c * c).alias(f"q_{t}_{j}"))
+        c = centroid(t, j)
+        sums.append(F.expr(f"sum({c} * {c}) AS q_{t}_{j}"))
         if corpus is not None:
-            sums.append(F.sum(c * F.col("total_w")).alias(f"s_{t}_{j}"))
+            sums.append(F.expr(f"sum({c} * total_w) AS s_{t}_{j}"))
     row = (wide if corpus is None else _with_total(wide, corpus)).agg(*sums).first().asDict()
     return {
         (t, j): Stats(n, row[f"q_{t}_{j}"] or 0.0, row.get(f"s_{t}_{j}") or 0.0)
@@ -113,47 +108,48 @@ def dots(vectors: DataFrame, wide: DataFrame, keys: list[tuple[int, int]], corpu
     Documents that share no dimension with a centroid score 0.
     """
     table = wide if corpus is None else _with_total(wide, corpus)
-    products = [
-        F.sum(F.col("w") * F.coalesce(F.col(centroid(t, j)), F.lit(0.0))).alias(f"p_{t}_{j}") for t, j in keys
-    ]
+    products = [F.expr(f"sum(w * coalesce({centroid(t, j)}, 0D)) AS p_{t}_{j}") for t, j in keys]
     if corpus is not None:
-        products.append(F.sum(F.col("w") * F.coalesce(F.col("total_w"), F.lit(0.0))).alias("p_total"))
+        products.append(F.expr("sum(w * coalesce(total_w, 0D)) AS p_total"))
     return vectors.join(table, "dim", "left").groupBy("id").agg(*products)
 
 
-def cosine(p: Column, s: Stats) -> Column:
+# Scores are SQL text: ``p`` is the document's dot product with the composite of a cluster.
+
+
+def cosine(p: str, s: Stats) -> str:
     """Cosine of a unit document and a centroid, 0 for an empty centroid."""
-    return p / F.lit(s.norm) if s.norm > 0 else F.lit(0.0)
+    return f"{p} / {s.norm!r}D" if s.norm > 0 else "0D"
 
 
-def squared_distance(p: Column, s: Stats) -> Column:
+def squared_distance(p: str, s: Stats) -> str:
     """Squared distance of a unit document and the cluster mean."""
-    return 1 - 2 * p / F.lit(float(s.n)) + F.lit(s.norm2 / s.n**2)
+    return f"1D - 2D * {p} / {float(s.n)!r}D + {s.norm2 / s.n**2!r}D"
 
 
-def l2_similarity(p: Column, s: Stats) -> Column:
-    return -F.sqrt(F.greatest(squared_distance(p, s), F.lit(0.0)))
+def l2_similarity(p: str, s: Stats) -> str:
+    return f"-sqrt(greatest({squared_distance(p, s)}, 0D))"
 
 
-def separation(p: Column, p_total: Column, s: Stats, inside: Column) -> Column:
+def separation(p: str, p_total: str, s: Stats, inside: str) -> str:
     """Change of the E1 objective when the document joins the cluster (or stays in it)."""
-    n, norm2, dot = F.lit(float(s.n)), F.lit(s.norm2), F.lit(s.dot_total)
-    now = n * dot / F.sqrt(norm2) if s.norm2 > 0 else F.lit(0.0)
-    joined = F.sqrt(norm2 + 2 * p + 1)
-    add = F.when(joined > 0, (n + 1) * (dot + p_total) / joined).otherwise(0.0) - now
-    left = F.sqrt(F.greatest(norm2 - 2 * p + 1, F.lit(0.0)))
-    without = F.when(left > 0, (n - 1) * (dot - p_total) / left).otherwise(0.0) if s.n > 1 else F.lit(0.0)
-    return F.when(inside, now - without).otherwise(add)
+    n, norm2, dot = f"{float(s.n)!r}D", f"{s.norm2!r}D", f"({s.dot_total!r}D)"
+    now = f"{s.n * s.dot_total / s.norm!r}D" if s.norm2 > 0 else "0D"
+    joined = f"sqrt({norm2} + 2D * {p} + 1D)"
+    add = f"coalesce(({n} + 1D) * ({dot} + {p_total}) / nullif({joined}, 0D), 0D) - ({now})"
+    left = f"sqrt(greatest({norm2} - 2D * {p} + 1D, 0D))"
+    without = f"coalesce(({n} - 1D) * ({dot} - {p_total}) / nullif({left}, 0D), 0D)" if s.n > 1 else "0D"
+    return f"CASE WHEN {inside} THEN ({now}) - {without} ELSE {add} END"
 
 
-def _cost(criterion: str, t: int, j: int, s: Stats, placed: bool) -> Column:
-    p = F.col(f"p_{t}_{j}")
+def _cost(criterion: str, t: int, j: int, s: Stats, placed: bool) -> str:
+    p = f"p_{t}_{j}"
     if criterion == "SSE":
         return squared_distance(p, s)
     if criterion == "I2":
-        return -cosine(p, s)
-    inside = F.coalesce(F.col(f"k_{t}") == j, F.lit(False)) if placed else F.lit(False)
-    return separation(p, F.col("p_total"), s, inside)
+        return f"-({cosine(p, s)})"
+    inside = f"k_{t} <=> {j}" if placed else "false"
+    return separation(p, "p_total", s, inside)
 
 
 def assign(
@@ -172,12 +168,12 @@ def assign(
         kept = [c for c in previous.columns if c != "id" and c not in {f"k_{t}" for t, _ in stats}]
     best = []
     for t in sorted({t for t, _ in stats}):
-        costs = [
-            F.struct(F.round(_cost(criterion, u, j, s, previous is not None), SCORE_DIGITS).alias("cost"), F.lit(j).alias("k"))
+        costs = ", ".join(
+            f"struct(round({_cost(criterion, u, j, s, previous is not None)}, {SCORE_DIGITS}) AS cost, {j} AS k)"
             for (u, j), s in stats.items() if u == t
-        ]
-        best.append(F.array_min(F.array(*costs))["k"].alias(f"k_{t}"))
-    return scored.select("id", *kept, *best)
+        )
+        best.append(f"array_min(array({costs})).k AS k_{t}")
+    return scored.selectExpr("id", *kept, *best)
 
 
 def objective(criterion: str, stats: dict[int, Stats], n_docs: int) -> float:
@@ -204,12 +200,12 @@ def centroid_shift(
     both = new.select("dim", *names).join(before, "dim", "full").na.fill(0.0)
     sums = []
     for (t, j), s in new_stats.items():
-        b, a = F.col(f"old_{centroid(t, j)}"), F.col(centroid(t, j))
+        c = centroid(t, j)
         if criterion == "SSE":
-            change = a / F.lit(float(s.n)) - b / F.lit(float(old_stats[t, j].n))
-            sums.append(F.sum(change * change).alias(centroid(t, j)))
+            change = f"({c} / {float(s.n)!r}D - old_{c} / {float(old_stats[t, j].n)!r}D)"
+            sums.append(F.expr(f"sum({change} * {change}) AS {c}"))
         else:
-            sums.append(F.sum(a * b).alias(centroid(t, j)))
+            sums.append(F.expr(f"sum({c} * old_{c}) AS {c}"))
     row = both.agg(*sums).first()
     changes: dict[int, list[float]] = {}
     for (t, j), s in new_stats.items():

@@ -38,8 +38,8 @@ def _first_pass(spark, sf, criterion="I2") -> K.Batch:
 def _per_cluster(state: K.Batch, value) -> DataFrame:
     """Long ``(vec_id, k, value)`` of one score per cluster."""
     scores = K.dots(state.vectors, state.wide, list(state.stats))
-    values = F.array(*[F.round(value(F.col(f"p_{t}_{j}"), s), 6) for (t, j), s in state.stats.items()])
-    return scores.select(F.col("id").alias("vec_id"), F.posexplode(values).alias("k", "value"))
+    values = ", ".join(f"round({value(f'p_{t}_{j}', s)}, 6)" for (t, j), s in state.stats.items())
+    return scores.selectExpr("id AS vec_id", f"posexplode(array({values})) AS (k, value)")
 
 
 def _long(state: K.Batch, mean: bool) -> DataFrame:
@@ -47,13 +47,11 @@ def _long(state: K.Batch, mean: bool) -> DataFrame:
     cells = []
     for (t, j), s in state.stats.items():
         scale = float(s.n) if mean else 1.0
-        cells.append(F.struct(
-            F.lit(j).alias("k"),
-            F.round(F.col(K.centroid(t, j)) / F.lit(scale), 6).alias("w"),
-            F.lit(s.n).cast("bigint").alias("n"),
-            F.round(F.lit(s.norm / scale), 6).alias("norm"),
-        ))
-    return state.wide.select("dim", F.inline(F.array(*cells))).select("k", "dim", "w", "n", "norm")
+        cells.append(
+            f"struct({j} AS k, round({K.centroid(t, j)} / {scale!r}D, 6) AS w, {s.n}L AS n, "
+            f"round({s.norm / scale!r}D, 6) AS norm)"
+        )
+    return state.wide.selectExpr("dim", f"inline(array({', '.join(cells)}))").select("k", "dim", "w", "n", "norm")
 
 
 def _assignment(df: DataFrame) -> DataFrame:
