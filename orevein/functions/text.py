@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Named character references and the character each stands for.
@@ -44,12 +42,16 @@ def strip_markup(html: Column) -> Column:
 def clean(text: Column) -> Column:
     """Drop non-ASCII characters (neighbours close up), blank out the rest, lower-case."""
     ascii_only = F.regexp_replace(text, r"[^\x00-\x7F]+", "")
-    return F.lower(F.regexp_replace(ascii_only, r"[^A-Za-z0-9]+", " "))
+    return F.lower(F.regexp_replace(ascii_only, r"\P{Alnum}+", " "))
+
+
+def words(text: Column) -> Column:
+    """Array of the cleaned words of ``text``; :data:`IS_TOKEN` tells which ones count."""
+    return F.split(clean(text), " ")
 
 
-def tokens(text: Column) -> Column:
-    """Array of the cleaned words of ``text`` that are not all digits."""
-    return F.filter(F.split(clean(text), " "), lambda t: (t != "") & ~t.rlike("^[0-9]+$"))
+# Cleaned words hold letters and digits only: a letter means not empty and not all digits.
+IS_TOKEN = "token RLIKE '[a-z]'"
 
 
 # ------------------------------------------------------------------------- stemming
@@ -91,77 +93,67 @@ STEP_4 = (
 )
 
 
-def _literal_map(pairs: dict[str, str]) -> Column:
-    return F.create_map(*[F.lit(x) for x in chain.from_iterable(pairs.items())])
-
-
-def _steps():
-    """The steps in order; each maps the word column ``w`` to its next form."""
-    w = F.col("w")
-
-    def base(n):  # the word without its last n letters
-        return F.substring(w, F.lit(1), F.length(w) - n)
-
-    def swap(pairs):  # longest listed suffix, replaced if the measure before it is over 0
-        pattern = f"^(.*?)({'|'.join(pairs)})$"
-        head, suffix = F.regexp_extract(w, pattern, 1), F.regexp_extract(w, pattern, 2)
-        return F.when(
-            (suffix != "") & head.rlike(MEASURE_OVER_0), F.concat(head, F.element_at(_literal_map(pairs), suffix))
-        ).otherwise(w)
-
-    # plurals
-    yield (
-        F.when(w.rlike("^.ies$"), base(1))
-        .when(w.rlike("(sses|ies)$"), base(2))
-        .when(w.rlike("[^s]s$|^s$"), base(1))
-        .otherwise(w)
-    )
-    # past tense and -ing; a word that lost its ending is marked with a trailing "+"
-    yield (
-        F.when(w.rlike("^.ied$"), base(1))
-        .when(w.endswith("ied"), base(2))
-        .when(w.endswith("eed"), F.when(base(3).rlike(MEASURE_OVER_0), base(1)).otherwise(w))
-        .when(w.endswith("ed") & base(2).rlike(HAS_VOWEL), F.concat(base(2), F.lit("+")))
-        .when(w.endswith("ing") & base(3).rlike(HAS_VOWEL), F.concat(base(3), F.lit("+")))
-        .otherwise(w)
-    )
-    cut = base(1)
-    doubled = F.substring(w, -2, 1) == F.substring(w, -3, 1)
-    yield (
-        F.when(~w.endswith("+"), w)
-        .when(w.rlike(r"(at|bl|iz)\+$"), F.concat(cut, F.lit("e")))
-        .when(doubled & w.rlike(r"[^aeiou]\+$"), F.when(w.rlike(r"[lsz]\+$"), cut).otherwise(base(2)))
-        .when(cut.rlike(MEASURE_IS_1) & cut.rlike(ENDS_CVC), F.concat(cut, F.lit("e")))
-        .otherwise(cut)
-    )
-    # final y after a consonant that is not the first letter
-    yield F.when(w.rlike("^.+[^aeiouy]y$|^.*[aeiou]yy$"), F.concat(base(1), F.lit("i"))).otherwise(w)
-    # alli first, so that its result goes through the step once more
-    yield F.when(w.endswith("alli") & base(4).rlike(MEASURE_OVER_0), base(2)).otherwise(w)
-    yield F.when(w.endswith("logi"), F.when(base(3).rlike(MEASURE_OVER_0), base(1)).otherwise(w)).otherwise(swap(STEP_2))
-    yield swap(STEP_3)
-    pattern = f"^(.*?)({'|'.join(STEP_4)}|ion)$"
-    head, suffix = F.regexp_extract(w, pattern, 1), F.regexp_extract(w, pattern, 2)
-    droppable = (suffix != "") & head.rlike(MEASURE_OVER_1) & ((suffix != "ion") | head.rlike("[st]$"))
-    yield F.when(droppable, head).otherwise(w)
-    # final e, then final double l
-    yield F.when(
-        w.endswith("e")
-        & (base(1).rlike(MEASURE_OVER_1) | (base(1).rlike(MEASURE_IS_1) & ~base(1).rlike(ENDS_CVC))),
-        base(1),
-    ).otherwise(w)
-    yield F.when(w.endswith("ll") & base(1).rlike(MEASURE_OVER_1), base(1)).otherwise(w)
+def _cut(n: int) -> str:
+    """The word without its last ``n`` letters."""
+    return f"left(w, length(w) - {n})"
+
+
+def _suffix_rules(pairs: dict[str, str], condition: str) -> str:
+    """The first listed suffix decides: replaced if what is before it meets ``condition``."""
+    cases = [
+        f"WHEN endswith(w, '{suffix}') THEN if({condition.format(_cut(len(suffix)))}, concat({_cut(len(suffix))}, '{new}'), w)"
+        for suffix, new in pairs.items()
+    ]
+    return f"CASE {' '.join(cases)} ELSE w END"
+
+
+def _steps() -> list[str]:
+    """SQL of the steps in order; each maps the word ``w`` to its next form.
+
+    Cheap suffix tests come first, so a pattern only runs on words it may change.
+    """
+    measured, measured_twice = f"{{0}} RLIKE '{MEASURE_OVER_0}'", f"{{0}} RLIKE '{MEASURE_OVER_1}'"
+    vowel = f"{{0}} RLIKE '{HAS_VOWEL}'"
+    short = f"{{0}} RLIKE '{MEASURE_IS_1}' AND {{0}} RLIKE '{ENDS_CVC}'"
+    last = "substr(w, -2, 1)"  # of a marked word
+    return [
+        # plurals
+        f"""CASE WHEN NOT endswith(w, 's') OR endswith(w, 'ss') AND NOT endswith(w, 'sses') THEN w
+            WHEN endswith(w, 'ies') AND length(w) = 4 THEN {_cut(1)}
+            WHEN endswith(w, 'sses') OR endswith(w, 'ies') THEN {_cut(2)} ELSE {_cut(1)} END""",
+        # past tense and -ing; a word that lost its ending is marked with a trailing "+"
+        f"""CASE WHEN endswith(w, 'ied') THEN if(length(w) = 4, {_cut(1)}, {_cut(2)})
+            WHEN endswith(w, 'eed') THEN if({measured.format(_cut(3))}, {_cut(1)}, w)
+            WHEN endswith(w, 'ed') THEN if({vowel.format(_cut(2))}, concat({_cut(2)}, '+'), w)
+            WHEN endswith(w, 'ing') THEN if({vowel.format(_cut(3))}, concat({_cut(3)}, '+'), w) ELSE w END""",
+        f"""CASE WHEN NOT endswith(w, '+') THEN w
+            WHEN endswith(w, 'at+') OR endswith(w, 'bl+') OR endswith(w, 'iz+') THEN concat({_cut(1)}, 'e')
+            WHEN {last} = substr(w, -3, 1) AND {last} NOT IN ('a', 'e', 'i', 'o', 'u')
+                 THEN if({last} IN ('l', 's', 'z'), {_cut(1)}, {_cut(2)})
+            WHEN {short.format(_cut(1))} THEN concat({_cut(1)}, 'e') ELSE {_cut(1)} END""",
+        # final y after a consonant that is not the first letter
+        f"if(endswith(w, 'y') AND w RLIKE '^.+[^aeiouy]y$|^.*[aeiou]yy$', concat({_cut(1)}, 'i'), w)",
+        # alli first, so that its result goes through the step once more
+        f"if(endswith(w, 'alli') AND {measured.format(_cut(4))}, {_cut(2)}, w)",
+        f"""CASE WHEN endswith(w, 'logi') THEN if({measured.format(_cut(3))}, {_cut(1)}, w)
+            ELSE {_suffix_rules(STEP_2, measured)} END""",
+        _suffix_rules(STEP_3, measured),
+        f"""CASE WHEN endswith(w, 'ion')
+                 THEN if((endswith(w, 'sion') OR endswith(w, 'tion')) AND {measured_twice.format(_cut(3))}, {_cut(3)}, w)
+            ELSE {_suffix_rules(dict.fromkeys(STEP_4, ''), measured_twice)} END""",
+        # final e, then final double l
+        f"""CASE WHEN NOT endswith(w, 'e') THEN w WHEN {measured_twice.format(_cut(1))} THEN {_cut(1)}
+            WHEN {_cut(1)} RLIKE '{MEASURE_IS_1}' AND NOT {_cut(1)} RLIKE '{ENDS_CVC}' THEN {_cut(1)} ELSE w END""",
+        f"if(endswith(w, 'll') AND {measured_twice.format(_cut(1))}, {_cut(1)}, w)",
+    ]
 
 
 def with_stem(df: DataFrame, token: str, stem: str = "stem") -> DataFrame:
     """Add the stem of ``token``; all steps are built-in expressions in one stage."""
-    out = df.withColumn("w", F.regexp_replace(token, "^y", "Y"))
+    out = df.withColumn("w", F.when(F.startswith(token, F.lit("y")), F.regexp_replace(token, "^y", "Y")).otherwise(F.col(token)))
     for step in _steps():
-        out = out.withColumn("w", step)
-    irregular = F.element_at(_literal_map(IRREGULAR), F.col(token))
-    return out.withColumn(
-        stem,
-        F.when(irregular.isNotNull(), irregular)
-        .when(F.length(token) <= 2, F.col(token))
-        .otherwise(F.regexp_replace("w", "^Y", "y")),
-    ).drop("w")
+        out = out.withColumn("w", F.expr(step))
+    irregular = " ".join(f"WHEN '{word}' THEN '{form}'" for word, form in IRREGULAR.items())
+    result = f"""CASE WHEN length({token}) <= 2 THEN {token}
+        ELSE coalesce(CASE {token} {irregular} END, if(startswith(w, 'Y'), regexp_replace(w, '^Y', 'y'), w)) END"""
+    return out.withColumn(stem, F.expr(result)).drop("w")

@@ -51,13 +51,21 @@ def class_map(docs: DataFrame, topics: DataFrame) -> DataFrame:
 
 
 def token_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``(doc_id, token, n)`` over whole texts, combined on the map side."""
-    words = docs.select("doc_id", F.explode(T.tokens(F.col(text))).alias("token"))
-    return words.groupBy("doc_id", "token").agg(F.count("*").alias("n"))
+    """``(doc_id, token, n)`` over whole texts.
+
+    The texts are partitioned by document first: a document is one row, and its raw text
+    is smaller than its counts. All later grouping by document and token or stem then
+    happens in place, without another shuffle.
+    """
+    words = docs.select("doc_id", text).repartition("doc_id").select(
+        "doc_id", F.explode(T.words(F.col(text))).alias("token")
+    )
+    return words.filter(T.IS_TOKEN).groupBy("doc_id", "token").agg(F.count("*").alias("n"))
 
 
 def default_stop_words(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in T.STOP_WORDS], "word string")
+    """The built-in list; as one exploded literal its size is known to the planner."""
+    return spark.range(1).select(F.explode(F.array(*[F.lit(w) for w in T.STOP_WORDS])).alias("word"))
 
 
 def drop_stop_words(counts: DataFrame, stop: DataFrame) -> DataFrame:
