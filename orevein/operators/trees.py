@@ -81,21 +81,29 @@ def apply_columns(rows: DataFrame, kept: list[int]) -> DataFrame:
 # ------------------------------------------------------------------------ node status
 
 
+def _total(hist: str) -> str:
+    return f"aggregate({hist}, 0L, (total, x) -> total + x)"
+
+
+def _stops(hist: str, minfreq: int, width: int | None, used: str, max_depth: int | None, depth: str) -> str:
+    """SQL test whether a node stops: too few rows, one class, no attribute left, too deep."""
+    stop = f"{_total(hist)} < {minfreq} OR array_max({hist}) = {_total(hist)}"
+    if width is not None:
+        stop += f" OR size({used}) >= {width}"
+    if max_depth is not None:
+        stop += f" OR {depth} >= {max_depth}"
+    return f"({stop})"
+
+
 def node_status(nodes: DataFrame, minfreq: int, width: int | None = None, max_depth: int | None = None) -> DataFrame:
     """Add ``n, pure, label, stop`` from the class histogram ``hist`` of each node.
 
     The label is the majority class, the lowest one on a tie. A node stops if it has
     fewer than ``minfreq`` rows, one class, or no attribute left.
     """
-    stop = f"n < {minfreq} OR pure"
-    if width is not None:
-        stop += f" OR size(used) >= {width}"
-    if max_depth is not None:
-        stop += f" OR depth >= {max_depth}"
-    return (
-        nodes.selectExpr("*", "aggregate(hist, 0L, (total, x) -> total + x) AS n")
-        .selectExpr("*", "array_max(hist) = n AS pure", "CAST(array_position(hist, array_max(hist)) - 1 AS INT) AS label")
-        .selectExpr("*", f"{stop} AS stop")
+    return nodes.selectExpr("*", f"{_total('hist')} AS n").selectExpr(
+        "*", "array_max(hist) = n AS pure", "CAST(array_position(hist, array_max(hist)) - 1 AS INT) AS label",
+        f"{_stops('hist', minfreq, width, 'used', max_depth, 'depth')} AS stop",
     )
 
 
@@ -224,13 +232,16 @@ def find_splits(rows: DataFrame, classes: int = CLASSES, ranged: bool = False) -
 def branch(rows: DataFrame, splits: DataFrame) -> DataFrame:
     """Move every row to a child: left if its value is below the split, else right.
 
-    Rows of nodes without a split drop out. ``splits`` is a small table with known size.
+    Rows of nodes without a split drop out, and rows of children that stop if ``splits``
+    says so (``l_stop``, ``r_stop``). ``splits`` is a small table with known size.
     """
-    child = "concat(node, CASE WHEN get(features, a) < split THEN 'L' ELSE 'R' END) AS node"
-    columns = [c for c in rows.columns if c not in ("node", "used")]
+    kept = [c for c in rows.columns if c not in ("node", "used")]
+    stops = "if(is_left, l_stop, r_stop)" if "l_stop" in splits.columns else "false"
     return (
-        rows.drop("used").join(splits.select(*NODE_KEY, "a", "split", "used_next"), NODE_KEY)
-        .selectExpr(*columns, child, "used_next AS used")
+        rows.drop("used").join(splits, NODE_KEY)
+        .selectExpr("*", "coalesce(get(features, a) < split, false) AS is_left")
+        .filter(f"NOT {stops}")
+        .selectExpr(*kept, "concat(node, if(is_left, 'L', 'R')) AS node", "used_next AS used")
     )
 
 
@@ -261,67 +272,82 @@ def root_nodes(rows: DataFrame, classes: int = CLASSES, reduce: bool = True) ->
     return roots.drop("width"), width
 
 
-_LEVEL_SCHEMA = """
-tree int, node string, depth int, n bigint, hist array<bigint>, used array<int>, is_leaf boolean, a int,
-split double, gini double, label int, lh array<bigint>, rh array<bigint>, used_next array<int>
+_SPLIT_SCHEMA = """
+tree int, node string, depth int, n bigint, hist array<bigint>, a int, split double, gini double,
+lh array<bigint>, rh array<bigint>, used_next array<int>, l_stop boolean, r_stop boolean
+"""
+MODEL_SCHEMA = """
+tree int, node string, depth int, is_leaf boolean, a int, split double, gini double, label int, n bigint,
+hist array<bigint>
 """
-MODEL_COLUMNS = ["tree", "node", "depth", "is_leaf", "a", "split", "gini", "label", "n", "hist"]
 
 
-def _children(level: DataFrame) -> DataFrame:
-    child = "struct(concat(node, '{0}') AS node, depth + 1 AS depth, {1} AS hist, used_next AS used)"
-    both = f"inline(array({child.format('L', 'lh')}, {child.format('R', 'rh')}))"
-    return level.filter("NOT is_leaf").selectExpr("tree", both)
+def _children(splits: DataFrame) -> DataFrame:
+    child = "struct(concat(node, '{0}') AS node, depth + 1 AS depth, {1} AS hist, used_next AS used, {2} AS stop)"
+    both = f"inline(array({child.format('L', 'lh', 'l_stop')}, {child.format('R', 'rh', 'r_stop')}))"
+    return splits.selectExpr("tree", both)
 
 
 def fit(
     rows: DataFrame, minfreq: int = MIN_FREQ, classes: int = CLASSES, max_depth: int | None = None,
     reduce: bool = True, scan_rows: int = SCAN_ROWS,
 ) -> DataFrame:
-    """Grow all trees of ``rows`` together, one round of jobs per level; returns the model.
+    """Grow all trees of ``rows`` together, one job per level; returns the model.
 
     Each attribute is used at most once per path. A node whose remaining attributes are
-    all constant becomes a leaf.
+    all constant becomes a leaf. A level's splits are written before the next one starts.
     """
     spark = rows.sparkSession
-    nodes, width = root_nodes(rows, classes, reduce)
-    nodes = node_status(nodes, minfreq, width, max_depth)
+    roots, width = root_nodes(rows, classes, reduce)
+    nodes = node_status(roots, minfreq, width, max_depth)
     largest = nodes.agg(F.max("n")).first()[0] or 0
     cuts = value_cuts(rows, largest, scan_rows)
-    active = nodes.filter(~F.col("stop"))
     rows = with_ranges(rows, cuts)
     if cuts is not None:
         rows = materialize(rows, "ranges")
+    active = nodes.filter("NOT stop")
     rows = rows.join(active.select("tree", "node", "used"), "tree")
-    path, depth = scratch_path(spark, "tree"), 0
+    path, depth = scratch_path(spark, "splits"), 0
+    stop = [_stops(h, minfreq, width, "used_next", max_depth, "depth + 1") + f" AS {h[0]}_stop" for h in ("lh", "rh")]
     while True:
         best = find_splits(rows, classes, ranged=cuts is not None)
-        level = nodes.join(best, NODE_KEY, "left").selectExpr(
-            *NODE_KEY, "depth", "n", "hist", "used", "split IS NULL AS is_leaf", "a", "split", "gini",
-            "CASE WHEN split IS NULL THEN label END AS label", "lh", "rh", "array_append(used, a) AS used_next",
+        found = best.join(active.select(*NODE_KEY, "depth", "hist", "used"), NODE_KEY).selectExpr(
+            *NODE_KEY, "depth", f"{_total('hist')} AS n", "hist", "a", "split", "gini", "lh", "rh",
+            "array_append(used, a) AS used_next",
         )
-        level.drop("depth").write.parquet(f"{path}/depth={depth}")
-        level = _read_level(spark, path, depth)
-        nodes = node_status(_children(level), minfreq, width, max_depth)
-        active = nodes.filter(~F.col("stop"))
+        found.selectExpr("*", *stop).drop("depth").write.parquet(f"{path}/depth={depth}")
+        splits = spark.read.schema(_SPLIT_SCHEMA).option("basePath", path).parquet(f"{path}/depth={depth}")
+        active = _children(splits).filter("NOT stop")
         if active.isEmpty():
             break
-        rows = branch(rows, level.filter(~F.col("is_leaf"))).join(active.select(*NODE_KEY), NODE_KEY, "left_semi")
+        rows = branch(rows, splits.select(*NODE_KEY, "a", "split", "used_next", "l_stop", "r_stop"))
         depth += 1
         if depth % REWRITE_LEVELS == 0:
             rows = materialize(rows, "rows")
-    # What is left on the last level are leaves without a split.
-    nodes.selectExpr(
-        *NODE_KEY, "n", "hist", "used", "true AS is_leaf", "CAST(NULL AS INT) AS a", "CAST(NULL AS DOUBLE) AS split",
-        "CAST(NULL AS DOUBLE) AS gini", "label", "CAST(NULL AS ARRAY<BIGINT>) AS lh",
-        "CAST(NULL AS ARRAY<BIGINT>) AS rh", "CAST(NULL AS ARRAY<INT>) AS used_next",
-    ).write.parquet(f"{path}/depth={depth + 1}")
-    return spark.read.schema(_LEVEL_SCHEMA).parquet(path).select(*MODEL_COLUMNS)
-
-
-def _read_level(spark, path: str, depth: int) -> DataFrame:
-    levels = spark.read.schema(_LEVEL_SCHEMA).option("basePath", path)
-    return levels.parquet(f"{path}/depth={depth}")
+    splits = spark.read.schema(_SPLIT_SCHEMA).parquet(path)
+    return _model(roots, splits)
+
+
+def _model(roots: DataFrame, splits: DataFrame) -> DataFrame:
+    """All nodes: the splits, and as leaves the roots and children that have no split."""
+    leaf = ["tree", "node", "depth", "hist"]
+    nodes = roots.select(*leaf).unionByName(_children(splits).select(*leaf))
+    leaves = node_status(nodes.join(splits.select(*NODE_KEY), NODE_KEY, "left_anti").selectExpr("*", "array(0) AS used"), 0)
+    null = "CAST(NULL AS {}) AS {}"
+    model = splits.selectExpr(
+        *NODE_KEY, "depth", "false AS is_leaf", "a", "split", "gini", null.format("INT", "label"), "n", "hist"
+    ).unionByName(leaves.selectExpr(
+        *NODE_KEY, "depth", "true AS is_leaf", null.format("INT", "a"), null.format("DOUBLE", "split"),
+        null.format("DOUBLE", "gini"), "label", "n", "hist",
+    ))
+    path = scratch_path(model.sparkSession, "model")
+    write_model(model, path, "depth")
+    return model.sparkSession.read.schema(MODEL_SCHEMA).parquet(path)
+
+
+def write_model(model: DataFrame, path: str, *folders: str) -> None:
+    """Write nodes into folders; ranges keep the files of one folder few and even."""
+    model.repartitionByRange(*folders, "node").write.partitionBy(*folders).parquet(path)
 
 
 # ---------------------------------------------------------------------------- predict

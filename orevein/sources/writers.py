@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from orevein.operators import rules as R
+from orevein.operators import rules as R, trees as T
 
 
 def rules(df: DataFrame, path: str) -> None:
@@ -47,4 +47,4 @@ def tree_predictions(df: DataFrame, path: str) -> None:
 def model(df: DataFrame, path: str) -> None:
     """Nodes of all trees in folders by tree and depth, the order in which they are read."""
     columns = ["node", "is_leaf", "a", "split", "gini", "label", "n", "hist", "tree", "depth"]
-    df.select(*columns).repartition(F.col("tree"), F.col("depth")).write.partitionBy("tree", "depth").parquet(path)
+    T.write_model(df.select(*columns), path, "tree", "depth")
