@@ -11,22 +11,32 @@ from orevein.session import materialize
 SORT_OPTIONS = ("1", "2", "3", "default")
 
 
+def item_rows(rows: DataFrame, tid: str, item: str) -> DataFrame:
+    """``(tid, item)`` rows as they come; items repeat if a basket lists them twice."""
+    return rows.select(F.col(tid).alias("tid"), F.col(item).cast("string").alias("item")).dropna()
+
+
 def transactions(rows: DataFrame, tid: str, item: str) -> DataFrame:
     """Distinct ``(tid, item)`` pairs: an item counts once per basket.
 
     The shuffle key is the pair, so a basket or an item that holds a large share of
     the rows is still spread over all tasks and combined before the shuffle.
     """
-    return (
-        rows.select(F.col(tid).alias("tid"), F.col(item).cast("string").alias("item"))
-        .dropna()
-        .distinct()
-    )
+    return item_rows(rows, tid, item).distinct()
 
 
 def assemble_baskets(pairs: DataFrame) -> DataFrame:
-    """``(tid, items)`` with the items of each basket as a sorted array."""
-    return pairs.groupBy("tid").agg(F.sort_array(F.collect_list("item")).alias("items"))
+    """``(tid, items)`` with the distinct items of each basket as a sorted array.
+
+    Every task first reduces its part of a basket to distinct items, so a basket that
+    holds a large share of all rows is small before it is shuffled.
+    """
+    return pairs.groupBy("tid").agg(F.sort_array(F.collect_set("item")).alias("items"))
+
+
+def basket_items(baskets: DataFrame) -> DataFrame:
+    """The distinct ``(tid, item)`` pairs of assembled baskets, without a shuffle."""
+    return baskets.select("tid", F.explode("items").alias("item"))
 
 
 def item_support(pairs: DataFrame, minsup: int | None = None) -> DataFrame:
@@ -35,10 +45,6 @@ def item_support(pairs: DataFrame, minsup: int | None = None) -> DataFrame:
     return support if minsup is None else support.filter(F.col("freq") >= minsup)
 
 
-def basket_count(pairs: DataFrame) -> int:
-    return pairs.agg(F.count_distinct("tid")).first()[0]
-
-
 def item_ranks(support: DataFrame) -> DataFrame:
     """``(item, freq, rank, rev_rank)``: rank 0 is the item with the highest support."""
     ranked, total = dense_index(support, [F.desc("freq"), F.asc("item")], "rank")
@@ -61,10 +67,9 @@ def ordered_baskets(pairs: DataFrame, ranks: DataFrame) -> DataFrame:
     Option 1 is numeric item id (items without one by name), 2 is descending support,
     3 and the default are ascending support. Columns: ``tid`` and one array per option.
     """
-    entry = F.struct(
-        F.expr("try_cast(item AS BIGINT)").alias("number"), "rank", "rev_rank", "item"
-    )
-    baskets = pairs.join(ranks, "item").groupBy("tid").agg(F.collect_list(entry).alias("entries"))
+    numbered = ranks.selectExpr("item", "rank", "rev_rank", "try_cast(item AS BIGINT) AS number")
+    entry = F.struct("number", "rank", "rev_rank", "item")
+    baskets = pairs.join(numbered, "item").groupBy("tid").agg(F.collect_list(entry).alias("entries"))
     entries = F.col("entries")
     return baskets.select(
         "tid",
@@ -90,14 +95,14 @@ def frequent_itemsets(baskets: DataFrame, minsup: int) -> DataFrame:
     """``(items, size, freq)`` for every itemset in at least ``minsup`` baskets.
 
     FP-growth merges equal prefixes on the map side and mines one conditional tree
-    per item group, so no candidate pairs are ever emitted per basket. The result is
-    written once because rules read it twice.
+    per item group, so no candidate pairs are ever emitted per basket. ``baskets`` is
+    read more than once: pass a written table. The result is written once because
+    rules read it twice.
     """
-    baskets = materialize(baskets.select("items"), "baskets")
     n = baskets.count()
     # Half a basket below minsup makes the relative threshold hit the absolute one.
     share = (minsup - 0.5) / n if n else 1.0
-    found = FPGrowth(itemsCol="items", minSupport=min(1.0, max(0.0, share))).fit(baskets).freqItemsets
+    found = FPGrowth(itemsCol="items", minSupport=min(1.0, max(0.0, share))).fit(baskets.select("items")).freqItemsets
     return materialize(
         found.filter(F.col("freq") >= minsup).select(
             F.sort_array("items").alias("items"), F.size("items").alias("size"), "freq"

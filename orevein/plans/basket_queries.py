@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orevein.operators import baskets as B, rules as R
 from orevein.plans.tables import table
+from orevein.session import materialize
 
 MIN_SUPPORT_FLOOR = 15
 BASKETS_PER_SUPPORT = 1000  # minimum support is one basket in a thousand, rounded up
@@ -13,27 +14,33 @@ MIN_CONFIDENCE = 0.025
 
 
 def order_brands(spark: SparkSession, sf: str) -> DataFrame:
+    """Baskets ``(tid, items)``, written once."""
     part = table(spark, sf, "part").select("p_partkey", "p_brand")
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
-    return B.transactions(lines.join(part, lines.l_partkey == part.p_partkey), "l_orderkey", "p_brand")
+    bought = lines.join(part, lines.l_partkey == part.p_partkey)
+    return materialize(B.assemble_baskets(B.item_rows(bought, "l_orderkey", "p_brand")), "baskets")
 
 
-def minimum_support(pairs: DataFrame) -> int:
-    n = B.basket_count(pairs)
-    return max(MIN_SUPPORT_FLOOR, -(-n // BASKETS_PER_SUPPORT))
+def minimum_support(baskets: DataFrame) -> int:
+    return max(MIN_SUPPORT_FLOOR, -(-baskets.count() // BASKETS_PER_SUPPORT))
 
 
 def _joined(column: str):
     return F.array_join(column, ",").alias(column)
 
 
-def _frequent(pairs: DataFrame) -> DataFrame:
-    return B.item_support(pairs, minimum_support(pairs))
+def _frequent(baskets: DataFrame) -> DataFrame:
+    return B.item_support(B.basket_items(baskets), minimum_support(baskets))
 
 
 def _itemsets(spark: SparkSession, sf: str) -> DataFrame:
-    pairs = order_brands(spark, sf)
-    return B.frequent_itemsets(B.assemble_baskets(pairs), minimum_support(pairs))
+    baskets = order_brands(spark, sf)
+    return B.frequent_itemsets(baskets, minimum_support(baskets))
+
+
+def _ordered(spark: SparkSession, sf: str) -> DataFrame:
+    baskets = order_brands(spark, sf)
+    return B.ordered_baskets(B.basket_items(baskets), B.item_ranks(_frequent(baskets)))
 
 
 def _of_size(spark: SparkSession, sf: str, size: int) -> DataFrame:
@@ -42,8 +49,7 @@ def _of_size(spark: SparkSession, sf: str, size: int) -> DataFrame:
 
 
 def fim_baskets(spark, sf):
-    baskets = B.assemble_baskets(order_brands(spark, sf))
-    return baskets.select("tid", _joined("items"), F.size("items").alias("n"))
+    return order_brands(spark, sf).select("tid", _joined("items"), F.size("items").alias("n"))
 
 
 def fim_item_support(spark, sf):
@@ -55,14 +61,13 @@ def fim_item_rank(spark, sf):
 
 
 def fim_pruned_baskets(spark, sf):
-    pairs = order_brands(spark, sf)
-    return B.assemble_baskets(B.prune(pairs, _frequent(pairs))).select("tid", _joined("items"))
+    baskets = order_brands(spark, sf)
+    kept = B.prune(B.basket_items(baskets), _frequent(baskets))
+    return B.assemble_baskets(kept).select("tid", _joined("items"))
 
 
 def fim_basket_order(spark, sf):
-    pairs = order_brands(spark, sf)
-    wide = B.ordered_baskets(pairs, B.item_ranks(_frequent(pairs)))
-    return wide.unpivot("tid", list(B.SORT_OPTIONS), "option", "items").select(
+    return _ordered(spark, sf).unpivot("tid", list(B.SORT_OPTIONS), "option", "items").select(
         "tid", "option", _joined("items")
     )
 
@@ -80,9 +85,7 @@ def fim_triples(spark, sf):
 
 
 def fim_projected_db(spark, sf):
-    pairs = order_brands(spark, sf)
-    wide = B.ordered_baskets(pairs, B.item_ranks(_frequent(pairs)))
-    return B.projected_database(wide.select(F.col("2").alias("items")), "items")
+    return B.projected_database(_ordered(spark, sf).select(F.col("2").alias("items")), "items")
 
 
 def fim_rule_candidates(spark, sf):
