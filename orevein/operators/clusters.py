@@ -35,9 +35,9 @@ def seeds(vectors: DataFrame, k: int, trials: int = 1) -> DataFrame:
     return (
         vectors.select("id").distinct()
         .select("id", F.explode(F.sequence(F.lit(0), F.lit(trials - 1))).alias("trial"))
-        .withColumn("k", F.row_number().over(order) - 1)
-        .filter(F.col("k") < k)
-        .select("trial", "k", "id")
+        .withColumn("place", F.row_number().over(order))
+        .filter(F.col("place") <= k)
+        .select("trial", (F.col("place") - 1).alias("k"), "id")
     )
 
 
@@ -81,37 +81,37 @@ class Stats:
         return self.norm2 ** 0.5
 
 
-def cluster_stats(
-    wide: DataFrame, sizes: dict[tuple[int, int], int], corpus: DataFrame | None
-) -> dict[tuple[int, int], Stats]:
+def with_corpus(wide: DataFrame, corpus: DataFrame | None) -> DataFrame:
+    """Add the corpus vector as column ``total_w``; it covers every dimension there is."""
+    if corpus is None:
+        return wide
+    return corpus.select("dim", F.col("w").alias("total_w")).join(wide, "dim", "left").na.fill(0.0)
+
+
+def cluster_stats(wide: DataFrame, sizes: dict[tuple[int, int], int]) -> dict[tuple[int, int], Stats]:
     """One row of scalars over the centroid table."""
     sums = []
     for t, j in sizes:
         c = centroid(t, j)
         sums.append(F.expr(f"sum({c} * {c}) AS q_{t}_{j}"))
-        if corpus is not None:
+        if "total_w" in wide.columns:
             sums.append(F.expr(f"sum({c} * total_w) AS s_{t}_{j}"))
-    row = (wide if corpus is None else _with_total(wide, corpus)).agg(*sums).first().asDict()
+    row = wide.agg(*sums).first().asDict()
     return {
         (t, j): Stats(n, row[f"q_{t}_{j}"] or 0.0, row.get(f"s_{t}_{j}") or 0.0)
         for (t, j), n in sizes.items()
     }
 
 
-def _with_total(wide: DataFrame, corpus: DataFrame) -> DataFrame:
-    return wide.join(corpus.select("dim", F.col("w").alias("total_w")), "dim", "full").na.fill(0.0)
-
-
-def dots(vectors: DataFrame, wide: DataFrame, keys: list[tuple[int, int]], corpus: DataFrame | None = None) -> DataFrame:
+def dots(vectors: DataFrame, wide: DataFrame, keys: list[tuple[int, int]]) -> DataFrame:
     """``(id, p_t_j ...[, p_total])``: dot product of every document with every centroid.
 
     Documents that share no dimension with a centroid score 0.
     """
-    table = wide if corpus is None else _with_total(wide, corpus)
     products = [F.expr(f"sum(w * coalesce({centroid(t, j)}, 0D)) AS p_{t}_{j}") for t, j in keys]
-    if corpus is not None:
+    if "total_w" in wide.columns:
         products.append(F.expr("sum(w * coalesce(total_w, 0D)) AS p_total"))
-    return vectors.join(table, "dim", "left").groupBy("id").agg(*products)
+    return vectors.join(wide, "dim", "left").groupBy("id").agg(*products)
 
 
 # Scores are SQL text: ``p`` is the document's dot product with the composite of a cluster.
@@ -154,14 +154,14 @@ def _cost(criterion: str, t: int, j: int, s: Stats, placed: bool) -> str:
 
 def assign(
     vectors: DataFrame, wide: DataFrame, stats: dict[tuple[int, int], Stats], criterion: str,
-    corpus: DataFrame | None = None, previous: DataFrame | None = None,
+    previous: DataFrame | None = None,
 ) -> DataFrame:
     """``(id, k_t ...)``: the best cluster of every document, ties to the lowest.
 
     ``previous`` holds the assignment before this pass; E1 asks whether a document is a
     member, and trials without ``stats`` (converged ones) keep their column.
     """
-    scored = dots(vectors, wide, list(stats), corpus if criterion == "E1" else None)
+    scored = dots(vectors, wide, list(stats))
     kept = []
     if previous is not None:
         scored = scored.join(previous, "id")
@@ -251,9 +251,9 @@ class Batch:
 
 def start(vectors: DataFrame, criterion: str, k: int, trials: range, seed: DataFrame, n_docs: int,
           corpus: DataFrame | None) -> Batch:
-    wide = materialize(seed_centroids(vectors, seed, k, trials), "centroids")
+    wide = materialize(with_corpus(seed_centroids(vectors, seed, k, trials), corpus), "centroids")
     sizes = {(t, j): 1 for t in trials for j in range(k)}
-    return Batch(criterion, k, vectors, n_docs, corpus, wide, cluster_stats(wide, sizes, corpus),
+    return Batch(criterion, k, vectors, n_docs, corpus, wide, cluster_stats(wide, sizes),
                  {t: Trial(t) for t in trials})
 
 
@@ -264,8 +264,7 @@ def one_pass(state: Batch, active: list[int]) -> None:
         state.criterion == "E1" or len(active) < len(state.trials)
     )
     assigned = materialize(
-        assign(state.vectors, state.wide, stats, state.criterion, state.corpus,
-               state.assigned if needs_previous else None),
+        assign(state.vectors, state.wide, stats, state.criterion, state.assigned if needs_previous else None),
         "assigned",
     )
     sizes = cluster_sizes(assigned, state.k, active)
@@ -278,9 +277,9 @@ def one_pass(state: Batch, active: list[int]) -> None:
             "dim",
             *[F.col(f"old_{centroid(*key)}" if key in empty else centroid(*key)).alias(centroid(*key)) for key in sizes],
         )
-    wide = materialize(wide, "centroids")
+    wide = materialize(with_corpus(wide, state.corpus), "centroids")
     effective = {key: n or state.stats[key].n for key, n in sizes.items()}
-    new_stats = cluster_stats(wide, effective, state.corpus)
+    new_stats = cluster_stats(wide, effective)
     shift = centroid_shift(state.criterion, state.wide, wide, stats, new_stats)
     for t in active:
         members = {j: Stats(sizes[t, j], new_stats[t, j].norm2, new_stats[t, j].dot_total) for j in range(state.k)}

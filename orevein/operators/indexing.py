@@ -28,5 +28,5 @@ def dense_index(df: DataFrame, order: list[Column | str], name: str) -> tuple[Da
         offsets.append(total)
         total += sizes.get(p, 0)
     position = F.col("_stamp").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    start = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets or [0]]), part + 1)
+    start = F.element_at(F.expr(f"array({', '.join(f'{o}L' for o in offsets or [0])})"), part + 1)
     return stamped.withColumn(name, (start + position).cast("bigint")).drop("_stamp"), total

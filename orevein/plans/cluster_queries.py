@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orevein.operators import clusters as K, quality as Q, vectors as V
+from orevein.plans import text_queries
 from orevein.plans.tables import table
 from orevein.session import materialize
 
 CLUSTERS = 5
+TEXT_CLUSTERS = 4
 PASSES = 2
 TRIALS = 2
 TOPICS = list(range(10))
@@ -98,7 +100,7 @@ def clu_vector_add(spark, sf):
 def _assign_query(criterion):
     def query(spark, sf):
         state = _start(spark, sf, criterion)
-        assigned = K.assign(state.vectors, state.wide, state.stats, criterion, state.corpus)
+        assigned = K.assign(state.vectors, state.wide, state.stats, criterion)
         return assigned.select(F.col("id").alias("vec_id"), F.col("k_0").alias("k"))
     return query
 
@@ -166,10 +168,28 @@ def clu_quality_global(spark, sf):
     )
 
 
+def _text_clusters(spark, sf) -> DataFrame:
+    """The whole way from documents to clusters: sparse log2 weights, then two I2 passes."""
+    weights = text_queries.weights(spark, sf).select(F.col("doc_id").alias("id"), F.col("stem_id").alias("dim"), F.col("log2").alias("w"))
+    trial, = K.kmeans(materialize(weights, "vectors"), TEXT_CLUSTERS, "I2", max_iter=PASSES, keep="last")
+    return trial.assignment()
+
+
+def clu_text_lloyd(spark, sf):
+    return _text_clusters(spark, sf).select(F.col("id").alias("doc_id"), "k")
+
+
+def clu_text_quality(spark, sf):
+    topics = text_queries.documents(spark, sf).select(F.col("doc_id").alias("id"), "topic")
+    return Q.global_quality(_text_clusters(spark, sf), topics).select(
+        F.round("purity", 6).alias("purity"), F.round("entropy", 6).alias("entropy"), "unmatched"
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        clu_sparse_vectors, clu_total_vector, clu_seeds, clu_dot, clu_cosine, clu_l2, clu_similarity,
+        clu_text_lloyd, clu_text_quality, clu_sparse_vectors, clu_total_vector, clu_seeds, clu_dot, clu_cosine, clu_l2, clu_similarity,
         clu_vector_add, clu_composites, clu_means, clu_centroid_shift, clu_best_trial,
         clu_contingency, clu_crosstab, clu_purity_entropy, clu_quality_global,
     )
@@ -180,22 +200,32 @@ QUERIES |= {f"clu_lloyd_{c.lower()}": _lloyd_query(c) for c in K.CRITERIA}
 
 # ---------------------------------------------------------------- SQL counterparts
 
-_VECTORS = """
-raw AS (SELECT vec_id AS id, unnest(range(len(embedding))) AS dim, CAST(unnest(embedding) AS DOUBLE) AS v
-        FROM embeddings),
-vec AS (SELECT id, CAST(dim AS INTEGER) AS dim, v / sqrt(sum(v * v) OVER (PARTITION BY id)) AS w FROM raw),
+_DENSE = """
+cells AS (SELECT vec_id AS id, unnest(range(len(embedding))) AS dim, CAST(unnest(embedding) AS DOUBLE) AS v
+          FROM embeddings),
+vec AS (SELECT id, CAST(dim AS INTEGER) AS dim, v / sqrt(sum(v * v) OVER (PARTITION BY id)) AS w FROM cells)
+"""
+
+
+def _vectors(vec: str, k: int) -> str:
+    """CTEs that every pass needs, from the CTE ``vec(id, dim, w)``."""
+    return f"""{vec},
+docs AS MATERIALIZED (SELECT DISTINCT id FROM vec),
 total AS (SELECT dim, sum(w) AS w FROM vec GROUP BY dim),
 corpus AS (SELECT dim, w / (SELECT sqrt(sum(w * w)) FROM total) AS w FROM total),
 seeds AS (
   SELECT trial, id, row_number() OVER (PARTITION BY trial ORDER BY
            ((id % 2147483648) * 1103515245 + 12345 * (trial + 1)) % 2147483648, id) - 1 AS k
-  FROM (SELECT DISTINCT id FROM vec), (SELECT unnest([0, 1]) AS trial) QUALIFY k < 5),
+  FROM docs, (SELECT unnest([0, 1]) AS trial) QUALIFY k < {k}),
 cent0 AS (SELECT trial, k, dim, w FROM seeds JOIN vec USING (id)),
 size0 AS (SELECT trial, k, 1 AS n FROM seeds),
 member0 AS (SELECT trial, NULL AS id, NULL AS k FROM seeds LIMIT 0),
 to_corpus AS (SELECT id, sum(vec.w * corpus.w) AS p_total FROM vec JOIN corpus USING (dim) GROUP BY id)
 """
 
+
+_VECTORS = _vectors(_DENSE, CLUSTERS)
+
 _COST = {
     "SSE": "1 - 2 * p / n + norm2 / (CAST(n AS DOUBLE) * n)",
     "I2": "-p / sqrt(norm2)",
@@ -212,7 +242,9 @@ def _pass(i: int, criterion: str) -> str:
 stat{i} AS (SELECT c.trial, c.k, any_value(z.n) AS n, sum(c.w * c.w) AS norm2, sum(c.w * d.w) AS sd
             FROM cent{i} c JOIN corpus d USING (dim) JOIN size{i} z ON z.trial = c.trial AND z.k = c.k
             GROUP BY c.trial, c.k),
-dot{i} AS (SELECT c.trial, v.id, c.k, sum(v.w * c.w) AS p FROM vec v JOIN cent{i} c USING (dim) GROUP BY ALL),
+shared{i} AS (SELECT c.trial, v.id, c.k, sum(v.w * c.w) AS p FROM vec v JOIN cent{i} c USING (dim) GROUP BY ALL),
+dot{i} AS (SELECT z.trial, d.id, z.k, coalesce(s.p, 0) AS p
+           FROM size{i} z CROSS JOIN docs d LEFT JOIN shared{i} s ON s.trial = z.trial AND s.k = z.k AND s.id = d.id),
 member{i + 1} AS (
   SELECT trial, id, k FROM (
     SELECT p.trial, p.id, s.k, row_number() OVER (PARTITION BY p.trial, p.id
@@ -224,8 +256,8 @@ size{i + 1} AS (SELECT trial, k, count(*) AS n FROM member{i + 1} GROUP BY ALL)
 """
 
 
-def _passes(criterion: str, n: int = 1) -> str:
-    return "WITH " + _VECTORS + "".join(_pass(i, criterion) for i in range(n))
+def _passes(criterion: str, n: int = 1, vectors: str = _VECTORS) -> str:
+    return "WITH " + vectors + "".join(_pass(i, criterion) for i in range(n))
 
 
 _OBJECTIVE = {
@@ -256,7 +288,19 @@ quality AS (SELECT k, CAST(sum(n) AS BIGINT) AS size, max(p) AS purity, -sum(p *
             FROM shares GROUP BY k)
 """
 
+_TEXT = _passes("I2", PASSES, _vectors(text_queries.TERMS_SQL + """,
+vec AS MATERIALIZED (SELECT doc_id AS id, stem_id AS dim, l / nl AS w FROM raw JOIN norms USING (doc_id))
+""", TEXT_CLUSTERS))
+
 ORACLES = {
+    "clu_text_lloyd": _TEXT + f"SELECT id AS doc_id, CAST(k AS INTEGER) AS k FROM member{PASSES} WHERE trial = 0",
+    "clu_text_quality": _TEXT + f""",
+        counts AS (SELECT k, lang, count(*) AS n FROM member{PASSES} JOIN documents ON doc_id = id WHERE trial = 0 GROUP BY ALL),
+        shares AS (SELECT k, n, n / CAST(sum(n) OVER (PARTITION BY k) AS DOUBLE) AS p FROM counts),
+        quality AS (SELECT k, sum(n) AS size, max(p) AS purity, -sum(p * log2(p)) AS entropy FROM shares GROUP BY k)
+        SELECT round(sum(size * purity) / sum(size), 6) AS purity, round(sum(size * entropy) / sum(size), 6) AS entropy,
+               (SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT id FROM docs)) AS unmatched
+        FROM quality""",
     "clu_sparse_vectors": f"WITH {_VECTORS} SELECT id AS vec_id, dim, round(w, 6) AS w FROM vec",
     "clu_total_vector": f"WITH {_VECTORS} SELECT dim, round(w, 6) AS w FROM corpus",
     "clu_seeds": f"WITH {_VECTORS} SELECT CAST(trial AS INTEGER) AS trial, CAST(k AS INTEGER) AS k, id AS vec_id FROM seeds",

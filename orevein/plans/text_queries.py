@@ -25,7 +25,7 @@ def _filtered(spark, sf) -> DataFrame:
     return C.drop_stop_words(_tokens(spark, sf), C.default_stop_words(spark))
 
 
-def _weights(spark, sf) -> DataFrame:
+def weights(spark, sf) -> DataFrame:
     return C.text_vectors(documents(spark, sf), min_count=MIN_COUNT, top=TOP_TOPICS)[0]
 
 
@@ -74,12 +74,12 @@ def text_top_terms(spark, sf):
 
 def _scheme(name):
     def query(spark, sf):
-        return _weights(spark, sf).select("doc_id", "stem_id", F.round(name, 6).alias("w"))
+        return weights(spark, sf).select("doc_id", "stem_id", F.round(name, 6).alias("w"))
     return query
 
 
 def text_weights_all(spark, sf):
-    return C.weights_by_scheme(_weights(spark, sf)).withColumn("w", F.round("w", 6))
+    return C.weights_by_scheme(weights(spark, sf)).withColumn("w", F.round("w", 6))
 
 
 QUERIES = {
@@ -159,7 +159,7 @@ def _stem_sql(source: str) -> str:
     return ",\n".join(ctes)
 
 
-_TERMS = _FILTERED + ",\n" + _stem_sql("filtered") + """,
+TERMS_SQL = _FILTERED + ",\n" + _stem_sql("filtered") + """,
 terms AS (SELECT doc_id, stem, CAST(sum(n) AS BIGINT) AS n FROM filtered JOIN stems USING (token) GROUP BY ALL),
 vocab AS (SELECT row_number() OVER (ORDER BY freq DESC, stem) - 1 AS stem_id, stem, freq
           FROM (SELECT stem, CAST(sum(n) AS BIGINT) AS freq FROM terms GROUP BY stem HAVING sum(n) >= 5)),
@@ -203,13 +203,13 @@ ORACLES = {
                         FROM (SELECT lang AS topic, count(*) AS n FROM documents GROUP BY lang)
                         ORDER BY n DESC, topic LIMIT 20)
         SELECT doc_id, topic_id, topic FROM documents JOIN topics ON lang = topic""",
-    "text_vocabulary": f"WITH {_TERMS} SELECT stem_id, stem, freq FROM vocab",
-    "text_doc_term": f"WITH {_TERMS} SELECT doc_id, stem_id, n FROM doc_terms",
-    "text_top_terms": f"""WITH {_TERMS}
+    "text_vocabulary": f"WITH {TERMS_SQL} SELECT stem_id, stem, freq FROM vocab",
+    "text_doc_term": f"WITH {TERMS_SQL} SELECT doc_id, stem_id, n FROM doc_terms",
+    "text_top_terms": f"""WITH {TERMS_SQL}
         SELECT doc_id, stem_id, n, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, stem_id) AS INTEGER) AS rk
         FROM doc_terms QUALIFY rk <= 10""",
-    "text_weights_all": f"""WITH {_TERMS}
+    "text_weights_all": f"""WITH {TERMS_SQL}
         SELECT doc_id, stem_id, 'freq' AS scheme, freq AS w FROM weights
         UNION ALL SELECT doc_id, stem_id, 'sqrt', sqrt FROM weights
         UNION ALL SELECT doc_id, stem_id, 'log2', log2 FROM weights""",
-} | {f"text_weights_{s}": f"WITH {_TERMS} SELECT doc_id, stem_id, {s} AS w FROM weights" for s in C.SCHEMES}
+} | {f"text_weights_{s}": f"WITH {TERMS_SQL} SELECT doc_id, stem_id, {s} AS w FROM weights" for s in C.SCHEMES}

@@ -49,15 +49,14 @@ def test_e1_changes(spark):
     """Deltas of staying in or joining a cluster, and the pass that follows from them."""
     state = state_of(spark, "I2")
     K.one_pass(state, [0])
-    assert state.corpus is not None
-    scored = K.dots(state.vectors, state.wide, list(state.stats), state.corpus).join(state.assigned, "id")
+    scored = K.dots(state.vectors, state.wide, list(state.stats)).join(state.assigned, "id")
     deltas = [K.separation(f"p_0_{j}", "p_total", state.stats[0, j], f"k_0 = {j}") + f" AS d{j}" for j in (0, 1)]
     got = {r["id"]: (round(r["d0"], 6), round(r["d1"], 6)) for r in scored.selectExpr("id", *deltas).collect()}
     assert got == {
         1: (0.844181, 1.310472), 2: (1.125059, 1.118444), 3: (1.141022, 1.034192),
         4: (1.222772, 0.659348), 5: (0.844181, 1.310472),
     }
-    moved = K.assign(state.vectors, state.wide, state.stats, "E1", state.corpus, state.assigned)
+    moved = K.assign(state.vectors, state.wide, state.stats, "E1", state.assigned)
     assert clusters(moved) == {1: 0, 5: 0, 2: 1, 3: 1, 4: 1}
 
 
