@@ -88,19 +88,56 @@ def with_corpus(wide: DataFrame, corpus: DataFrame | None) -> DataFrame:
     return corpus.select("dim", F.col("w").alias("total_w")).join(wide, "dim", "left").na.fill(0.0)
 
 
+def _stat_sums(wide: DataFrame, keys: list[tuple[int, int]]) -> list[Column]:
+    sums = [F.expr(f"sum({centroid(t, j)} * {centroid(t, j)}) AS q_{t}_{j}") for t, j in keys]
+    if "total_w" in wide.columns:
+        sums += [F.expr(f"sum({centroid(t, j)} * total_w) AS s_{t}_{j}") for t, j in keys]
+    return sums
+
+
+def _to_stats(row: dict, sizes: dict[tuple[int, int], int]) -> dict[tuple[int, int], Stats]:
+    return {
+        (t, j): Stats(n, row[f"q_{t}_{j}"] or 0.0, row.get(f"s_{t}_{j}") or 0.0) for (t, j), n in sizes.items()
+    }
+
+
 def cluster_stats(wide: DataFrame, sizes: dict[tuple[int, int], int]) -> dict[tuple[int, int], Stats]:
     """One row of scalars over the centroid table."""
-    sums = []
-    for t, j in sizes:
+    return _to_stats(wide.agg(*_stat_sums(wide, list(sizes))).first().asDict(), sizes)
+
+
+def stats_and_shift(
+    criterion: str, old: DataFrame, new: DataFrame,
+    old_stats: dict[tuple[int, int], Stats], sizes: dict[tuple[int, int], int],
+) -> tuple[dict[tuple[int, int], Stats], dict[int, float]]:
+    """Scalars of the new centroids, and the mean centroid change per trial.
+
+    The change is the L2 distance of the means for SSE, else 1 - cosine. Old and new
+    centroids are joined by dimension once; one row reaches the driver.
+    """
+    names = [centroid(t, j) for t, j in sizes]
+    before = old.select("dim", *[F.col(c).alias(f"old_{c}") for c in names])
+    both = new.join(before, "dim", "full").na.fill(0.0)
+    sums = _stat_sums(new, list(sizes))
+    for (t, j), n in sizes.items():
         c = centroid(t, j)
-        sums.append(F.expr(f"sum({c} * {c}) AS q_{t}_{j}"))
-        if "total_w" in wide.columns:
-            sums.append(F.expr(f"sum({c} * total_w) AS s_{t}_{j}"))
-    row = wide.agg(*sums).first().asDict()
-    return {
-        (t, j): Stats(n, row[f"q_{t}_{j}"] or 0.0, row.get(f"s_{t}_{j}") or 0.0)
-        for (t, j), n in sizes.items()
-    }
+        if criterion == "SSE":
+            change = f"({c} / {float(n)!r}D - old_{c} / {float(old_stats[t, j].n)!r}D)"
+            sums.append(F.expr(f"sum({change} * {change}) AS x_{t}_{j}"))
+        else:
+            sums.append(F.expr(f"sum({c} * old_{c}) AS x_{t}_{j}"))
+    row = both.agg(*sums).first().asDict()
+    stats = _to_stats(row, sizes)
+    changes: dict[int, list[float]] = {}
+    for (t, j), s in stats.items():
+        value = row[f"x_{t}_{j}"] or 0.0
+        if criterion == "SSE":
+            change = max(value, 0.0) ** 0.5
+        else:
+            norms = s.norm * old_stats[t, j].norm
+            change = 1 - value / norms if norms else 0.0
+        changes.setdefault(t, []).append(change)
+    return stats, {t: sum(c) / len(c) for t, c in changes.items()}
 
 
 def dots(vectors: DataFrame, wide: DataFrame, keys: list[tuple[int, int]]) -> DataFrame:
@@ -190,35 +227,6 @@ def is_better(criterion: str, new: float, old: float) -> bool:
     return new > old if criterion == "I2" else new < old
 
 
-def centroid_shift(
-    criterion: str, old: DataFrame, new: DataFrame,
-    old_stats: dict[tuple[int, int], Stats], new_stats: dict[tuple[int, int], Stats],
-) -> dict[int, float]:
-    """Mean centroid change per trial: L2 between means for SSE, else 1 - cosine."""
-    names = [centroid(t, j) for t, j in new_stats]
-    before = old.select("dim", *[F.col(c).alias(f"old_{c}") for c in names])
-    both = new.select("dim", *names).join(before, "dim", "full").na.fill(0.0)
-    sums = []
-    for (t, j), s in new_stats.items():
-        c = centroid(t, j)
-        if criterion == "SSE":
-            change = f"({c} / {float(s.n)!r}D - old_{c} / {float(old_stats[t, j].n)!r}D)"
-            sums.append(F.expr(f"sum({change} * {change}) AS {c}"))
-        else:
-            sums.append(F.expr(f"sum({c} * old_{c}) AS {c}"))
-    row = both.agg(*sums).first()
-    changes: dict[int, list[float]] = {}
-    for (t, j), s in new_stats.items():
-        value = row[centroid(t, j)] or 0.0
-        if criterion == "SSE":
-            change = max(value, 0.0) ** 0.5
-        else:
-            norms = s.norm * old_stats[t, j].norm
-            change = 1 - value / norms if norms else 0.0
-        changes.setdefault(t, []).append(change)
-    return {t: sum(c) / len(c) for t, c in changes.items()}
-
-
 @dataclass
 class Trial:
     """State and outcome of one trial."""
@@ -241,7 +249,6 @@ class Batch:
     criterion: str
     k: int
     vectors: DataFrame
-    n_docs: int
     corpus: DataFrame | None
     wide: DataFrame
     stats: dict[tuple[int, int], Stats]
@@ -249,11 +256,12 @@ class Batch:
     assigned: DataFrame | None = None
 
 
-def start(vectors: DataFrame, criterion: str, k: int, trials: range, seed: DataFrame, n_docs: int,
-          corpus: DataFrame | None) -> Batch:
+def start(
+    vectors: DataFrame, criterion: str, k: int, trials: range, seed: DataFrame, corpus: DataFrame | None
+) -> Batch:
     wide = materialize(with_corpus(seed_centroids(vectors, seed, k, trials), corpus), "centroids")
     sizes = {(t, j): 1 for t in trials for j in range(k)}
-    return Batch(criterion, k, vectors, n_docs, corpus, wide, cluster_stats(wide, sizes),
+    return Batch(criterion, k, vectors, corpus, wide, cluster_stats(wide, sizes),
                  {t: Trial(t) for t in trials})
 
 
@@ -279,12 +287,12 @@ def one_pass(state: Batch, active: list[int]) -> None:
         )
     wide = materialize(with_corpus(wide, state.corpus), "centroids")
     effective = {key: n or state.stats[key].n for key, n in sizes.items()}
-    new_stats = cluster_stats(wide, effective)
-    shift = centroid_shift(state.criterion, state.wide, wide, stats, new_stats)
+    new_stats, shift = stats_and_shift(state.criterion, state.wide, wide, stats, effective)
+    n_docs = sum(sizes[active[0], j] for j in range(state.k))  # every document has one cluster
     for t in active:
         members = {j: Stats(sizes[t, j], new_stats[t, j].norm2, new_stats[t, j].dot_total) for j in range(state.k)}
         trial = state.trials[t]
-        trial.objective = objective(state.criterion, members, state.n_docs)
+        trial.objective = objective(state.criterion, members, n_docs)
         trial.shift, trial.assigned = shift[t], assigned
         trial.sizes = {j: sizes[t, j] for j in range(state.k)}
         trial.passes += 1
@@ -304,18 +312,16 @@ def kmeans(
     if criterion not in CRITERIA:
         raise ValueError(f"criterion must be one of {CRITERIA}")
     keep = keep or ("best" if criterion == "E1" else "last")
-    seed = seeds(vectors, k, trials) if seed is None else seed
-    seed = materialize(seed, "seeds")
     # Partitioned by document once: every pass scores and joins without moving them.
     vectors = vectors.repartition("id").persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        seed = seeds(vectors, k, trials) if seed is None else seed
         corpus = materialize(V.unit(V.total(vectors)), "corpus") if criterion == "E1" else None
-        n_docs = vectors.agg(F.count_distinct("id")).first()[0]
         done: list[Trial] = []
         step = max(1, MAX_SCORES // k)
         for first in range(0, trials, step):
             batch = range(first, min(first + step, trials))
-            state = start(vectors, criterion, k, batch, seed, n_docs, corpus)
+            state = start(vectors, criterion, k, batch, seed, corpus)
             best: dict[int, Trial] = {}
             active = list(batch)
             for _ in range(max_iter):

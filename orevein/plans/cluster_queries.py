@@ -27,8 +27,7 @@ def classes(spark: SparkSession, sf: str) -> DataFrame:
 def _start(spark, sf, criterion="I2") -> K.Batch:
     vectors = unit_vectors(spark, sf)
     corpus = V.unit(V.total(vectors)) if criterion == "E1" else None
-    n_docs = table(spark, sf, "embeddings").count()
-    return K.start(vectors, criterion, CLUSTERS, range(1), K.seeds(vectors, CLUSTERS), n_docs, corpus)
+    return K.start(vectors, criterion, CLUSTERS, range(1), K.seeds(vectors, CLUSTERS), corpus)
 
 
 def _first_pass(spark, sf, criterion="I2") -> K.Batch:

@@ -20,7 +20,7 @@ def seed_table(spark, ids):
 def state_of(spark, criterion):
     vectors = vectors_of(spark, POINTS)
     corpus = V.unit(V.total(vectors))
-    return K.start(vectors, criterion, 2, range(1), seed_table(spark, (1, 4)), 5, corpus)
+    return K.start(vectors, criterion, 2, range(1), seed_table(spark, (1, 4)), corpus)
 
 
 def clusters(assigned):
@@ -126,7 +126,7 @@ def test_empty_cluster_keeps_its_centroid(spark):
 
 def test_documents_without_shared_dimension_score_zero(spark):
     vectors = spark.createDataFrame([(1, 0, 1.0), (2, 1, 1.0), (3, 2, 1.0)], "id bigint, dim int, w double")
-    state = K.start(vectors, "I2", 2, range(1), seed_table(spark, (1, 2)), 3, None)
+    state = K.start(vectors, "I2", 2, range(1), seed_table(spark, (1, 2)), None)
     got = {r["id"]: (r["p_0_0"], r["p_0_1"]) for r in K.dots(vectors, state.wide, list(state.stats)).collect()}
     assert got == {1: (1.0, 0.0), 2: (0.0, 1.0), 3: (0.0, 0.0)}
 
