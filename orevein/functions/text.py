@@ -98,19 +98,26 @@ def _cut(n: int) -> str:
     return f"left(w, length(w) - {n})"
 
 
-def _suffix_rules(pairs: dict[str, str], condition: str) -> str:
-    """The first listed suffix decides: replaced if what is before it meets ``condition``."""
-    cases = [
-        f"WHEN endswith(w, '{suffix}') THEN if({condition.format(_cut(len(suffix)))}, concat({_cut(len(suffix))}, '{new}'), w)"
-        for suffix, new in pairs.items()
-    ]
-    return f"CASE {' '.join(cases)} ELSE w END"
+def _suffix(suffixes) -> str:
+    """The first listed suffix the word ends with, or an empty text."""
+    return f"CASE {' '.join(f"WHEN endswith(w, '{x}') THEN '{x}'" for x in suffixes)} ELSE '' END"
+
+
+_HEAD = "left(w, length(w) - length(suffix))"  # the word before its suffix
+
+
+def _swap(pairs: dict[str, str]) -> str:
+    """Replace the suffix if the measure before it is over 0."""
+    new = ", ".join(f"'{x}', '{y}'" for x, y in pairs.items())
+    return f"if(suffix <> '' AND {_HEAD} RLIKE '{MEASURE_OVER_0}', concat({_HEAD}, element_at(map({new}), suffix)), w)"
 
 
-def _steps() -> list[str]:
+def _steps() -> list[str | tuple[str, str]]:
     """SQL of the steps in order; each maps the word ``w`` to its next form.
 
-    Cheap suffix tests come first, so a pattern only runs on words it may change.
+    Cheap suffix tests come first, so a pattern only runs on words it may change. Steps
+    with many suffixes are pairs: first the suffix alone, then its one replacement. That
+    keeps the generated code of a step small enough for the JIT compiler.
     """
     measured, measured_twice = f"{{0}} RLIKE '{MEASURE_OVER_0}'", f"{{0}} RLIKE '{MEASURE_OVER_1}'"
     vowel = f"{{0}} RLIKE '{HAS_VOWEL}'"
@@ -135,12 +142,13 @@ def _steps() -> list[str]:
         f"if(endswith(w, 'y') AND w RLIKE '^.+[^aeiouy]y$|^.*[aeiou]yy$', concat({_cut(1)}, 'i'), w)",
         # alli first, so that its result goes through the step once more
         f"if(endswith(w, 'alli') AND {measured.format(_cut(4))}, {_cut(2)}, w)",
-        f"""CASE WHEN endswith(w, 'logi') THEN if({measured.format(_cut(3))}, {_cut(1)}, w)
-            ELSE {_suffix_rules(STEP_2, measured)} END""",
-        _suffix_rules(STEP_3, measured),
-        f"""CASE WHEN endswith(w, 'ion')
-                 THEN if((endswith(w, 'sion') OR endswith(w, 'tion')) AND {measured_twice.format(_cut(3))}, {_cut(3)}, w)
-            ELSE {_suffix_rules(dict.fromkeys(STEP_4, ''), measured_twice)} END""",
+        f"if(endswith(w, 'logi') AND {measured.format(_cut(3))}, {_cut(1)}, w)",
+        (_suffix(STEP_2), _swap(STEP_2)),
+        (_suffix(STEP_3), _swap(STEP_3)),
+        (
+            f"CASE WHEN endswith(w, 'sion') OR endswith(w, 'tion') THEN 'ion' ELSE {_suffix(STEP_4)} END",
+            f"if(suffix <> '' AND {measured_twice.format(_HEAD)}, {_HEAD}, w)",
+        ),
         # final e, then final double l
         f"""CASE WHEN NOT endswith(w, 'e') THEN w WHEN {measured_twice.format(_cut(1))} THEN {_cut(1)}
             WHEN {_cut(1)} RLIKE '{MEASURE_IS_1}' AND NOT {_cut(1)} RLIKE '{ENDS_CVC}' THEN {_cut(1)} ELSE w END""",
@@ -152,8 +160,10 @@ def with_stem(df: DataFrame, token: str, stem: str = "stem") -> DataFrame:
     """Add the stem of ``token``; all steps are built-in expressions in one stage."""
     out = df.withColumn("w", F.when(F.startswith(token, F.lit("y")), F.regexp_replace(token, "^y", "Y")).otherwise(F.col(token)))
     for step in _steps():
+        if isinstance(step, tuple):
+            out, step = out.withColumn("suffix", F.expr(step[0])), step[1]
         out = out.withColumn("w", F.expr(step))
     irregular = " ".join(f"WHEN '{word}' THEN '{form}'" for word, form in IRREGULAR.items())
     result = f"""CASE WHEN length({token}) <= 2 THEN {token}
         ELSE coalesce(CASE {token} {irregular} END, if(startswith(w, 'Y'), regexp_replace(w, '^Y', 'y'), w)) END"""
-    return out.withColumn(stem, F.expr(result)).drop("w")
+    return out.withColumn(stem, F.expr(result)).drop("w", "suffix")
