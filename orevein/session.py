@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -35,7 +36,7 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.fullmatch(r"local(\[[^-]*\])?", spark.conf.get("spark.master", "")):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if _local_scratch is None:
         _local_scratch = tempfile.mkdtemp(prefix="orevein-")
@@ -46,6 +47,34 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder in any store Spark can write to."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+class Scratch:
+    """Hand-off tables of one run, all in one folder below the shared scratch folder."""
+
+    def __init__(self, spark: SparkSession, label: str) -> None:
+        self.spark, self.folder = spark, scratch_path(spark, label)
+        self._tables: list[tuple[DataFrame, str]] = []
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` and read it back; cuts the lineage and survives lost executors."""
+        path = f"{self.folder}/{name}-{len(self._tables)}"
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self._tables.append((out, path))
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables that nothing reads any more."""
+        for known, path in self._tables:
+            if any(known is table for table in tables):
+                delete_path(self.spark, path)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the scratch folder and read it back.
 
