@@ -1,8 +1,8 @@
 """The queries of the training-data operators and their SQL."""
 
-from orevein.llm import embedding_dedup, exact_dedup, minhash_dedup, mixing, quality, url_filter
+from orevein.llm import embedding_dedup, exact_dedup, minhash_dedup, mixing, packing, quality, url_filter
 
-_OPERATORS = (exact_dedup, mixing, url_filter, minhash_dedup, quality, embedding_dedup)
+_OPERATORS = (exact_dedup, mixing, url_filter, minhash_dedup, packing, quality, embedding_dedup)
 
 QUERIES = {name: query for module in _OPERATORS for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in _OPERATORS for name, sql in module.ORACLES.items()}
