@@ -8,8 +8,9 @@ signature is compared only for pairs that met. Links are confirmed on the full s
 
 Groups are never expanded into all pairs. First every posting list links its members to its
 first class (a star); confirmed stars give components. Then the lists that still hold two components
-are swept in tiles, and only pairs of different components that agree in ``MATCHES`` coordinates are emitted
-and confirmed. Every candidate pair is thus either inside one component already or confirmed itself.
+are swept in tiles: a first sweep finds, by signatures, the members with a candidate partner in another component;
+a second one has their shingle sets, confirms every such pair and returns one link for each two components that meet.
+Every candidate pair is thus either inside one component already or confirmed itself, and no sweep returns pairs.
 
 A pair at similarity 0.85 is missed with a probability below 2e-5 (fewer than 18 of 32 agreeing, binomial), far less above.
 
@@ -136,11 +137,16 @@ def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
+def _texts(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``(cls, f1, text)``: a text of every class in ``wanted (cls)``."""
+    ends = classes.join(wanted, "cls", "left_semi").select("cls", F.col("low").alias("id"), "f1")
+    return docs.join(ends, docs.id.eqNullSafe(ends.id)).select("cls", "f1", "text")
+
+
 def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
     """Those of ``pairs (a, b)`` whose full shingle sets are similar enough."""
     ends = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
-    wanted = classes.join(ends, "cls", "left_semi").select("cls", F.col("low").alias("id"), "f1")
-    texts = scratch.table(docs.join(wanted, "id").select("cls", "f1", "text"), "texts")
+    texts = scratch.table(_texts(ends, classes, docs), "texts")
     salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / HUB_MEMBERS).cast("int").alias("salts"))
     hubs = texts.join(salts, texts.cls == salts.a).select(
         "a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("kind"),
@@ -155,53 +161,99 @@ def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, scratch: Scrat
     return found
 
 
-def _tile_pairs(left: dict, right: dict, own: bool) -> list[tuple[int, int]]:
-    out = []
-    for start in range(0, len(left["cls"]), 64):
-        rows = slice(start, start + 64)
-        agree = (left["sig"][rows][:, None, :] == right["sig"][None, :, :]).sum(axis=2)
-        m, n = left["n"][rows][:, None], right["n"][None, :]
-        good = (agree >= MATCHES) & (left["comp"][rows][:, None] != right["comp"][None, :])
-        good &= np.minimum(m, n) * 100 >= np.maximum(m, n) * PERCENT
-        i, j = np.nonzero(good)
-        a, b = left["cls"][rows][i], right["cls"][j]
-        if own:
-            a, b = a[a < b], b[a < b]
-        out += zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist())
-    return out
-
-
-def _sweep_lists(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows sorted by (key, one, two, side): candidate pairs of different components, tile by tile."""
-    held: pd.DataFrame | None = None
-
-    def run(tile: pd.DataFrame) -> list[tuple[int, int]]:
-        def side(rows: pd.DataFrame) -> dict:
-            return {"cls": rows.cls.to_numpy(), "comp": rows.comp.to_numpy(), "n": rows.n.to_numpy(), "sig": np.stack(rows.sig.to_numpy())}
-
-        first = tile.side.to_numpy() == 0
-        if tile.one.iloc[0] == tile.two.iloc[0]:
-            return _tile_pairs(side(tile), side(tile), True)
-        return _tile_pairs(side(tile[first]), side(tile[~first]), False) if first.any() and not first.all() else []
-
+def _tiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The tiles of rows sorted by (key, one, two), each whole; one tile and one batch are held at a time."""
+    held: list[pd.DataFrame] = []
     for batch in batches:
-        rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
-        if not len(rows):
+        if not len(batch):
             continue
-        spot = rows[["key", "one", "two"]].to_numpy()
+        spot = batch[["key", "one", "two"]].to_numpy()
         cuts = np.nonzero((spot[1:] != spot[:-1]).any(axis=1))[0] + 1
-        starts = [0, *cuts.tolist()]
-        held = rows.iloc[starts[-1]:]
-        out: list[tuple[int, int]] = []
-        for start, stop in zip(starts[:-1], starts[1:]):
-            out += run(rows.iloc[start:stop])
+        if held and (held[-1][["key", "one", "two"]].to_numpy()[-1] != spot[0]).any():
+            yield pd.concat(held, ignore_index=True)
+            held = []
+        for start, stop in zip([0, *cuts], [*cuts, len(batch)]):
+            held.append(batch.iloc[start:stop])
+            if stop < len(batch):
+                yield pd.concat(held, ignore_index=True)
+                held = []
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def _candidates(tile: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers of pairs that agree in MATCHES coordinates, lie in different components and meet here first."""
+    sig, n, comp = np.stack(tile.sig.to_numpy()), tile.n.to_numpy(), tile.comp.to_numpy()
+    first = np.stack([np.pad(p, (0, PREFIX - len(p)), constant_values=-1) for p in tile.prefix])
+    key, side = tile.key.iloc[0], tile.side.to_numpy()
+    if tile.one.iloc[0] == tile.two.iloc[0]:
+        left = right = np.arange(len(tile))
+    else:
+        left, right = np.nonzero(side == 0)[0], np.nonzero(side == 1)[0]
+    for start in range(0, len(left), 64):
+        rows = left[start:start + 64]
+        good = (sig[rows][:, None, :] == sig[right][None, :, :]).sum(axis=2) >= MATCHES
+        m, k = n[rows][:, None], n[right][None, :]
+        good &= (comp[rows][:, None] != comp[right][None, :]) & (np.minimum(m, k) * 100 >= np.maximum(m, k) * PERCENT)
+        i, j = np.nonzero(good)
+        i, j = rows[i], right[j]
+        if left is right:
+            i, j = i[i < j], j[i < j]
+        shared = (first[i][:, :, None] == first[j][:, None, :]).any(axis=2) & (first[i] >= 0)
+        here = np.where(shared, first[i], np.iinfo(np.int64).max).min(axis=1, initial=np.iinfo(np.int64).max) == key
+        yield i[here], j[here]
+
+
+def _find_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows of every tile that have a candidate partner in it; never the pairs."""
+    for tile in _tiles(batches):
+        hit = np.zeros(len(tile), bool)
+        if len(tile) > 1:
+            for i, j in _candidates(tile):
+                hit[i] = hit[j] = True
+        yield tile[hit]
+
+
+def _merge_components(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Confirmed links of every tile, one for each pair of components that it joins."""
+    for tile in _tiles(batches):
+        sets = [np.frombuffer(s, np.uint64) for s in tile.shingles]
+        size = np.array([len(s) for s in sets])
+        _, ids = np.unique(np.concatenate(sets), return_inverse=True)
+        ends = np.cumsum(size)
+        parts = [ids[e - k:e] for e, k in zip(ends, size)]
+        group, cls, out = tile.comp.to_numpy().copy(), tile.cls.to_numpy(), []
+        mark = np.zeros(ids.max(initial=0) + 1, bool)
+        for i, j in _candidates(tile):
+            for row in np.unique(i):
+                others = j[i == row]
+                others = others[group[others] != group[row]]
+                if not len(others):
+                    continue
+                mark[parts[row]] = True
+                held = np.concatenate([parts[o] for o in others])
+                both = np.add.reduceat(mark[held].astype(np.int64), np.cumsum([0, *size[others][:-1]]))
+                mark[parts[row]] = False
+                linked = others[100 * both >= PERCENT * (size[row] + size[others] - both)]
+                for o in linked:
+                    if group[o] != group[row]:
+                        out.append((cls[row], cls[o]))
+                        group[group == group[o]] = group[row]
         yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-    if held is not None and len(held):
-        yield pd.DataFrame(run(held), columns=["a", "b"], dtype="int64")
+
+
+def _shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    hashes = WordHashes()
+    for batch in batches:
+        sets = [shingle_set(t, hashes) for t in batch["text"]]
+        keep = [len(s) > 0 and fingerprint(s)[0] == f for s, f in zip(sets, batch["f1"])]
+        yield pd.DataFrame({
+            "cls": batch["cls"][keep], "shingles": [s.tobytes() for s, k in zip(sets, keep) if k]
+        })
 
 
 def _postings(classes: DataFrame) -> DataFrame:
-    """``(cls, key)``: of every class the rarest postings that others share."""
+    """``(cls, prefix)``: of every class the rarest postings that others share."""
     rows = classes.select("cls", F.posexplode("sig").alias("pos", "value")).select(
         "cls", F.expr("shiftleft(cast(pos as bigint), 32) | (cast(value as bigint) & 4294967295L)").alias("key")
     )
@@ -209,7 +261,7 @@ def _postings(classes: DataFrame) -> DataFrame:
     ranked = rows.join(shared, "key").groupBy("cls").agg(F.sort_array(F.collect_list(F.struct("times", "key"))).alias("found"))
     # Postings of one class only are the rarest and use up their part of the prefix.
     left = F.lit(PREFIX - COORDINATES) + F.size("found")
-    return ranked.filter(left > 0).select("cls", F.explode(F.slice("found", F.lit(1), left)["key"]).alias("key"))
+    return ranked.filter(left > 0).select("cls", F.slice("found", F.lit(1), left)["key"].alias("prefix"))
 
 
 def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -223,7 +275,8 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         sets.filter("n > 0").groupBy("f1", "f2", "n").agg(F.min("id").alias("low"), F.min("sig").alias("sig"))
         .withColumn("cls", F.monotonically_increasing_id()), "classes",
     )
-    postings = scratch.table(_postings(classes), "postings")
+    prefixes = scratch.table(_postings(classes), "prefixes")
+    postings = prefixes.select("cls", F.explode("prefix").alias("key"))
     hubs = postings.groupBy("key").agg(F.min("cls").alias("hub"))
     met = postings.join(hubs, "key").filter("hub <> cls").select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
     one = classes.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"))
@@ -239,21 +292,29 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     mixed = placed.groupBy("key").agg(
         F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("members")
     ).filter("low <> high").select("key", F.ceil(F.col("members") / TILE).cast("int").alias("tiles"))
+    facts = classes.select("cls", "n", "sig").join(prefixes, "cls")
     dealt = (
-        placed.join(mixed, "key").join(classes.select("cls", "n", "sig"), "cls")
+        placed.join(mixed, "key").join(facts, "cls")
         .withColumn("tile", F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
         .select(
             "key", F.least("tile", "other").alias("one"), F.greatest("tile", "other").alias("two"),
-            (F.col("tile") > F.col("other")).cast("int").alias("side"), "cls", "comp", "n", "sig",
+            (F.col("tile") > F.col("other")).cast("int").alias("side"), "cls", "comp", "n", "sig", "prefix",
         )
     )
-    across = (
-        dealt.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two", "side")
-        .mapInPandas(_sweep_lists, "a bigint, b bigint").distinct()
+    shape = "key bigint, one int, two int, side int, cls bigint, comp bigint, n bigint, sig array<int>, prefix array<bigint>"
+    spot = ["key", "one", "two"]
+    members = scratch.table(
+        dealt.repartition(*spot).sortWithinPartitions(*spot, "side", "cls").mapInPandas(_find_members, shape), "members"
+    )
+    sets_of = scratch.table(
+        _texts(members.select("cls").distinct(), classes, docs).mapInPandas(_shingles, "cls bigint, shingles binary")
+        .dropDuplicates(["cls"]), "shingles",
+    )
+    second = scratch.table(
+        members.join(sets_of, "cls").repartition(*spot).sortWithinPartitions(*spot, "side", "cls")
+        .mapInPandas(_merge_components, "a bigint, b bigint"), "merges",
     )
-    tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = _links(scratch.table(across.join(tried, ["a", "b"], "left_anti"), "across"), classes, docs, scratch)
     reach = connected_components(links.union(second), scratch).withColumnRenamed("id", "cls")
     lowest = classes.select("cls", "low").join(reach, "cls").groupBy("component").agg(F.min("low").alias("component_id"))
     found = (

@@ -1,8 +1,10 @@
 """The queries of the training-data operators and their SQL."""
 
-from orevein.llm import embedding_dedup, exact_dedup, lm_scoring, minhash_dedup, mixing, packing, quality, url_filter
+from orevein.llm import (
+    embedding_dedup, exact_dedup, lm_scoring, minhash_dedup, mixing, packing, quality, toxicity, url_filter,
+)
 
-_OPERATORS = (lm_scoring, exact_dedup, mixing, url_filter, minhash_dedup, packing, quality, embedding_dedup)
+_OPERATORS = (toxicity, lm_scoring, exact_dedup, mixing, url_filter, minhash_dedup, packing, quality, embedding_dedup)
 
 QUERIES = {name: query for module in _OPERATORS for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in _OPERATORS for name, sql in module.ORACLES.items()}
