@@ -28,11 +28,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from orevein.llm.common import checksum
 from orevein.plans.tables import table
+from orevein.session import Scratch
 
 BUCKETS = 1 << 16
 GRAMS = (3, 4)  # characters of an n-gram, word borders included
 DIM = 16
-SAMPLE = 8000  # labelled rows that train the model
+SAMPLE = 6000  # labelled rows that train the model
 EPOCHS = 6
 RATE = 20.0
 CACHE = 300_000  # words whose score a worker remembers
@@ -127,15 +128,21 @@ def training_rows(
             rows = [document_features(t) for t in batch["text"]]
             yield pd.DataFrame({
                 "id": batch.iloc[:, 0].astype(str), "label": batch["label"],
-                "ids": [r[0].astype(np.int32).tobytes() for r in rows],
+                "ids": [r[0].astype(np.uint16).tobytes() for r in rows],
                 "weights": [r[1].astype(np.float32).tobytes() for r in rows],
             })
 
-    got = picked.mapInPandas(features, "id string, label int, ids binary, weights binary").collect()
-    got.sort(key=lambda r: (zlib.crc32(r["id"].encode()), r["id"], bytes(r["ids"])))
+    # Written by the executors and read file by file, so the driver holds the arrays and little else.
+    scratch = Scratch(docs.sparkSession, "quality")
+    made = scratch.table(picked.mapInPandas(features, "id string, label int, ids binary, weights binary"), "features")
+    got = [
+        (zlib.crc32(r["id"].encode()), r["id"], bytes(r["ids"]), bytes(r["weights"]), r["label"])
+        for r in made.toLocalIterator()
+    ]
+    scratch.drop(made)
+    got.sort()
     return [
-        (np.frombuffer(r["ids"], np.int32), np.frombuffer(r["weights"], np.float32).astype(float), r["label"])
-        for r in got
+        (np.frombuffer(ids, np.uint16), np.frombuffer(weights, np.float32), label) for _, _, ids, weights, label in got
     ]
 
 
