@@ -9,8 +9,8 @@ feature), so words that say nothing add nothing to long texts; AdaGrad with an L
 Labels only tell toxic from clean. Clean rows get grade 0; toxic ones are graded by how often they hold such
 features, cut at the terciles of the toxic training rows.
 
-Training takes at most ``SAMPLE`` labelled rows, the first in hash order; executors turn texts into distinct feature
-counts, at most ``BUCKETS`` per row. Scoring is a narrow map over all rows with ``BUCKETS`` broadcast
+Training takes at most ``SAMPLE`` labelled rows, the first in hash order; executors count and test the features and
+return the telling ones of each row, at most ``BUCKETS``. Scoring is a narrow map over all rows with ``BUCKETS`` broadcast
 weights and a cache of bounded size.
 
 Defined cases: null and empty texts have no features and get the thresholds alone. Null labels are left out; of several
@@ -31,12 +31,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from orevein.llm.common import checksum, lower_words
 from orevein.plans.tables import table
+from orevein.session import Scratch
 
 BUCKETS = 1 << 18
 GRAMS = (3, 4, 5, 6)  # bytes of an n-gram
 GRADES = 4  # 0 clean, 1 to 3 toxic
 SAMPLE = 12_000  # labelled rows that train the model
-EPOCHS = 40
+EPOCHS = 25
 RATE = 0.5
 PENALTY = 1e-3
 SCREEN = 4.8  # standard deviations above the toxic rows that chance would give a feature
@@ -72,17 +73,6 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(np.asarray(total)[..., None] - self.thresholds, -60, 60)))
 
 
-def telling_features(rows: list[tuple[np.ndarray, np.ndarray, int]]) -> np.ndarray:
-    """True for buckets that toxic rows ``(buckets, counts, toxic)`` hold significantly more often."""
-    seen = np.zeros((2, BUCKETS))
-    for ids, _, t in rows:
-        seen[t, ids] += 1
-    share = sum(t for _, _, t in rows) / max(1, len(rows))
-    expected = seen.sum(axis=0) * share
-    spread = np.sqrt(np.maximum(expected, 1e-12) * (1 - share) + 1e-12)
-    return (seen[1] >= LEAST) & (seen[1] - expected >= SCREEN * spread)
-
-
 def severity_grades(rows: list[tuple[np.ndarray, np.ndarray, int]]) -> np.ndarray:
     """Grades 0 to GRADES - 1 of training rows cut down to telling features."""
     toxic = np.array([t for _, _, t in rows], bool)
@@ -95,10 +85,8 @@ def severity_grades(rows: list[tuple[np.ndarray, np.ndarray, int]]) -> np.ndarra
 
 
 def fit_rows(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOCHS) -> Model:
-    """AdaGrad on the ordinal log-likelihood; the same rows give the same model."""
+    """AdaGrad on the ordinal log-likelihood of rows ``(buckets, counts, toxic)``; the same rows give the same model."""
     rng, n = np.random.default_rng(5), len(rows)
-    telling = telling_features(rows)
-    rows = [(ids[telling[ids]], counts[telling[ids]], t) for ids, counts, t in rows]
     grades = severity_grades(rows)
     weights, power = np.zeros(BUCKETS), np.full(BUCKETS, 1e-8)
     above = np.array([((grades >= k).sum() + 0.5) / (n + 1) for k in range(1, GRADES)])
@@ -129,26 +117,56 @@ def fit_rows(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOCH
     return Model(weights, thresholds)
 
 
+def _count_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows that hold each bucket, toxic and clean, of one task."""
+    seen = np.zeros((2, BUCKETS), np.int64)
+    for batch in batches:
+        for text, toxic in zip(batch["text"], batch["toxic"]):
+            seen[toxic, document_features(text)[0]] += 1
+    held = np.nonzero(seen.sum(axis=0))[0]
+    yield pd.DataFrame({"bucket": held, "clean": seen[0, held], "toxic": seen[1, held]})
+
+
+def telling_buckets(picked: DataFrame) -> np.ndarray:
+    """Sorted buckets that toxic rows of ``picked (toxic, text)`` hold significantly more often; BUCKETS at most."""
+    total = picked.agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic")).first()
+    share = (total["toxic"] or 0) / max(1, total["n"])
+    expected = (F.col("clean") + F.col("toxic")) * share
+    found = picked.mapInPandas(_count_features, "bucket bigint, clean bigint, toxic bigint").groupBy("bucket").agg(
+        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")
+    ).filter((F.col("toxic") >= LEAST) & (F.col("toxic") - expected >= F.sqrt(expected * (1 - share)) * SCREEN))
+    return np.array(sorted(r["bucket"] for r in found.select("bucket").collect()), np.int64)
+
+
 def training_rows(
     docs: DataFrame, labels: DataFrame, learn: Column, id_col: str, text_col: str, label_col: str, sample: int
 ) -> list[tuple[np.ndarray, np.ndarray, int]]:
+    """Telling features of at most ``sample`` labelled rows, in a fixed order."""
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & learn)
-    known = known.groupBy(id_col).agg(F.max(label_col).cast("int").alias("label"))
+    known = known.groupBy(id_col).agg(F.max((F.col(label_col) > 0).cast("int")).alias("toxic"))
     # At most ``sample`` rows of 12 bytes, so the broadcast is bounded by the parameter.
     first = known.orderBy(F.xxhash64(id_col), id_col).limit(sample)
-    picked = docs.select(id_col, F.col(text_col).alias("text")).join(F.broadcast(first), id_col)
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    picked = scratch.table(
+        docs.select(id_col, F.col(text_col).alias("text")).join(F.broadcast(first), id_col)
+        .select(F.col(id_col).cast("string").alias("id"), "toxic", "text"), "sample",
+    )
+    telling = telling_buckets(picked)
+    mask = np.zeros(BUCKETS, bool)
+    mask[telling] = True
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = [document_features(t) for t in batch["text"]]
             yield pd.DataFrame({
-                "id": batch.iloc[:, 0].astype(str), "label": batch["label"],
-                "ids": [r[0].tobytes() for r in rows], "counts": [r[1].tobytes() for r in rows],
+                "id": batch["id"], "toxic": batch["toxic"], "ids": [i[mask[i]].tobytes() for i, _ in rows],
+                "counts": [c[mask[i]].tobytes() for i, c in rows],
             })
 
-    got = picked.mapInPandas(features, "id string, label int, ids binary, counts binary").collect()
+    got = picked.mapInPandas(features, "id string, toxic int, ids binary, counts binary").collect()
+    scratch.drop(picked)
     got.sort(key=lambda r: (zlib.crc32(r["id"].encode()), r["id"], bytes(r["ids"])))
-    return [(np.frombuffer(r["ids"], np.int32), np.frombuffer(r["counts"], np.float32), int(r["label"] > 0)) for r in got]
+    return [(np.frombuffer(r["ids"], np.int32), np.frombuffer(r["counts"], np.float32), r["toxic"]) for r in got]
 
 
 class _Scores(dict):
