@@ -96,7 +96,8 @@ def scan(docs: DataFrame, templates: DataFrame, id_col: str = "doc_id", text_col
         return (F.substring(table_of_slots, spot, F.lit(1)) == F.lit(b"\x01")) & F.array_contains(listed, h)
 
     spots = F.filter(F.transform(F.col("h"), lambda h, i: F.when(held(h), i)), lambda i: i.isNotNull())
-    rows = rows.withColumn("hits", spots).filter(F.size("hits") > 0)
+    rows = rows.withColumn("hits", spots)
+    # No filter on ``hits``: Spark would push it below the arrays and build them anew for each element.
     starts = F.array(*[
         F.struct(
             F.lit(c).alias("class"),
