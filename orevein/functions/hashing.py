@@ -4,22 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-_MODULUS = 2147483648
 
-
-def mix(key: Column, stream: Column) -> Column:
-    """Linear congruential mix of an integer key for the 0-based ``stream``.
-
-    The key is reduced first, so the product stays inside 64 bits for any key.
-    """
-    reduced = F.pmod(key.cast("bigint"), F.lit(_MODULUS))
-    return (reduced * F.lit(1103515245) + F.lit(12345) * (stream.cast("bigint") + 1)) % F.lit(_MODULUS)
+def digest(key: Column, stream: Column) -> Column:
+    """MD5 of ``stream:key`` in hexadecimal: a random order of the keys, another one in every stream."""
+    text = F.concat_ws(":", stream.cast("bigint").cast("string"), key.cast("bigint").cast("string"))
+    return F.md5(text.cast("binary"))
 
 
 def draw(key: Column, stream: Column, n: int) -> Column:
-    """Uniform number in ``[0, n)`` from the first 32 bits of an MD5 digest.
+    """Uniform number in ``[0, n)`` from the first 60 bits of an MD5 digest.
 
     Draws with replacement need real collisions; a congruential sequence has too few.
     """
-    text = F.concat_ws(":", stream.cast("bigint").cast("string"), key.cast("bigint").cast("string"))
-    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint") % F.lit(n)
+    return F.conv(F.substring(digest(key, stream), 1, 15), 16, 10).cast("bigint") % F.lit(n)

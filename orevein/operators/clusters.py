@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from orevein.functions.hashing import mix
+from orevein.functions.hashing import digest
 from orevein.operators import vectors as V
 from orevein.session import materialize
 
@@ -30,7 +30,7 @@ SCORE_DIGITS = 9  # similarities are compared at this precision, ties go to the
 
 def seeds(vectors: DataFrame, k: int, trials: int = 1) -> DataFrame:
     """``(trial, k, id)``: per trial the ``k`` documents that come first in hash order."""
-    order = Window.partitionBy("trial").orderBy(mix(F.col("id"), F.col("trial")), "id")
+    order = Window.partitionBy("trial").orderBy(digest(F.col("id"), F.col("trial")), "id")
     # The rank filter is pushed below the shuffle, so each task ships at most k rows a trial.
     return (
         vectors.select("id").distinct()
@@ -143,9 +143,10 @@ def stats_and_shift(
 def dots(vectors: DataFrame, wide: DataFrame, keys: list[tuple[int, int]]) -> DataFrame:
     """``(id, p_t_j ...[, p_total])``: dot product of every document with every centroid.
 
-    Documents that share no dimension with a centroid score 0.
+    Documents that share no dimension with a centroid score 0. ``own`` is the document's squared length.
     """
     products = [F.expr(f"sum(w * coalesce({centroid(t, j)}, 0D)) AS p_{t}_{j}") for t, j in keys]
+    products.append(F.expr("sum(w * w) AS own"))
     if "total_w" in wide.columns:
         products.append(F.expr("sum(w * coalesce(total_w, 0D)) AS p_total"))
     return vectors.join(wide, "dim", "left").groupBy("id").agg(*products)
@@ -155,13 +156,13 @@ def dots(vectors: DataFrame, wide: DataFrame, keys: list[tuple[int, int]]) -> Da
 
 
 def cosine(p: str, s: Stats) -> str:
-    """Cosine of a unit document and a centroid, 0 for an empty centroid."""
-    return f"{p} / {s.norm!r}D" if s.norm > 0 else "0D"
+    """Cosine of a document and a centroid, 0 for an empty centroid or a zero document."""
+    return f"coalesce({p} / nullif(sqrt(own) * {s.norm!r}D, 0D), 0D)" if s.norm > 0 else "0D"
 
 
 def squared_distance(p: str, s: Stats) -> str:
-    """Squared distance of a unit document and the cluster mean."""
-    return f"1D - 2D * {p} / {float(s.n)!r}D + {s.norm2 / s.n**2!r}D"
+    """Squared distance of a document and the cluster mean."""
+    return f"own - 2D * {p} / {float(s.n)!r}D + {s.norm2 / s.n**2!r}D"
 
 
 def l2_similarity(p: str, s: Stats) -> str:
@@ -172,9 +173,9 @@ def separation(p: str, p_total: str, s: Stats, inside: str) -> str:
     """Change of the E1 objective when the document joins the cluster (or stays in it)."""
     n, norm2, dot = f"{float(s.n)!r}D", f"{s.norm2!r}D", f"({s.dot_total!r}D)"
     now = f"{s.n * s.dot_total / s.norm!r}D" if s.norm2 > 0 else "0D"
-    joined = f"sqrt({norm2} + 2D * {p} + 1D)"
+    joined = f"sqrt({norm2} + 2D * {p} + own)"
     add = f"coalesce(({n} + 1D) * ({dot} + {p_total}) / nullif({joined}, 0D), 0D) - ({now})"
-    left = f"sqrt(greatest({norm2} - 2D * {p} + 1D, 0D))"
+    left = f"sqrt(greatest({norm2} - 2D * {p} + own, 0D))"
     without = f"coalesce(({n} - 1D) * ({dot} - {p_total}) / nullif({left}, 0D), 0D)" if s.n > 1 else "0D"
     return f"CASE WHEN {inside} THEN ({now}) - {without} ELSE {add} END"
 
@@ -184,7 +185,7 @@ def _cost(criterion: str, t: int, j: int, s: Stats, placed: bool) -> str:
     if criterion == "SSE":
         return squared_distance(p, s)
     if criterion == "I2":
-        return f"-({cosine(p, s)})"
+        return f"-({p} / {s.norm!r}D)" if s.norm > 0 else "0D"  # the document's own length changes no order
     inside = f"k_{t} <=> {j}" if placed else "false"
     return separation(p, "p_total", s, inside)
 
@@ -213,11 +214,14 @@ def assign(
     return scored.selectExpr("id", *kept, *best)
 
 
-def objective(criterion: str, stats: dict[int, Stats], n_docs: int) -> float:
-    """SSE: sum of squared distances; I2: sum of norms; E1: size-weighted cosine to the corpus."""
+def objective(criterion: str, stats: dict[int, Stats], own: float) -> float:
+    """SSE: sum of squared distances; I2: sum of norms; E1: size-weighted cosine to the corpus.
+
+    ``own`` is the sum of the documents' squared lengths, their number if all have length 1.
+    """
     full = [s for s in stats.values() if s.n > 0 and s.norm2 > 0]
     if criterion == "SSE":
-        return n_docs - sum(s.norm2 / s.n for s in full)
+        return own - sum(s.norm2 / s.n for s in full)
     if criterion == "I2":
         return sum(s.norm for s in full)
     return sum(s.n * s.dot_total / s.norm for s in full)
@@ -235,6 +239,7 @@ class Trial:
     objective: float = 0.0
     shift: float = float("inf")
     passes: int = 0
+    converged: bool = False  # the shift fell below the limit before ``max_iter`` passes
     sizes: dict[int, int] = field(default_factory=dict)
     assigned: DataFrame | None = None  # has columns id and k_<number>
 
@@ -253,6 +258,7 @@ class Batch:
     wide: DataFrame
     stats: dict[tuple[int, int], Stats]
     trials: dict[int, Trial]
+    own: float  # sum of the documents' squared lengths
     assigned: DataFrame | None = None
 
 
@@ -261,8 +267,8 @@ def start(
 ) -> Batch:
     wide = materialize(with_corpus(seed_centroids(vectors, seed, k, trials), corpus), "centroids")
     sizes = {(t, j): 1 for t in trials for j in range(k)}
-    return Batch(criterion, k, vectors, corpus, wide, cluster_stats(wide, sizes),
-                 {t: Trial(t) for t in trials})
+    own = vectors.agg(F.sum(F.col("w") * F.col("w"))).first()[0] or 0.0
+    return Batch(criterion, k, vectors, corpus, wide, cluster_stats(wide, sizes), {t: Trial(t) for t in trials}, own)
 
 
 def one_pass(state: Batch, active: list[int]) -> None:
@@ -288,11 +294,10 @@ def one_pass(state: Batch, active: list[int]) -> None:
     wide = materialize(with_corpus(wide, state.corpus), "centroids")
     effective = {key: n or state.stats[key].n for key, n in sizes.items()}
     new_stats, shift = stats_and_shift(state.criterion, state.wide, wide, stats, effective)
-    n_docs = sum(sizes[active[0], j] for j in range(state.k))  # every document has one cluster
     for t in active:
         members = {j: Stats(sizes[t, j], new_stats[t, j].norm2, new_stats[t, j].dot_total) for j in range(state.k)}
         trial = state.trials[t]
-        trial.objective = objective(state.criterion, members, n_docs)
+        trial.objective = objective(state.criterion, members, state.own)
         trial.shift, trial.assigned = shift[t], assigned
         trial.sizes = {j: sizes[t, j] for j in range(state.k)}
         trial.passes += 1
@@ -303,7 +308,7 @@ def kmeans(
     vectors: DataFrame, k: int, criterion: str = "SSE", trials: int = 1, max_iter: int = 20,
     tol: float = SHIFT_LIMIT, keep: str | None = None, seed: DataFrame | None = None,
 ) -> list[Trial]:
-    """Cluster unit vectors ``(id, dim, w)``; returns every trial, see :func:`best_trial`.
+    """Cluster vectors ``(id, dim, w)`` (I2 and E1 expect length 1); returns every trial, see :func:`best_trial`.
 
     ``keep='last'`` takes the state after the last pass, ``'best'`` the pass with the
     best objective. Batch E1 passes need not improve, so E1 keeps the best by default.
@@ -328,6 +333,7 @@ def kmeans(
                 one_pass(state, active)
                 for t in active:
                     trial = state.trials[t]
+                    trial.converged = trial.shift < tol
                     if t not in best or keep == "last" or is_better(criterion, trial.objective, best[t].objective):
                         best[t] = Trial(**trial.__dict__)
                 active = [t for t in active if state.trials[t].shift >= tol]

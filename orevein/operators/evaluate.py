@@ -8,8 +8,10 @@ from orevein.operators.trees import CLASSES
 
 
 def confusion(predictions: DataFrame, classes: int = CLASSES) -> DataFrame:
-    """``(label, pred, n)`` for all classes x classes cells, zeros included."""
+    """``(label, pred, n)`` for all classes x classes cells, zeros included; more classes if the data has them."""
     counts = predictions.groupBy("label", "pred").agg(F.count("*").alias("n"))
+    highest = predictions.agg(F.max(F.greatest("label", "pred"))).first()[0]
+    classes = max(classes, (highest if highest is not None else 0) + 1)
     grid = predictions.sparkSession.range(classes * classes).select(
         F.floor(F.col("id") / classes).cast("int").alias("label"), (F.col("id") % classes).cast("int").alias("pred")
     )
@@ -18,8 +20,10 @@ def confusion(predictions: DataFrame, classes: int = CLASSES) -> DataFrame:
 
 def confusion_table(predictions: DataFrame, classes: int = CLASSES) -> DataFrame:
     """One row per label, one column ``c<pred>`` per predicted class."""
+    grid = confusion(predictions, classes)
+    classes = max(classes, grid.agg(F.max("pred")).first()[0] + 1)
     cells = [F.sum(F.when(F.col("pred") == c, F.col("n")).otherwise(0)).alias(f"c{c}") for c in range(classes)]
-    return confusion(predictions, classes).groupBy("label").agg(*cells)
+    return grid.groupBy("label").agg(*cells)
 
 
 def accuracy(predictions: DataFrame) -> DataFrame:

@@ -8,10 +8,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from orevein.session import materialize
 
-# Up to this size all 2^size - 2 splits of a set are listed in one step; longer sets
-# grow their consequents level by level, which prunes and never lists all splits.
-LISTED_SIZE = 12
-
 _SUBSETS = """
 transform(sequence(1L, shiftleft(1L, size) - 2L),
           mask -> filter(items, (x, i) -> (shiftright(mask, i) & 1L) = 1L))
@@ -19,7 +15,10 @@ transform(sequence(1L, shiftleft(1L, size) - 2L),
 
 
 def rule_candidates(itemsets: DataFrame) -> DataFrame:
-    """Every split of every set into antecedent and consequent, both non-empty."""
+    """Every split of every set into antecedent and consequent, both non-empty: 2^size - 2 rows a set.
+
+    :func:`association_rules` does not use it; it grows consequents level by level and lists no set in full.
+    """
     return (
         itemsets.filter(F.col("size") > 1)
         .select("items", "size", "freq", F.explode(F.expr(_SUBSETS)).alias("consequent"))
@@ -78,14 +77,13 @@ def grow_consequents(passing: DataFrame) -> DataFrame:
     )
 
 
-def grow_rules(itemsets: DataFrame, minconf: float, over: int = 1) -> tuple[DataFrame, DataFrame]:
-    """Level-wise rules of the sets with more than ``over`` items.
+def grow_rules(itemsets: DataFrame, minconf: float) -> tuple[DataFrame, DataFrame]:
+    """Level-wise rules of the sets with more than one item.
 
     Returns the rules and the grown candidates (consequents of two or more items).
     One round per consequent size; confidence can only fall as a consequent grows.
     """
-    sets = itemsets.filter(F.col("size") > max(over, 1))
-    passing = materialize(confident(single_consequents(sets), itemsets, minconf), "rules")
+    passing = materialize(confident(single_consequents(itemsets), itemsets, minconf), "rules")
     rules, grown = [passing], []
     while True:
         candidates = materialize(grow_consequents(passing), "consequents")
@@ -98,14 +96,9 @@ def grow_rules(itemsets: DataFrame, minconf: float, over: int = 1) -> tuple[Data
     return union(rules), union(grown)
 
 
-def association_rules(itemsets: DataFrame, minconf: float, listed_size: int = LISTED_SIZE) -> DataFrame:
+def association_rules(itemsets: DataFrame, minconf: float) -> DataFrame:
     """``(items, size, antecedent, consequent, freq, confidence)``, confidence > ``minconf``."""
-    listed = rule_candidates(itemsets.filter(F.col("size") <= listed_size))
-    rules = confident(listed, itemsets, minconf)
-    longest = itemsets.agg(F.max("size")).first()[0] or 0
-    if longest > listed_size:
-        rules = rules.unionByName(grow_rules(itemsets, minconf, over=listed_size)[0])
-    return rules
+    return grow_rules(itemsets, minconf)[0]
 
 
 def rules_per_size(itemsets: DataFrame, rules: DataFrame) -> DataFrame:

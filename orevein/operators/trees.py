@@ -57,7 +57,7 @@ def long_features(rows: DataFrame) -> DataFrame:
 
 
 def _column_maxima(rows: DataFrame) -> DataFrame:
-    cells = rows.select("tree", F.posexplode("features").alias("a", "v"))
+    cells = rows.select("tree", F.posexplode("features").alias("a", "v")).selectExpr("tree", "a", f"{_present('v')} AS v")
     return cells.groupBy("tree", "a").agg(F.max("v").alias("top"))
 
 
@@ -126,9 +126,10 @@ def value_cuts(rows: DataFrame, n_rows: int, scan_rows: int = SCAN_ROWS) -> np.n
     if ranges <= 1:
         return None
     shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
-    cells = rows.select(F.posexplode("features").alias("a", "v"))
+    cells = rows.select(F.posexplode("features").alias("a", "v")).selectExpr("a", f"{_present('v')} AS v")
     cuts = cells.groupBy("a").agg(F.percentile_approx("v", shares, F.lit(max(1000, 10 * ranges))).alias("cuts"))
-    return np.array([r["cuts"] for r in cuts.orderBy("a").collect()], dtype=float)
+    none = [float("inf")] * (ranges - 1)  # an attribute without any value has one range
+    return np.array([r["cuts"] or none for r in cuts.orderBy("a").collect()], dtype=float)
 
 
 def with_ranges(rows: DataFrame, cuts: np.ndarray | None) -> DataFrame:
@@ -139,7 +140,8 @@ def with_ranges(rows: DataFrame, cuts: np.ndarray | None) -> DataFrame:
 
     @F.pandas_udf("array<int>")
     def locate(features: pd.Series) -> pd.Series:
-        table = np.stack(features.to_numpy())
+        table = np.stack([np.asarray(f, dtype=float) for f in features])
+        table = np.where(np.isnan(table), -np.inf, table)  # missing values lie in the first range
         found = [np.searchsorted(c, table[:, a], side="right") for a, c in enumerate(shared.value)]
         return pd.Series(list(np.stack(found, axis=1).astype("int32")))
 
@@ -149,13 +151,15 @@ def with_ranges(rows: DataFrame, cuts: np.ndarray | None) -> DataFrame:
 def value_counts(rows: DataFrame, classes: int = CLASSES) -> DataFrame:
     """Class counts per (node, attribute, range, value) of the attributes not yet used.
 
+    A missing value (null or NaN) is smaller than all others, as :func:`branch` sends it left.
+
     Equal values collapse before the shuffle, so a value that holds a large share of
     all rows costs one record per task.
     """
     cells = rows.selectExpr(*NODE_KEY, "label", "m", "used", "ranges", "posexplode(features) AS (a, v)")
     cells = cells.filter("NOT array_contains(used, a)")
     return (
-        cells.selectExpr(*NODE_KEY, "label", "m", "a", "coalesce(get(ranges, a), 0) AS part", "v")
+        cells.selectExpr(*NODE_KEY, "label", "m", "a", "coalesce(get(ranges, a), 0) AS part", f"{_present('v')} AS v")
         .groupBy(*NODE_KEY, "a", "part", "v").agg(*_class_counts(classes))
     )
 
@@ -220,6 +224,16 @@ def best_splits(candidates: DataFrame) -> DataFrame:
     return candidates.groupBy(*NODE_KEY).agg(best).select(*NODE_KEY, "best.*")
 
 
+def _present(value: str) -> str:
+    """SQL: null in place of NaN."""
+    return f"nullif({value}, CAST('NaN' AS DOUBLE))"
+
+
+def _goes_right(a: str, split: str) -> str:
+    """SQL: right if the value reaches the split; missing values go left."""
+    return f"coalesce({_present(f'get(features, {a})')} >= {split}, false)"
+
+
 def at_root(rows: DataFrame) -> DataFrame:
     """Put every row at the root, with all attributes free."""
     return rows.withColumn("node", _per_row(ROOT)).withColumn("used", F.array().cast("array<int>"))
@@ -230,7 +244,7 @@ def find_splits(rows: DataFrame, classes: int = CLASSES, ranged: bool = False) -
 
 
 def branch(rows: DataFrame, splits: DataFrame) -> DataFrame:
-    """Move every row to a child: left if its value is below the split, else right.
+    """Move every row to a child: right if its value reaches the split, else left (missing values too).
 
     Rows of nodes without a split drop out, and rows of children that stop if ``splits``
     says so (``l_stop``, ``r_stop``). ``splits`` is a small table with known size.
@@ -239,7 +253,7 @@ def branch(rows: DataFrame, splits: DataFrame) -> DataFrame:
     stops = "if(is_left, l_stop, r_stop)" if "l_stop" in splits.columns else "false"
     return (
         rows.drop("used").join(splits, NODE_KEY)
-        .selectExpr("*", "coalesce(get(features, a) < split, false) AS is_left")
+        .selectExpr("*", f"NOT {_goes_right('a', 'split')} AS is_left")
         .filter(f"NOT {stops}")
         .selectExpr(*kept, "concat(node, if(is_left, 'L', 'R')) AS node", "used_next AS used")
     )
@@ -252,7 +266,11 @@ def root_nodes(rows: DataFrame, classes: int = CLASSES, reduce: bool = True) ->
     """Root of every tree, and the number of attributes.
 
     With ``reduce`` the columns without a positive value count as used from the start.
+    A label outside ``0 .. classes - 1`` is an error: no row is left out without a word.
     """
+    stray = rows.filter(f"label IS NULL OR label < 0 OR label >= {classes}").limit(1).count()
+    if stray:
+        raise ValueError(f"labels must lie in 0 .. {classes - 1}; pass a larger number of classes")
     counts = rows.groupBy("tree").agg(*_class_counts(classes), F.max(F.size("features")).alias("width"))
     roots = counts.select(
         "tree", F.lit(ROOT).alias("node"), F.lit(0).alias("depth"),
@@ -261,7 +279,7 @@ def root_nodes(rows: DataFrame, classes: int = CLASSES, reduce: bool = True) ->
     none = F.array().cast("array<int>")
     if reduce:
         dropped = (
-            _column_maxima(rows).filter(F.col("top") <= 0)
+            _column_maxima(rows).filter("top IS NULL OR top <= 0")
             .groupBy("tree").agg(F.sort_array(F.collect_list("a")).alias("used"))
         )
         roots = roots.join(dropped, "tree", "left").withColumn("used", F.coalesce("used", none))
@@ -363,7 +381,7 @@ def predict(model: DataFrame, rows: DataFrame) -> DataFrame:
     walk = rows.select(
         "tree", "row_id", "label", "features", F.lit(ROOT).alias("node"), F.lit(None).cast("int").alias("pred")
     )
-    turn = "CASE WHEN get(features, a) < split THEN 'L' WHEN split IS NOT NULL THEN 'R' ELSE '' END"
+    turn = f"CASE WHEN split IS NULL THEN '' WHEN {_goes_right('a', 'split')} THEN 'R' ELSE 'L' END"
     for depth in range(deepest + 1):
         step = model.filter(F.col("depth") == depth).selectExpr(*NODE_KEY, "a", "split", "label AS leaf_label")
         walk = walk.join(step, NODE_KEY, "left").selectExpr(

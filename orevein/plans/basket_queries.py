@@ -156,7 +156,7 @@ sets4 AS (SELECT x.item AS a, y.item AS b, z.item AS c, w.item AS d, count(*) AS
           JOIN kept z ON y.tid = z.tid AND y.item < z.item
           JOIN kept w ON z.tid = w.tid AND z.item < w.item
           GROUP BY ALL HAVING count(*) >= (SELECT minsup FROM bound)),
-sets AS (
+sets AS MATERIALIZED (
   SELECT a AS items, [a] AS members, 1 AS size, freq FROM sets1 UNION ALL
   SELECT concat_ws(',', a, b), [a, b], 2, freq FROM sets2 UNION ALL
   SELECT concat_ws(',', a, b, c), [a, b, c], 3, freq FROM sets3 UNION ALL
@@ -166,7 +166,7 @@ sets AS (
 _CANDIDATES = _SETS + """,
 slots AS (SELECT unnest(generate_series(1, 4)) AS slot),
 masks AS (SELECT unnest(generate_series(1, 14)) AS mask),
-candidates AS (
+candidates AS MATERIALIZED (
   SELECT s.items, s.size, s.freq, m.mask,
          string_agg(s.members[p.slot], ',' ORDER BY p.slot) FILTER (WHERE (m.mask >> (p.slot - 1)) & 1 = 0) AS antecedent,
          string_agg(s.members[p.slot], ',' ORDER BY p.slot) FILTER (WHERE (m.mask >> (p.slot - 1)) & 1 = 1) AS consequent,

@@ -13,7 +13,7 @@ CLUSTERS = 5
 TEXT_CLUSTERS = 4
 PASSES = 2
 TRIALS = 2
-TOPICS = list(range(10))
+TOPICS = list(range(10))  # labels of the given table, for the SQL only
 
 
 def unit_vectors(spark: SparkSession, sf: str) -> DataFrame:
@@ -152,7 +152,9 @@ def clu_contingency(spark, sf):
 
 
 def clu_crosstab(spark, sf):
-    return Q.crosstab(_contingency(spark, sf), TOPICS)
+    counts = materialize(_contingency(spark, sf), "contingency")
+    topics = [r["topic"] for r in counts.select("topic").distinct().orderBy("topic").collect()]  # one per class
+    return Q.crosstab(counts, topics)
 
 
 def clu_purity_entropy(spark, sf):
@@ -214,7 +216,7 @@ total AS (SELECT dim, sum(w) AS w FROM vec GROUP BY dim),
 corpus AS (SELECT dim, w / (SELECT sqrt(sum(w * w)) FROM total) AS w FROM total),
 seeds AS (
   SELECT trial, id, row_number() OVER (PARTITION BY trial ORDER BY
-           ((id % 2147483648) * 1103515245 + 12345 * (trial + 1)) % 2147483648, id) - 1 AS k
+           md5(trial || ':' || id), id) - 1 AS k
   FROM docs, (SELECT unnest([0, 1]) AS trial) QUALIFY k < {k}),
 cent0 AS (SELECT trial, k, dim, w FROM seeds JOIN vec USING (id)),
 size0 AS (SELECT trial, k, 1 AS n FROM seeds),

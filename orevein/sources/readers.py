@@ -25,6 +25,8 @@ def corpus(spark: SparkSession, path: str, pattern: str = "*.sgm", record_end: s
         spark.read.option("lineSep", record_end).option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern).text(path)
     )
+    # The end tag in another case does not cut the file; such records are cut here.
+    lines = lines.select(F.explode(F.split("value", f"(?i)\\Q{record_end}\\E")).alias("value"))
     record = F.regexp_replace(F.make_valid_utf8("value"), "�", "")
     topics = F.regexp_extract(record, r"(?is)<topics>(.*?)</topics>", 1)
     return (

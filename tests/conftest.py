@@ -14,7 +14,7 @@ CHECKED = "/root/testdata/sf0.01"
 def spark():
     from orevein.session import local_session
 
-    session = local_session("*")
+    session = local_session(os.environ.get("TEST_CPUS", "*"))
     session.sparkContext.setLogLevel("ERROR")
     yield session
 

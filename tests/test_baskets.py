@@ -51,9 +51,9 @@ def test_confidence_is_strict(spark):
 def test_grown_rules_equal_listed_rules(spark, minconf):
     baskets = BASKETS | {6: "abcde", 7: "bcde", 8: "abcde", 9: "ace"}
     found = itemsets_of(spark, baskets, 2)
-    listed = as_rules(R.association_rules(found, minconf))
+    listed = as_rules(R.confident(R.rule_candidates(found), found, minconf))
     assert as_rules(R.grow_rules(found, minconf)[0]) == listed
-    assert as_rules(R.association_rules(found, minconf, listed_size=2)) == listed
+    assert as_rules(R.association_rules(found, minconf)) == listed
 
 
 def test_itemsets_equal_brute_force(spark):

@@ -157,3 +157,33 @@ def test_unit_length_of_arrays(spark):
     got = [(r["id"], r["dim"], round(r["w"], 6)) for r in V.from_arrays(df, "id", "e").orderBy("id", "dim").collect()]
     assert got == [(1, 0, 0.6), (1, 1, 0.8), (2, 0, 0.0), (2, 1, 0.0)]
     assert V.from_arrays(df, "id", "e").filter(F.isnan("w")).count() == 0
+
+
+def test_trials_differ_and_the_best_wins(spark):
+    vectors = vectors_of(spark, many_points())
+    seeds = {}
+    for r in K.seeds(vectors, 3, 12).collect():
+        seeds.setdefault(r["trial"], set()).add(r["id"])
+    assert len({frozenset(s) for s in seeds.values()}) >= 10
+    gaps = [b - a for a, b in zip(sorted(seeds[0]), sorted(seeds[0])[1:])]
+    assert len(set(gaps)) > 1 or len({frozenset(s) for s in seeds.values()}) > 1
+    trials = K.kmeans(vectors, 3, "I2", trials=4, max_iter=3)
+    values = [t.objective for t in trials]
+    assert len({round(v, 6) for v in values}) > 1
+    assert K.best_trial(trials, "I2").objective == max(values)
+
+
+@pytest.mark.parametrize("passes", [1, 3])
+def test_sse_of_vectors_of_any_length(spark, passes):
+    points = {1: (3.0, 0.0), 2: (2.5, 0.5), 3: (0.0, 4.0), 4: (0.5, 3.0), 5: (0.0, 0.0), 6: (10.0, 10.0)}
+    rows = [(i, d, float(w)) for i, p in points.items() for d, w in enumerate(p)]
+    vectors = spark.createDataFrame(rows, "id bigint, dim int, w double")
+    trial, = K.kmeans(vectors, 2, "SSE", max_iter=passes, tol=0.0, keep="last", seed=seed_table(spark, (1, 3)))
+    got = {r["id"]: r["k"] for r in trial.assignment().collect()}
+    assert got == brute_force(points, (1, 3), 2, passes)
+    total = 0.0
+    for j in (0, 1):
+        members = [points[i] for i, c in got.items() if c == j]
+        mean = [sum(x) / len(members) for x in zip(*members)]
+        total += sum((a - b) ** 2 for p in members for a, b in zip(p, mean))
+    assert trial.objective == pytest.approx(total)

@@ -172,3 +172,25 @@ def test_confusion_and_accuracy(spark):
 def test_columns_of_test_rows_follow_training(spark):
     rows = rows_of(spark, [(0, (5, 6, 7))])
     assert T.apply_columns(rows, [2, 0]).first()["features"] == [7.0, 5.0]
+
+
+@pytest.mark.parametrize("scan_rows", [2_000_000, 4])
+@pytest.mark.parametrize("missing", [None, float("nan")])
+def test_missing_values_go_left_everywhere(spark, missing, scan_rows):
+    data = [(i, 0, [missing, 1.0]) for i in range(4)] + [(4 + i, 1, [2.0 + i, 1.0]) for i in range(4)]
+    rows = T.single_tree(spark.createDataFrame(data, "row_id bigint, label int, features array<double>"))
+    model = T.fit(rows, minfreq=2, scan_rows=scan_rows)
+    assert {r["n"] for r in model.filter("depth = 1").collect()} == {4}
+    assert all(r["pred"] == r["label"] for r in T.predict(model, rows).collect())
+
+
+def test_unknown_labels_are_refused_and_more_classes_work(spark):
+    data = [(i, 12 if i % 2 else 1, [float(i % 2)]) for i in range(60)]
+    rows = T.single_tree(spark.createDataFrame(data, "row_id bigint, label int, features array<double>"))
+    with pytest.raises(ValueError):
+        T.fit(rows, minfreq=2)
+    found = T.predict(T.fit(rows, minfreq=2, classes=13), rows)
+    assert E.accuracy(found).first()["accuracy"] == 1.0
+    assert E.confusion(found).agg(F.sum("n")).first()[0] == 60
+    ballots = found.select("row_id", "label", "pred").withColumn("tree", F.lit(0))
+    assert R.vote(ballots).filter("pred = label").count() == 60
