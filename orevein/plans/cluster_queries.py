@@ -252,8 +252,10 @@ member{i + 1} AS (
              ORDER BY round({_COST[criterion]}, 9), s.k) AS rn
     FROM dot{i} p JOIN stat{i} s ON s.trial = p.trial AND s.k = p.k JOIN to_corpus t ON t.id = p.id
     LEFT JOIN member{i} m ON m.trial = p.trial AND m.id = p.id) WHERE rn = 1),
-cent{i + 1} AS (SELECT trial, k, dim, sum(w) AS w FROM member{i + 1} JOIN vec USING (id) GROUP BY ALL),
-size{i + 1} AS (SELECT trial, k, count(*) AS n FROM member{i + 1} GROUP BY ALL)
+live{i + 1} AS (SELECT trial, k, count(*) AS n FROM member{i + 1} GROUP BY ALL),
+cent{i + 1} AS (SELECT trial, k, dim, sum(w) AS w FROM member{i + 1} JOIN vec USING (id) GROUP BY ALL
+                UNION ALL SELECT c.* FROM cent{i} c ANTI JOIN live{i + 1} USING (trial, k)),
+size{i + 1} AS (SELECT * FROM live{i + 1} UNION ALL SELECT z.* FROM size{i} z ANTI JOIN live{i + 1} USING (trial, k))
 """
 
 
@@ -266,10 +268,11 @@ _OBJECTIVE = {
               FROM member1 JOIN vec v USING (id) JOIN cent1 c USING (trial, k, dim) JOIN size1 USING (trial, k)
               GROUP BY trial""",
     "I2": """SELECT trial, sum(norm) AS objective
-             FROM (SELECT trial, k, sqrt(sum(w * w)) AS norm FROM cent1 GROUP BY trial, k) GROUP BY trial""",
+             FROM (SELECT trial, k, sqrt(sum(w * w)) AS norm FROM cent1 SEMI JOIN live1 USING (trial, k) GROUP BY trial, k)
+             GROUP BY trial""",
     "E1": """SELECT trial, sum(cosine) AS objective
              FROM (SELECT trial, k, any_value(n) * sum(c.w * d.w) / sqrt(sum(c.w * c.w)) AS cosine
-                   FROM cent1 c JOIN corpus d USING (dim) JOIN size1 USING (trial, k) GROUP BY trial, k)
+                   FROM cent1 c JOIN corpus d USING (dim) JOIN live1 USING (trial, k) GROUP BY trial, k)
              GROUP BY trial""",
 }
 _SHIFT = {
