@@ -23,10 +23,5 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.size(F.regexp_extract_all(text, F.lit(WORD), F.lit(0))), F.lit(0)).cast("bigint")
 
 
-def pieces(df: DataFrame, rows_each: int) -> int:
-    """Number of parts so that each holds about ``rows_each`` rows, at least one."""
-    return max(1, -(-df.count() // rows_each))
-
-
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -28,7 +28,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orevein.llm.common import lower_words
+from orevein.llm.common import lower_words, shuffle_partitions
 from orevein.llm.components import connected_components
 from orevein.plans.tables import table
 from orevein.session import Scratch
@@ -155,7 +155,7 @@ def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, scratch: Scrat
     members = pairs.join(salts, "a").join(texts, F.col("b") == F.col("cls")).select(
         "a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("kind"), "b", "f1", "text"
     )
-    rows = hubs.union(members).repartition("a", "salt").sortWithinPartitions("a", "salt", "kind", "b")
+    rows = hubs.union(members).repartition(shuffle_partitions(docs), "a", "salt").sortWithinPartitions("a", "salt", "kind", "b")
     found = scratch.table(rows.mapInPandas(_confirm, "a bigint, b bigint").distinct(), "confirmed")
     scratch.drop(texts)
     return found
@@ -304,15 +304,17 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     shape = "key bigint, one int, two int, side int, cls bigint, comp bigint, n bigint, sig array<int>, prefix array<bigint>"
     spot = ["key", "one", "two"]
+    # A stated number of tasks: sweeps cost far more than their bytes tell adaptive execution.
+    tasks = shuffle_partitions(docs)
     members = scratch.table(
-        dealt.repartition(*spot).sortWithinPartitions(*spot, "side", "cls").mapInPandas(_find_members, shape), "members"
+        dealt.repartition(tasks, *spot).sortWithinPartitions(*spot, "side", "cls").mapInPandas(_find_members, shape), "members"
     )
     sets_of = scratch.table(
         _texts(members.select("cls").distinct(), classes, docs).mapInPandas(_shingles, "cls bigint, shingles binary")
         .dropDuplicates(["cls"]), "shingles",
     )
     second = scratch.table(
-        members.join(sets_of, "cls").repartition(*spot).sortWithinPartitions(*spot, "side", "cls")
+        members.join(sets_of, "cls").repartition(tasks, *spot).sortWithinPartitions(*spot, "side", "cls")
         .mapInPandas(_merge_components, "a bigint, b bigint"), "merges",
     )
     reach = connected_components(links.union(second), scratch).withColumnRenamed("id", "cls")
