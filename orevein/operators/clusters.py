@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from orevein.functions.hashing import digest
 from orevein.operators import vectors as V
-from orevein.session import materialize
+from orevein.session import Scratch, materialize
 
 CRITERIA = ("SSE", "I2", "E1")
 SHIFT_LIMIT = 0.01  # fixed value: mean centroid change below which a trial has converged
@@ -259,16 +259,18 @@ class Batch:
     stats: dict[tuple[int, int], Stats]
     trials: dict[int, Trial]
     own: float  # sum of the documents' squared lengths
+    scratch: Scratch
     assigned: DataFrame | None = None
 
 
 def start(
     vectors: DataFrame, criterion: str, k: int, trials: range, seed: DataFrame, corpus: DataFrame | None
 ) -> Batch:
-    wide = materialize(with_corpus(seed_centroids(vectors, seed, k, trials), corpus), "centroids")
+    scratch = Scratch(vectors.sparkSession, "kmeans")
+    wide = scratch.table(with_corpus(seed_centroids(vectors, seed, k, trials), corpus), "centroids")
     sizes = {(t, j): 1 for t in trials for j in range(k)}
     own = vectors.agg(F.sum(F.col("w") * F.col("w"))).first()[0] or 0.0
-    return Batch(criterion, k, vectors, corpus, wide, cluster_stats(wide, sizes), {t: Trial(t) for t in trials}, own)
+    return Batch(criterion, k, vectors, corpus, wide, cluster_stats(wide, sizes), {t: Trial(t) for t in trials}, own, scratch)
 
 
 def one_pass(state: Batch, active: list[int]) -> None:
@@ -291,7 +293,7 @@ def one_pass(state: Batch, active: list[int]) -> None:
             "dim",
             *[F.col(f"old_{centroid(*key)}" if key in empty else centroid(*key)).alias(centroid(*key)) for key in sizes],
         )
-    wide = materialize(with_corpus(wide, state.corpus), "centroids")
+    wide = state.scratch.table(with_corpus(wide, state.corpus), "centroids")
     effective = {key: n or state.stats[key].n for key, n in sizes.items()}
     new_stats, shift = stats_and_shift(state.criterion, state.wide, wide, stats, effective)
     for t in active:
@@ -301,6 +303,7 @@ def one_pass(state: Batch, active: list[int]) -> None:
         trial.shift, trial.assigned = shift[t], assigned
         trial.sizes = {j: sizes[t, j] for j in range(state.k)}
         trial.passes += 1
+    state.scratch.drop(state.wide)
     state.wide, state.stats, state.assigned = wide, new_stats, assigned
 
 

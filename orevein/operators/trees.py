@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from orevein.session import materialize, scratch_path
+from orevein.session import Scratch, materialize, scratch_path
 
 CLASSES = 10  # fixed value: labels are the ten classes 0..9
 MIN_FREQ = 20  # fixed value: default minimum number of rows a node needs to be split
@@ -320,9 +320,11 @@ def fit(
     nodes = node_status(roots, minfreq, width, max_depth)
     largest = nodes.agg(F.max("n")).first()[0] or 0
     cuts = value_cuts(rows, largest, scan_rows)
+    scratch = Scratch(spark, "tree")
     rows = with_ranges(rows, cuts)
+    kept = None  # the last table of rows, deleted when the next one is written
     if cuts is not None:
-        rows = materialize(rows, "ranges")
+        rows = kept = scratch.table(rows, "ranges")
     active = nodes.filter("NOT stop")
     rows = rows.join(active.select("tree", "node", "used"), "tree")
     path, depth = scratch_path(spark, "splits"), 0
@@ -341,7 +343,9 @@ def fit(
         rows = branch(rows, splits.select(*NODE_KEY, "a", "split", "used_next", "l_stop", "r_stop"))
         depth += 1
         if depth % REWRITE_LEVELS == 0:
-            rows = materialize(rows, "rows")
+            rows = scratch.table(rows, "rows")
+            scratch.drop(kept)
+            kept = rows
     splits = spark.read.schema(_SPLIT_SCHEMA).parquet(path)
     return _model(roots, splits)
 

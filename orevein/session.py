@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -53,6 +54,16 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs now.
+
+    Spark removes them once the driver has collected the plans that made them as garbage; between two
+    large steps it is worth asking for it, so that their files are not on disk together.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 class Scratch:
     """Hand-off tables of one run, all in one folder below the shared scratch folder."""
 
