@@ -17,6 +17,7 @@ A null id counts as empty text in the checksum and is learned from like any othe
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 
 import numpy as np
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from orevein.llm.common import checksum, lower_words
 from orevein.plans.tables import table
-from orevein.session import Scratch
+from orevein.session import Scratch, release_shuffles
 
 ORDER = 5  # bytes of the longest context; 7 at most, as a pair must fit into 64 bits
 SYMBOLS = 255  # byte values that a text can hold, the end symbol among them
@@ -207,38 +208,58 @@ def _orders(pairs: DataFrame, order: int) -> dict[int, DataFrame]:
     return found
 
 
+def _shorter(column: str, size: int) -> Column:
+    """The last ``size`` bytes of a context."""
+    return F.col(column).bitwiseAND(F.lit((1 << (8 * size)) - 1))
+
+
+def _after_escape(unseen: DataFrame, counts: dict[int, DataFrame], order: int, scratch: Scratch) -> DataFrame:
+    """``(ctx, sym, value)``: log10 probability of a symbol after an escape from its context.
+
+    The next shorter context leaves out the symbols of the longer one, so its totals shrink by their counts. Works
+    from order 0 up; only pairs that the training texts don't have are carried.
+    """
+    needed = {order: unseen}
+    for size in range(order - 1, -1, -1):
+        needed[size] = needed[size + 1].select(_shorter("ctx", size).alias("ctx"), "sym").distinct()
+    stats = {size: df.groupBy("ctx").agg(F.sum("n").alias("t"), F.count("*").alias("d")) for size, df in counts.items()}
+    known = counts[0].count()  # a row per symbol
+    found = needed[0].withColumn("value", F.lit(-math.log10(SYMBOLS - known) if known < SYMBOLS else 0.0))
+    for size in range(1, order + 1):
+        low = _shorter("ctx", size - 1).alias("low")
+        longer = counts[size].join(needed[size].select("ctx").distinct(), "ctx", "left_semi").select("ctx", low, "sym")
+        shorter = counts[size - 1].select(F.col("ctx").alias("low"), "sym", "n")
+        cut = longer.join(shorter, ["low", "sym"]).groupBy("ctx").agg(F.sum("n").alias("x"), F.count("*").alias("e"))
+        rows = (
+            needed[size].select("ctx", low, "sym").join(cut, "ctx", "left")
+            .join(stats[size - 1].withColumnRenamed("ctx", "low"), "low", "left").join(shorter, ["low", "sym"], "left")
+            .join(found.select(F.col("ctx").alias("low"), "sym", F.col("value").alias("rest")), ["low", "sym"])
+        )
+        t = F.coalesce("t", F.lit(0)) - F.coalesce("x", F.lit(0))
+        d = F.coalesce("d", F.lit(0)) - F.coalesce("e", F.lit(0))
+        # A pair that the longer context knows has no use here and may have no counts left: null.
+        twice = F.nullif(t * 2, F.lit(0))
+        value = F.when(F.col("n").isNotNull(), F.log10((F.col("n") * 2 - 1) / twice)).otherwise(
+            F.when(d > 0, F.log10(d / twice)).otherwise(0.0) + F.col("rest")
+        )
+        found = scratch.table(rows.select("ctx", "sym", value.alias("value")), f"escape{size}")
+    return found
+
+
 def pair_log_probabilities(pairs: DataFrame, scratch: Scratch, order: int = ORDER) -> DataFrame:
     """``(key, value)``: log10 probability of every (context, symbol) pair of ``pairs (key, n)``."""
     counts = {size: scratch.table(df, f"order{size}") for size, df in _orders(pairs, order).items()}
-    stats = {}
-    for size, df in counts.items():
-        stats[size] = df.groupBy("ctx").agg(F.sum("n").alias("t"), F.count("*").alias("d"))
-        if size:  # counts that the next shorter context has of the symbols this one excludes
-            low = F.col("ctx").bitwiseAND(F.lit((1 << (8 * (size - 1))) - 1)).alias("low")
-            shorter = counts[size - 1].select(F.col("ctx").alias("low"), "sym", F.col("n").alias("m"))
-            out = df.select("ctx", low, "sym").join(shorter, ["low", "sym"]).groupBy("ctx").agg(F.sum("m").alias("x"))
-            stats[size] = stats[size].join(out, "ctx")
-        else:
-            stats[size] = stats[size].withColumn("x", F.lit(0).cast("bigint"))
-    rows = pairs.select("key", F.col("key").bitwiseAND(F.lit(255)).alias("sym"))
-    for size in range(order, -1, -1):
-        ctx = F.shiftright("key", 8).bitwiseAND(F.lit((1 << (8 * size)) - 1))
-        stat = stats[size].select(
-            F.col("ctx").alias(f"c{size}"), F.col("t").alias(f"t{size}"), F.col("d").alias(f"d{size}"), F.col("x").alias(f"x{size}")
-        )
-        count = counts[size].select(F.col("ctx").alias(f"c{size}"), "sym", F.col("n").alias(f"n{size}"))
-        rows = rows.withColumn(f"c{size}", ctx).join(stat, f"c{size}", "left").join(count, [f"c{size}", "sym"], "left")
-    value: Column = F.lit(0.0)
-    branches: Column | None = None
-    for size in range(order, -1, -1):
-        cut_t = F.coalesce(F.col(f"x{size + 1}"), F.lit(0)) if size < order else F.lit(0)
-        cut_d = F.coalesce(F.col(f"d{size + 1}"), F.lit(0)) if size < order else F.lit(0)
-        t, d = F.coalesce(F.col(f"t{size}"), F.lit(0)) - cut_t, F.coalesce(F.col(f"d{size}"), F.lit(0)) - cut_d
-        seen = value + F.log10((F.col(f"n{size}") * 2 - 1) / (t * 2))
-        branches = F.when(F.col(f"n{size}").isNotNull(), seen) if branches is None else branches.when(F.col(f"n{size}").isNotNull(), seen)
-        value = value + F.when(d > 0, F.log10(d / (t * 2))).otherwise(0.0)
-    last = value - F.log10(F.lit(float(SYMBOLS)) - F.coalesce(F.col("d0"), F.lit(0)))
-    return rows.select("key", branches.otherwise(last).alias("value"))
+    split = pairs.select("key", F.shiftright("key", 8).alias("ctx"), F.col("key").bitwiseAND(F.lit(255)).alias("sym"), "n")
+    escaped = _after_escape(split.filter("n = 0").select("ctx", "sym"), counts, order, scratch)
+    stat = counts[order].groupBy("ctx").agg(F.sum("n").alias("t"), F.count("*").alias("d"))
+    seen = split.filter("n > 0").join(stat, "ctx").select("key", F.log10((F.col("n") * 2 - 1) / (F.col("t") * 2)).alias("value"))
+    escape = F.when(F.col("d").isNotNull(), F.log10(F.col("d") / (F.col("t") * 2))).otherwise(0.0)
+    unseen = split.filter("n = 0").join(stat, "ctx", "left").join(escaped, ["ctx", "sym"]).select(
+        "key", (escape + F.col("value")).alias("value")
+    )
+    values = scratch.table(seen.union(unseen), "values")
+    scratch.drop(*counts.values())
+    return values
 
 
 def score(
@@ -249,7 +270,7 @@ def score(
     docs = docs.select(F.col(id_col).cast("bigint").alias("id"), held_out.alias("held_out"), F.col(text_col).alias("text"))
     size = docs.agg(F.sum(F.coalesce(F.char_length("text"), F.lit(0)) + 1).alias("chars"), F.count("*").alias("n")).first()
     cores = docs.sparkSession.sparkContext.defaultParallelism
-    blocks = max(-(-(size["chars"] or 0) // BLOCK_CHARS), min(2 * cores, size["n"]), 1)
+    blocks = max(-(-(size["chars"] or 0) // BLOCK_CHARS), min(cores, size["n"]), 1)
     # The text joins the hash so that rows with one id, or none, spread.
     block = F.pmod(F.xxhash64("id", F.substring("text", 1, 64)), F.lit(blocks)).cast("int")
     docs = docs.withColumn("block", block)
@@ -257,15 +278,16 @@ def score(
         docs.groupBy("block").applyInPandas(lambda pdf: _count_block(pdf, order), "block int, kind byte, key bigint, n bigint"),
         "seen",
     )
+    release_shuffles(docs.sparkSession)
     keys = scratch.table(seen.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
     totals = keys.filter("kind = 1").agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
     total, distinct = totals["n"] or 0, totals["v"] or 0
-    pairs = keys.filter("kind = 0").select("key", "n")
-    values = scratch.table(
-        pair_log_probabilities(pairs, scratch, order).select(F.lit(0).cast("byte").alias("kind"), "key", "value")
-        .union(keys.filter("kind = 1").select("kind", "key", F.col("n").cast("double"))), "values",
+    values = pair_log_probabilities(keys.filter("kind = 0").select("key", "n"), scratch, order)
+    parts = values.select(F.lit(0).cast("byte").alias("kind"), "key", "value").union(
+        keys.filter("kind = 1").select("kind", "key", F.col("n").cast("double"))
     )
-    model = seen.select("block", "kind", "key").join(values, ["kind", "key"])
+    release_shuffles(docs.sparkSession)
+    model = seen.select("block", "kind", "key").join(parts, ["kind", "key"])
     shape = "id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     return docs.groupBy("block").cogroup(model.groupBy("block")).applyInPandas(
         lambda left, right: _score_block(left, right, order, total, distinct), shape
