@@ -32,7 +32,7 @@ from orevein.session import Scratch, release_shuffles
 ORDER = 5  # bytes of the longest context; 7 at most, as a pair must fit into 64 bits
 SYMBOLS = 255  # byte values that a text can hold, the end symbol among them
 START, END = b"\xfe", b"\xff"  # bytes that UTF-8 never uses
-BLOCK_CHARS = 32_000_000
+BLOCK_CHARS = 24_000_000
 CHUNK = 1 << 21  # positions that are looked up at once
 _END_TOKEN = b"\n"  # no word holds white space
 
@@ -89,7 +89,8 @@ def _symbols(texts: list[str | None], order: int) -> tuple[np.ndarray, np.ndarra
     """All texts as one byte array, each after ``order`` start bytes, and where their first symbols stand."""
     parts = [b" ".join(lower_words(t)) + END for t in texts]
     starts = np.cumsum([0] + [len(p) + order for p in parts])[:-1] + order
-    return np.frombuffer(b"".join(START * order + p for p in parts), np.uint8), starts
+    pad = START * order
+    return np.frombuffer(pad + pad.join(parts) if parts else b"", np.uint8), starts
 
 
 def _pairs(data: np.ndarray, order: int, start: int, stop: int) -> np.ndarray:

@@ -331,7 +331,10 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of ``docs`` of every group of near-duplicates, all columns; documents without words all stay."""
+    """One row of ``docs`` of every group of near-duplicates, all columns; documents without words all stay.
+
+    Ids name documents here: rows of one id stay or go together, and equal rows of one id are cut to one.
+    """
     gone = near_documents(docs, id_col, text_col).filter("NOT kept").select(F.col("id").alias("_gone")).distinct()
     left = docs.join(gone, F.col(id_col).cast("bigint").eqNullSafe(F.col("_gone")), "left_anti")
     return left.dropDuplicates([id_col, text_col])
