@@ -32,8 +32,9 @@ from orevein.session import Scratch, release_shuffles
 ORDER = 5  # bytes of the longest context; 7 at most, as a pair must fit into 64 bits
 SYMBOLS = 255  # byte values that a text can hold, the end symbol among them
 START, END = b"\xfe", b"\xff"  # bytes that UTF-8 never uses
-BLOCK_CHARS = 24_000_000
-CHUNK = 1 << 21  # positions that are looked up at once
+BLOCK_CHARS = 32_000_000
+CHUNK = 1 << 21  # positions that are counted at once
+LOOKED_UP = 1 << 18  # positions whose probabilities are looked up at once
 _END_TOKEN = b"\n"  # no word holds white space
 
 
@@ -163,34 +164,34 @@ class _Lookup:
 
 
 def _score_block(docs: pd.DataFrame, model: pd.DataFrame, order: int, total: int, distinct: int) -> pd.DataFrame:
-    pair, word = model[model.kind == 0], model[model.kind == 1]
+    kind, key, value = (model.pop(c).to_numpy() for c in ("kind", "key", "value"))
+    look = _Lookup(key[kind == 0], value[kind == 0])
+    count_of = _Lookup(key[kind == 1], value[kind == 1])
+    del kind, key, value
     data, starts = _symbols(docs.text.tolist(), order)
-    look = _Lookup(pair.key.to_numpy(np.int64), pair.value.to_numpy(np.float64))
-    # Running sums per chunk keep memory at a few arrays of CHUNK positions.
     score = np.zeros(len(docs))
-    owner_ends = np.append(starts[1:] - order, len(data))
-    for start in range(order, len(data), CHUNK):
-        stop = min(start + CHUNK, len(data))
+    ends = np.append(starts[1:] - order, len(data))
+    # Short chunks: a running sum over each keeps memory at a few arrays of LOOKED_UP positions.
+    for start in range(order, len(data), LOOKED_UP):
+        stop = min(start + LOOKED_UP, len(data))
         logs = np.zeros(stop - start)
         real = data[start:stop] != START[0]
         logs[real] = look(_pairs(data, order, start, stop)[real])
         sums = np.concatenate([[0.0], np.cumsum(logs)])
-        first, last = np.searchsorted(owner_ends, start, "right"), np.searchsorted(starts, stop)
+        first, last = np.searchsorted(ends, start, "right"), np.searchsorted(starts, stop)
         lo = np.clip(starts[first:last], start, stop) - start
-        hi = np.clip(owner_ends[first:last], start, stop) - start
+        hi = np.clip(ends[first:last], start, stop) - start
         score[first:last] += sums[hi] - sums[lo]
-    known = dict(zip(word.key.tolist(), word.value.tolist()))
+    del data, look
+    words = {_END_TOKEN}
+    for text in docs.text:
+        words.update(lower_words(text))
+    known = np.fromiter((_word_key(w) for w in words), np.int64, len(words))
+    counts = dict(zip(words, count_of(known).tolist()))
     bottom = np.log10(0.1) - np.log10(total + 0.1 * (distinct + 1))
-    logs: dict[bytes, float] = {}
     rows = []
     for ident, held, text, value in zip(docs.id, docs.held_out, docs.text, score):
-        tokens = [*lower_words(text), _END_TOKEN]
-        counts = []
-        for token in tokens:
-            if token not in logs:
-                logs[token] = known[_word_key(token)]
-            counts.append(logs[token])
-        c = np.array(counts)
+        c = np.array([counts[t] for t in lower_words(text)] + [counts[_END_TOKEN]])
         base = float(np.log10((c + 0.1) / 0.1).sum() + len(c) * bottom)
         rows.append((ident, held, len(c), int((c > 0).sum()), total, base, float(value)))
     out = pd.DataFrame(rows, columns=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
