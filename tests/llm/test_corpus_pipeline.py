@@ -6,6 +6,8 @@ import math
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from orevein.llm import quality
 from orevein.llm.common import lower_words
@@ -21,7 +23,7 @@ def test_stages_against_brute_force(spark, small, tmp_path):
     rows = [{r["doc_id"]: r["text"] for r in df.collect()} for df in kept[:4]]
 
     labels = spark.read.parquet(f"{small}/labels.parquet")
-    model = quality.fit(docs, labels, ~quality.held_out(docs["doc_id"]))
+    model = quality.fit(docs, labels, ~quality.held_out(F.col("doc_id")))
     scores, offset = model.bucket_scores(), model.offset()
 
     def good(text):
