@@ -33,7 +33,7 @@ ORDER = 5  # bytes of the longest context; 7 at most, as a pair must fit into 64
 SYMBOLS = 255  # byte values that a text can hold, the end symbol among them
 START, END = b"\xfe", b"\xff"  # bytes that UTF-8 never uses
 BLOCK_CHARS = 32_000_000
-CHUNK = 1 << 21  # positions that are counted at once
+CHUNK = 1 << 19  # positions that are counted at once
 LOOKED_UP = 1 << 18  # positions whose probabilities are looked up at once
 _END_TOKEN = b"\n"  # no word holds white space
 
@@ -88,10 +88,12 @@ def adaptive_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _symbols(texts: list[str | None], order: int) -> tuple[np.ndarray, np.ndarray]:
     """All texts as one byte array, each after ``order`` start bytes, and where their first symbols stand."""
-    parts = [b" ".join(lower_words(t)) + END for t in texts]
-    starts = np.cumsum([0] + [len(p) + order for p in parts])[:-1] + order
-    pad = START * order
-    return np.frombuffer(pad + pad.join(parts) if parts else b"", np.uint8), starts
+    pad, data, starts = START * order, bytearray(), []
+    for text in texts:
+        data += pad
+        starts.append(len(data))
+        data += b" ".join(lower_words(text)) + END
+    return np.frombuffer(data, np.uint8), np.array(starts, np.int64)
 
 
 def _pairs(data: np.ndarray, order: int, start: int, stop: int) -> np.ndarray:
@@ -102,17 +104,23 @@ def _pairs(data: np.ndarray, order: int, start: int, stop: int) -> np.ndarray:
     return code
 
 
+def _add_up(counts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, spot = np.unique(np.concatenate([k for k, _ in counts]), return_inverse=True)
+    return keys, np.bincount(spot, weights=np.concatenate([n for _, n in counts])).astype(np.int64)
+
+
 def _count_pairs(texts: list, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Different pairs and their counts; chunks are added up as soon as they outgrow what is known."""
     data, _ = _symbols(texts, order)
-    found = []
+    known = np.empty(0, np.int64), np.empty(0, np.int64)
+    waiting = []
     for start in range(order, len(data), CHUNK):
         stop = min(start + CHUNK, len(data))
         code = _pairs(data, order, start, stop)
-        found.append(np.unique(code[data[start:stop] != START[0]], return_counts=True))
-    if not found:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    keys, spot = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
-    return keys, np.bincount(spot, weights=np.concatenate([n for _, n in found])).astype(np.int64)
+        waiting.append(np.unique(code[data[start:stop] != START[0]], return_counts=True))
+        if sum(len(k) for k, _ in waiting) >= len(known[0]) or stop == len(data):
+            known, waiting = _add_up([known, *waiting]), []
+    return known
 
 
 def _word_key(word: bytes) -> int:
