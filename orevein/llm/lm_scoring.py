@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -34,6 +35,7 @@ SYMBOLS = 255  # byte values that a text can hold, the end symbol among them
 START, END = b"\xfe", b"\xff"  # bytes that UTF-8 never uses
 BLOCK_CHARS = 32_000_000
 CHUNK = 1 << 19  # positions that are counted at once
+WORD_CHARS = 1 << 22  # characters whose words are held at once
 LOOKED_UP = 1 << 18  # positions whose probabilities are looked up at once
 _END_TOKEN = b"\n"  # no word holds white space
 
@@ -127,12 +129,26 @@ def _word_key(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word) - (1 << 63)
 
 
-def _count_words(texts: list) -> Counter:
-    counts: Counter = Counter()
-    for text in texts:
-        counts.update(lower_words(text))
-    counts[_END_TOKEN] = len(texts)
-    return counts
+def _runs(texts: list) -> Iterator[tuple[int, int]]:
+    """Bounds of consecutive texts with about ``WORD_CHARS`` characters, so that few words are held at once."""
+    start = chars = 0
+    for i, text in enumerate(texts):
+        chars += len(text or "")
+        if chars >= WORD_CHARS or i == len(texts) - 1:
+            yield start, i + 1
+            start, chars = i + 1, 0
+
+
+def _count_words(texts: list) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and counts of the different words, an end for every text among them."""
+    known = np.array([_word_key(_END_TOKEN)], np.int64), np.array([len(texts)], np.int64)
+    for start, stop in _runs(texts):
+        counts: Counter = Counter()
+        for text in texts[start:stop]:
+            counts.update(lower_words(text))
+        keys = np.fromiter(map(_word_key, counts), np.int64, len(counts))
+        known = _add_up([known, (keys, np.fromiter(counts.values(), np.int64, len(counts)))])
+    return known
 
 
 def _count_block(pdf: pd.DataFrame, order: int) -> pd.DataFrame:
@@ -140,14 +156,13 @@ def _count_block(pdf: pd.DataFrame, order: int) -> pd.DataFrame:
     learned, rest = pdf.text[~pdf.held_out].tolist(), pdf.text[pdf.held_out].tolist()
     keys, n = _count_pairs(learned, order)
     others = np.setdiff1d(_count_pairs(rest, order)[0], keys, assume_unique=True)
-    words, more = _count_words(learned), _count_words(rest)
-    for word in more:
-        words.setdefault(word, 0)
-    kinds = np.repeat([0, 1], [len(keys) + len(others), len(words)]).astype(np.int8)
+    words, found = _count_words(learned)
+    more = np.setdiff1d(_count_words(rest)[0], words, assume_unique=True)
+    parts = [(keys, n), (others, np.zeros(len(others), np.int64)), (words, found), (more, np.zeros(len(more), np.int64))]
     return pd.DataFrame({
-        "block": pdf.block.iloc[0], "kind": kinds,
-        "key": np.concatenate([keys, others, np.array([_word_key(w) for w in words], np.int64)]),
-        "n": np.concatenate([n, np.zeros(len(others), np.int64), np.array(list(words.values()), np.int64)]),
+        "block": pdf.block.iloc[0],
+        "kind": np.repeat([0, 1], [len(keys) + len(others), len(words) + len(more)]).astype(np.int8),
+        "key": np.concatenate([k for k, _ in parts]), "n": np.concatenate([c for _, c in parts]),
     })
 
 
@@ -191,17 +206,19 @@ def _score_block(docs: pd.DataFrame, model: pd.DataFrame, order: int, total: int
         hi = np.clip(ends[first:last], start, stop) - start
         score[first:last] += sums[hi] - sums[lo]
     del data, look
-    words = {_END_TOKEN}
-    for text in docs.text:
-        words.update(lower_words(text))
-    known = np.fromiter((_word_key(w) for w in words), np.int64, len(words))
-    counts = dict(zip(words, count_of(known).tolist()))
     bottom = np.log10(0.1) - np.log10(total + 0.1 * (distinct + 1))
-    rows = []
-    for ident, held, text, value in zip(docs.id, docs.held_out, docs.text, score):
-        c = np.array([counts[t] for t in lower_words(text)] + [counts[_END_TOKEN]])
-        base = float(np.log10((c + 0.1) / 0.1).sum() + len(c) * bottom)
-        rows.append((ident, held, len(c), int((c > 0).sum()), total, base, float(value)))
+    rows, texts = [], docs.text.tolist()
+    for start, stop in _runs(texts):
+        words = {_END_TOKEN}
+        for text in texts[start:stop]:
+            words.update(lower_words(text))
+        known = np.fromiter(map(_word_key, words), np.int64, len(words))
+        counts = dict(zip(words, count_of(known).tolist()))
+        part = docs.iloc[start:stop]
+        for ident, held, text, value in zip(part.id, part.held_out, texts[start:stop], score[start:stop]):
+            c = np.array([counts[t] for t in lower_words(text)] + [counts[_END_TOKEN]])
+            base = float(np.log10((c + 0.1) / 0.1).sum() + len(c) * bottom)
+            rows.append((ident, held, len(c), int((c > 0).sum()), total, base, float(value)))
     out = pd.DataFrame(rows, columns=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
     out["id"] = out["id"].astype("Int64")
     return out
