@@ -17,6 +17,7 @@ A pair at similarity 0.85 is missed with a probability below 2e-5 (fewer than 18
 Defined cases: A-Z are lower-cased, words lie between ASCII white space. Fewer than five words: the whole
 sequence is the one shingle; no words or a null text: the empty set, which links with nothing. Repeated rows are
 equal sets; a null id ranks last. ``component_id`` is the smallest id reachable. Empty tables give no rows; other columns are ignored.
+Ids need not be unique: a row is told by its id and the hash of its text, a group by its ``component``, never by an id alone.
 """
 
 from __future__ import annotations
@@ -98,14 +99,19 @@ def _signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hashes = WordHashes()
     for batch in batches:
         rows = []
-        for ident, text in zip(batch["id"], batch["text"]):
+        for ident, text_hash, text in zip(batch["id"], batch["text_hash"], batch["text"]):
             s = shingle_set(text, hashes)
-            rows.append((ident, len(s), *fingerprint(s), signature(s) if len(s) else None))
-        out = pd.DataFrame(rows, columns=["id", "n", "f1", "f2", "sig"])
+            rows.append((ident, text_hash, len(s), *fingerprint(s), signature(s) if len(s) else None))
+        out = pd.DataFrame(rows, columns=["id", "text_hash", "n", "f1", "f2", "sig"])
         out["id"] = out["id"].astype("Int64")
         yield out
 
 
+def _text_hash(text_col: str):
+    """Tells rows of one id apart; Spark's 64-bit hash of the text as it is."""
+    return F.xxhash64(F.col(text_col))
+
+
 def _agreements(a: str, b: str):
     return F.expr(f"aggregate(zip_with({a}, {b}, (x, y) -> if(x = y, 1, 0)), 0, (s, x) -> s + x)")
 
@@ -139,8 +145,9 @@ def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _texts(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """``(cls, f1, text)``: a text of every class in ``wanted (cls)``."""
-    ends = classes.join(wanted, "cls", "left_semi").select("cls", F.col("low").alias("id"), "f1")
-    return docs.join(ends, docs.id.eqNullSafe(ends.id)).select("cls", "f1", "text")
+    ends = classes.join(wanted, "cls", "left_semi").select("cls", F.col("low").alias("id"), F.col("low_hash").alias("text_hash"), "f1")
+    same = docs.id.eqNullSafe(ends.id) & (docs.text_hash == ends.text_hash)
+    return docs.join(ends, same).select("cls", "f1", "text")
 
 
 def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -265,14 +272,19 @@ def _postings(classes: DataFrame) -> DataFrame:
 
 
 def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, f1, f2, n_shingles, component_id, kept)``, a row per document."""
+    """``(id, text_hash, f1, f2, n_shingles, component, component_id, kept)``, a row per document.
+
+    ``component`` tells the groups apart, null without words; two groups can have one ``component_id`` if ids repeat.
+    """
     scratch = Scratch(docs.sparkSession, "minhash")
-    docs = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
+    docs = docs.select(F.col(id_col).cast("bigint").alias("id"), _text_hash(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     sets = scratch.table(
-        docs.mapInPandas(_signatures, "id bigint, n bigint, f1 bigint, f2 bigint, sig array<int>"), "sets"
+        docs.mapInPandas(_signatures, "id bigint, text_hash bigint, n bigint, f1 bigint, f2 bigint, sig array<int>"), "sets"
     )
+    lowest_row = F.min(F.struct(F.col("id").isNull(), "id", "text_hash"))
     classes = scratch.table(
-        sets.filter("n > 0").groupBy("f1", "f2", "n").agg(F.min("id").alias("low"), F.min("sig").alias("sig"))
+        sets.filter("n > 0").groupBy("f1", "f2", "n").agg(lowest_row.alias("low"), F.min("sig").alias("sig"))
+        .select("f1", "f2", "n", F.col("low.id").alias("low"), F.col("low.text_hash").alias("low_hash"), "sig")
         .withColumn("cls", F.monotonically_increasing_id()), "classes",
     )
     prefixes = scratch.table(_postings(classes), "prefixes")
@@ -321,10 +333,14 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     lowest = classes.select("cls", "low").join(reach, "cls").groupBy("component").agg(F.min("low").alias("component_id"))
     found = (
         classes.join(reach.join(lowest, "component"), "cls", "left")
-        .select("f1", "f2", "n", F.coalesce("component_id", "low").alias("component_id"))
+        .select(
+            "f1", "f2", "n", F.coalesce("component", "cls").alias("component"),
+            F.coalesce("component_id", "low").alias("component_id"),
+        )
     )
-    met = sets.filter("n > 0").join(found, ["f1", "f2", "n"]).select("id", "f1", "f2", "n", "component_id")
-    alone = sets.filter("n = 0").select("id", "f1", "f2", "n", F.col("id").alias("component_id"))
+    columns = ["id", "text_hash", "f1", "f2", "n", "component", "component_id"]
+    met = sets.filter("n > 0").join(found, ["f1", "f2", "n"]).select(*columns)
+    alone = sets.filter("n = 0").withColumns({"component": F.lit(None).cast("bigint"), "component_id": F.col("id")}).select(*columns)
     return met.union(alone).withColumnRenamed("n", "n_shingles").withColumn(
         "kept", F.col("id").eqNullSafe(F.col("component_id"))
     )
@@ -333,11 +349,16 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of ``docs`` of every group of near-duplicates, all columns; documents without words all stay.
 
-    Ids name documents here: rows of one id stay or go together, and equal rows of one id are cut to one.
+    The row with the smallest id stays (null last), of several with that id the one with the smallest fingerprint,
+    then text hash. Equal rows of one id are cut to one.
     """
-    gone = near_documents(docs, id_col, text_col).filter("NOT kept").select(F.col("id").alias("_gone")).distinct()
-    left = docs.join(gone, F.col(id_col).cast("bigint").eqNullSafe(F.col("_gone")), "left_anti")
-    return left.dropDuplicates([id_col, text_col])
+    rows = near_documents(docs, id_col, text_col)
+    first = F.min(F.struct(F.col("id").isNull(), "id", "f1", "f2", "n_shingles", "text_hash")).alias("first")
+    kept = rows.filter("n_shingles > 0").groupBy("component").agg(first).select("first.id", "first.text_hash")
+    kept = kept.union(rows.filter("n_shingles = 0").select("id", "text_hash"))
+    kept = kept.select(F.col("id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash"))
+    same = F.col(id_col).cast("bigint").eqNullSafe(F.col("_kept_id")) & (_text_hash(text_col) == F.col("_kept_hash"))
+    return docs.join(kept, same, "left_semi").dropDuplicates([id_col, text_col])
 
 
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

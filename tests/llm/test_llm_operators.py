@@ -142,6 +142,31 @@ def test_minhash_against_all_pairs(spark):
     assert left.count() == sum(low[i] == i for i in low) and "kept" in left.columns
 
 
+def _numbered_text(start, words=60):
+    return " ".join(f"t{start + i}" for i in range(words))
+
+
+def test_keep_one_with_null_and_clashing_ids(spark):
+    one, two, three, four, five = (_numbered_text(k * 1000) for k in range(5))
+    rows = [
+        (1, one, "s"), (None, one + " end", "s"),  # a null id is a near copy of a document with an id
+        (None, two, "s"), (None, three, "s"), (None, None, "s"), (None, three + " end", "s"),
+        (7, four, "s"), (3, four + " end", "s"), (7, five, "s"),  # of id 7 one text is a near copy, the other is not
+    ]
+    left = [(r["doc_id"], r["text"]) for r in minhash_dedup.keep_one(documents(spark, rows)).collect()]
+    third = [(i, t) for i, t in left if t in (three, three + " end")]
+    assert len(third) == 1
+    assert sorted(map(str, left)) == sorted(map(str, [(1, one), (None, two), (None, None), (3, four + " end"), (7, five), *third]))
+
+
+def test_keep_one_when_two_groups_share_their_smallest_id(spark):
+    one, two = _numbered_text(0), _numbered_text(1000)
+    rows = [(4, one, "s"), (5, one + " end", "s"), (4, two, "s"), (4, two.upper(), "s"), (9, two + " end", "s"), (5, two, "s")]
+    for part in (rows, rows[::-1]):
+        left = [(r["doc_id"], r["text"].lower()) for r in minhash_dedup.keep_one(documents(spark, part)).collect()]
+        assert sorted(left) == [(4, one), (4, two)]
+
+
 def test_minhash_tiles_find_links_between_stars():
     """Two components whose hubs are far apart but whose members are close are joined in a tile."""
     import pandas as pd
