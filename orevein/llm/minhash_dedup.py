@@ -2,7 +2,7 @@
 
 Every text becomes its set of 5-word shingles; equal sets are one class. A class has a signature
 of ``COORDINATES`` minima and is posted under each (coordinate, value). Two classes are candidates when at
-least ``MATCHES`` coordinates agree, so they must share one of the ``PREFIX`` rarest postings of either;
+least ``matches`` coordinates agree, so they must share one of the ``prefix`` rarest postings of either;
 postings that are frequent everywhere (common lines and passages) are skipped that way and the rest of the
 signature is compared only for pairs that met. Links are confirmed on the full shingle sets of the whole texts.
 
@@ -12,7 +12,8 @@ are swept in tiles: a first sweep finds, by signatures, the members with a candi
 a second one has their shingle sets, confirms every such pair and returns one link for each two components that meet.
 Every candidate pair is thus either inside one component already or confirmed itself, and no sweep returns pairs.
 
-A pair at similarity 0.85 is missed with a probability below 2e-5 (fewer than 18 of 32 agreeing, binomial), far less above.
+A pair at the similarity of ``CONTRACT`` (0.85) is missed with a probability below 2e-5 (fewer than 18 of 32 agreeing,
+binomial), one at that of ``WIDER`` (0.80) below 7e-6 (fewer than 15), far less above.
 
 Defined cases: A-Z are lower-cased, words lie between ASCII white space. Fewer than five words: the whole
 sequence is the one shingle; no words or a null text: the empty set, which links with nothing. Repeated rows are
@@ -23,6 +24,8 @@ Ids need not be unique: a row is told by its id and the hash of its text, a grou
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -36,9 +39,6 @@ from orevein.session import Scratch
 
 WORDS = 5
 COORDINATES = 32
-MATCHES = 18  # agreeing coordinates of a candidate pair
-PREFIX = COORDINATES - MATCHES + 1  # two classes with MATCHES agreements share one of so many postings
-PERCENT = 85  # links: 100 * intersection >= PERCENT * union
 HUB_MEMBERS = 400  # members that are compared with one copy of their hub
 TILE = 1024  # classes on one side of a tile of a long posting list
 CACHE = 300_000  # words whose hash a worker remembers
@@ -49,6 +49,22 @@ _FACTORS = np.array(_ODD[WORDS:WORDS + COORDINATES], np.uint64)[:, None]
 _SHIFTS = np.array(_ODD[WORDS + COORDINATES:WORDS + 2 * COORDINATES], np.uint64)[:, None]
 
 
+class Rule(NamedTuple):
+    """What makes a link."""
+
+    percent: int  # links: 100 * intersection >= percent * union
+    matches: int  # agreeing coordinates of a candidate pair
+
+    @property
+    def prefix(self) -> int:
+        """Two classes with ``matches`` agreements share one of so many postings."""
+        return COORDINATES - self.matches + 1
+
+
+CONTRACT = Rule(85, 18)  # op7
+WIDER = Rule(80, 15)
+
+
 class WordHashes(dict):
     """64-bit hashes of words, computed when first asked for."""
 
@@ -116,12 +132,12 @@ def _agreements(a: str, b: str):
     return F.expr(f"aggregate(zip_with({a}, {b}, (x, y) -> if(x = y, 1, 0)), 0, (s, x) -> s + x)")
 
 
-def _near_size(m: str, n: str):
+def _near_size(m: str, n: str, rule: Rule):
     """Sets of very different sizes can't reach the similarity."""
-    return (F.least(m, n) * 100 >= F.greatest(m, n) * PERCENT)
+    return (F.least(m, n) * 100 >= F.greatest(m, n) * rule.percent)
 
 
-def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _confirm(batches: Iterator[pd.DataFrame], rule: Rule) -> Iterator[pd.DataFrame]:
     """Rows sorted by (hub, salt, kind): the hub's text first, then the members to compare with it."""
     hashes, where, hub = WordHashes(), None, None
     for batch in batches:
@@ -138,7 +154,7 @@ def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 hub = s
             elif hub is not None:
                 both = len(np.intersect1d(hub, s, assume_unique=True))
-                if 100 * both >= PERCENT * (len(hub) + len(s) - both):
+                if 100 * both >= rule.percent * (len(hub) + len(s) - both):
                     out.append((a, b))
         yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
@@ -150,7 +166,7 @@ def _texts(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     return docs.join(ends, same).select("cls", "f1", "text")
 
 
-def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
+def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, scratch: Scratch, rule: Rule) -> DataFrame:
     """Those of ``pairs (a, b)`` whose full shingle sets are similar enough."""
     ends = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
     texts = scratch.table(_texts(ends, classes, docs), "texts")
@@ -163,7 +179,7 @@ def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, scratch: Scrat
         "a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("kind"), "b", "f1", "text"
     )
     rows = hubs.union(members).repartition(shuffle_partitions(docs), "a", "salt").sortWithinPartitions("a", "salt", "kind", "b")
-    found = scratch.table(rows.mapInPandas(_confirm, "a bigint, b bigint").distinct(), "confirmed")
+    found = scratch.table(rows.mapInPandas(partial(_confirm, rule=rule), "a bigint, b bigint").distinct(), "confirmed")
     scratch.drop(texts)
     return found
 
@@ -188,10 +204,10 @@ def _tiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.concat(held, ignore_index=True)
 
 
-def _candidates(tile: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Row numbers of pairs that agree in MATCHES coordinates, lie in different components and meet here first."""
+def _candidates(tile: pd.DataFrame, rule: Rule) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers of pairs that agree in enough coordinates, lie in different components and meet here first."""
     sig, n, comp = np.stack(tile.sig.to_numpy()), tile.n.to_numpy(), tile.comp.to_numpy()
-    first = np.stack([np.pad(p, (0, PREFIX - len(p)), constant_values=-1) for p in tile.prefix])
+    first = np.stack([np.pad(p, (0, rule.prefix - len(p)), constant_values=-1) for p in tile.prefix])
     key, side = tile.key.iloc[0], tile.side.to_numpy()
     if tile.one.iloc[0] == tile.two.iloc[0]:
         left = right = np.arange(len(tile))
@@ -199,9 +215,9 @@ def _candidates(tile: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         left, right = np.nonzero(side == 0)[0], np.nonzero(side == 1)[0]
     for start in range(0, len(left), 64):
         rows = left[start:start + 64]
-        good = (sig[rows][:, None, :] == sig[right][None, :, :]).sum(axis=2) >= MATCHES
+        good = (sig[rows][:, None, :] == sig[right][None, :, :]).sum(axis=2) >= rule.matches
         m, k = n[rows][:, None], n[right][None, :]
-        good &= (comp[rows][:, None] != comp[right][None, :]) & (np.minimum(m, k) * 100 >= np.maximum(m, k) * PERCENT)
+        good &= (comp[rows][:, None] != comp[right][None, :]) & (np.minimum(m, k) * 100 >= np.maximum(m, k) * rule.percent)
         i, j = np.nonzero(good)
         i, j = rows[i], right[j]
         if left is right:
@@ -211,17 +227,17 @@ def _candidates(tile: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield i[here], j[here]
 
 
-def _find_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _find_members(batches: Iterator[pd.DataFrame], rule: Rule = CONTRACT) -> Iterator[pd.DataFrame]:
     """Rows of every tile that have a candidate partner in it; never the pairs."""
     for tile in _tiles(batches):
         hit = np.zeros(len(tile), bool)
         if len(tile) > 1:
-            for i, j in _candidates(tile):
+            for i, j in _candidates(tile, rule):
                 hit[i] = hit[j] = True
         yield tile[hit]
 
 
-def _merge_components(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _merge_components(batches: Iterator[pd.DataFrame], rule: Rule = CONTRACT) -> Iterator[pd.DataFrame]:
     """Confirmed links of every tile, one for each pair of components that it joins."""
     for tile in _tiles(batches):
         sets = [np.frombuffer(s, np.uint64) for s in tile.shingles]
@@ -231,7 +247,7 @@ def _merge_components(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
         parts = [ids[e - k:e] for e, k in zip(ends, size)]
         group, cls, out = tile.comp.to_numpy().copy(), tile.cls.to_numpy(), []
         mark = np.zeros(ids.max(initial=0) + 1, bool)
-        for i, j in _candidates(tile):
+        for i, j in _candidates(tile, rule):
             for row in np.unique(i):
                 others = j[i == row]
                 others = others[group[others] != group[row]]
@@ -241,7 +257,7 @@ def _merge_components(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
                 held = np.concatenate([parts[o] for o in others])
                 both = np.add.reduceat(mark[held].astype(np.int64), np.cumsum([0, *size[others][:-1]]))
                 mark[parts[row]] = False
-                linked = others[100 * both >= PERCENT * (size[row] + size[others] - both)]
+                linked = others[100 * both >= rule.percent * (size[row] + size[others] - both)]
                 for o in linked:
                     if group[o] != group[row]:
                         out.append((cls[row], cls[o]))
@@ -259,7 +275,7 @@ def _shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         })
 
 
-def _postings(classes: DataFrame) -> DataFrame:
+def _postings(classes: DataFrame, rule: Rule) -> DataFrame:
     """``(cls, prefix)``: of every class the rarest postings that others share."""
     rows = classes.select("cls", F.posexplode("sig").alias("pos", "value")).select(
         "cls", F.expr("shiftleft(cast(pos as bigint), 32) | (cast(value as bigint) & 4294967295L)").alias("key")
@@ -267,11 +283,11 @@ def _postings(classes: DataFrame) -> DataFrame:
     shared = rows.groupBy("key").agg(F.count("*").alias("times")).filter("times > 1")
     ranked = rows.join(shared, "key").groupBy("cls").agg(F.sort_array(F.collect_list(F.struct("times", "key"))).alias("found"))
     # Postings of one class only are the rarest and use up their part of the prefix.
-    left = F.lit(PREFIX - COORDINATES) + F.size("found")
+    left = F.lit(rule.prefix - COORDINATES) + F.size("found")
     return ranked.filter(left > 0).select("cls", F.slice("found", F.lit(1), left)["key"].alias("prefix"))
 
 
-def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = CONTRACT) -> DataFrame:
     """``(id, text_hash, f1, f2, n_shingles, component, component_id, kept)``, a row per document.
 
     ``component`` tells the groups apart, null without words; two groups can have one ``component_id`` if ids repeat.
@@ -287,15 +303,15 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .select("f1", "f2", "n", F.col("low.id").alias("low"), F.col("low.text_hash").alias("low_hash"), "sig")
         .withColumn("cls", F.monotonically_increasing_id()), "classes",
     )
-    prefixes = scratch.table(_postings(classes), "prefixes")
+    prefixes = scratch.table(_postings(classes, rule), "prefixes")
     postings = prefixes.select("cls", F.explode("prefix").alias("key"))
     hubs = postings.groupBy("key").agg(F.min("cls").alias("hub"))
     met = postings.join(hubs, "key").filter("hub <> cls").select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
     one = classes.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"))
     two = classes.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"))
-    sizes = met.join(one, "a").join(two, "b").filter(_near_size("na", "nb"))
-    stars = scratch.table(sizes.filter(_agreements("sa", "sb") >= MATCHES).select("a", "b"), "stars")
-    links = _links(stars, classes, docs, scratch)
+    sizes = met.join(one, "a").join(two, "b").filter(_near_size("na", "nb", rule))
+    stars = scratch.table(sizes.filter(_agreements("sa", "sb") >= rule.matches).select("a", "b"), "stars")
+    links = _links(stars, classes, docs, scratch, rule)
     first = connected_components(links, scratch)
     # Lists that still hold two components, cut into tiles.
     placed = postings.join(first.select(F.col("id").alias("cls"), "component"), "cls", "left").select(
@@ -319,7 +335,7 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # A stated number of tasks: sweeps cost far more than their bytes tell adaptive execution.
     tasks = shuffle_partitions(docs)
     members = scratch.table(
-        dealt.repartition(tasks, *spot).sortWithinPartitions(*spot, "side", "cls").mapInPandas(_find_members, shape), "members"
+        dealt.repartition(tasks, *spot).sortWithinPartitions(*spot, "side", "cls").mapInPandas(partial(_find_members, rule=rule), shape), "members"
     )
     sets_of = scratch.table(
         _texts(members.select("cls").distinct(), classes, docs).mapInPandas(_shingles, "cls bigint, shingles binary")
@@ -327,7 +343,7 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     second = scratch.table(
         members.join(sets_of, "cls").repartition(tasks, *spot).sortWithinPartitions(*spot, "side", "cls")
-        .mapInPandas(_merge_components, "a bigint, b bigint"), "merges",
+        .mapInPandas(partial(_merge_components, rule=rule), "a bigint, b bigint"), "merges",
     )
     reach = connected_components(links.union(second), scratch).withColumnRenamed("id", "cls")
     lowest = classes.select("cls", "low").join(reach, "cls").groupBy("component").agg(F.min("low").alias("component_id"))
@@ -346,13 +362,13 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = CONTRACT) -> DataFrame:
     """One row of ``docs`` of every group of near-duplicates, all columns; documents without words all stay.
 
     The row with the smallest id stays (null last), of several with that id the one with the smallest fingerprint,
     then text hash. Equal rows of one id are cut to one.
     """
-    rows = near_documents(docs, id_col, text_col)
+    rows = near_documents(docs, id_col, text_col, rule)
     first = F.min(F.struct(F.col("id").isNull(), "id", "f1", "f2", "n_shingles", "text_hash")).alias("first")
     kept = rows.filter("n_shingles > 0").groupBy("component").agg(first).select("first.id", "first.text_hash")
     kept = kept.union(rows.filter("n_shingles = 0").select("id", "text_hash"))

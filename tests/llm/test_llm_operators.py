@@ -167,6 +167,18 @@ def test_keep_one_when_two_groups_share_their_smallest_id(spark):
         assert sorted(left) == [(4, one), (4, two)]
 
 
+def test_keep_one_by_the_wider_rule(spark):
+    # 104 words have 100 shingles, their first 87 words 83 of them and their first 82 words 78.
+    rows = []
+    for k in range(30):
+        words = _numbered_text(k * 1000, 104).split()
+        rows += [(4 * k, " ".join(words), "s"), (4 * k + 1, " ".join(words[:87 if k % 2 else 82]), "s")]
+    docs = documents(spark, rows)
+    assert minhash_dedup.keep_one(docs).count() == 60
+    left = {r["doc_id"] for r in minhash_dedup.keep_one(docs, rule=minhash_dedup.WIDER).collect()}
+    assert left == {4 * k for k in range(30)} | {4 * k + 1 for k in range(0, 30, 2)}
+
+
 def test_minhash_tiles_find_links_between_stars():
     """Two components whose hubs are far apart but whose members are close are joined in a tile."""
     import pandas as pd
