@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orevein.operators import evaluate as E, forests as R, trees as T
+from orevein.plans import tree_queries
 
 
 def rows_of(spark, rows, first=0):
@@ -194,3 +195,11 @@ def test_unknown_labels_are_refused_and_more_classes_work(spark):
     assert E.confusion(found).agg(F.sum("n")).first()[0] == 60
     ballots = found.select("row_id", "label", "pred").withColumn("tree", F.lit(0))
     assert R.vote(ballots).filter("pred = label").count() == 60
+
+
+def test_full_depth_query_sees_small_values(spark, tmp_path):
+    rnd = random.Random(5)
+    rows = [(i % 3, (rnd.random() / 4, 0.1 + i % 3 / 10, rnd.random())) for i in range(90)]
+    data = [(i, label, [float(x) for x in features]) for i, (label, features) in enumerate(rows)]
+    spark.createDataFrame(data, "vec_id bigint, label int, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    assert table_of(tree_queries.dt_model(spark, str(tmp_path))) == grow(rows, tree_queries.MIN_FREQ)
