@@ -31,7 +31,7 @@ from orevein.llm.common import shuffle_partitions
 from orevein.plans.tables import table
 from orevein.session import Scratch
 
-BLOCK = 8 << 20  # bytes of text that a task holds as words at once
+BLOCK = 2 << 20  # bytes of text that a task holds as words at once
 BITS = 1 << 27  # size of the bitmap of frequent phrases: 16 MB
 RUN = 500_000  # phrases of a sorted run, about
 SALTS = 64  # parts of a language in which the best phrases are picked before all of them are ranked
@@ -116,8 +116,8 @@ def _blocks(batches):
     held, size = {}, 0
     for batch in batches:
         for lang, rows in _by_language(batch.column(0)):
-            for text in batch.column(1).take(rows):
-                text = text.as_buffer()
+            for row in rows.to_pylist():
+                text = batch.column(1)[row].as_buffer()
                 if text is None or not text.size:
                     continue
                 plain = text.to_pybytes().translate(_PLAIN)
