@@ -210,7 +210,8 @@ def top_k(
 
     # The block of the longest vectors first: its scores bound every query from below.
     nothing = F.lit(NO_SCORE).cast("bigint")
-    head = search(queries.select(F.lit(0).alias("block"), "part", "cls", "x", nothing.alias("least")), "head")
+    first = F.when(F.col("cls").isNotNull(), 0).alias("block")  # per row: a constant would turn the join into a nested loop
+    head = search(queries.select(first, "part", "cls", "x", nothing.alias("least")), "head")
     least = _lists(head, k).select(
         F.col("q").alias("cls"), F.when(F.size("list") > k, F.element_at("list", k + 1)["score"]).alias("least")
     )
