@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from orevein.operators.trees import CLASSES
+from orevein.session import materialize
 
 
 def confusion(predictions: DataFrame, classes: int = CLASSES) -> DataFrame:
     """``(label, pred, n)`` for all classes x classes cells, zeros included; more classes if the data has them."""
-    counts = predictions.groupBy("label", "pred").agg(F.count("*").alias("n"))
-    highest = predictions.agg(F.max(F.greatest("label", "pred"))).first()[0]
+    # Predictions are counted once; classes x classes rows are left.
+    counts = materialize(predictions.groupBy("label", "pred").agg(F.count("*").alias("n")), "confusion")
+    highest = counts.agg(F.max(F.greatest("label", "pred"))).first()[0]
     classes = max(classes, (highest if highest is not None else 0) + 1)
     grid = predictions.sparkSession.range(classes * classes).select(
         F.floor(F.col("id") / classes).cast("int").alias("label"), (F.col("id") % classes).cast("int").alias("pred")

@@ -38,8 +38,7 @@ def fit(rows: DataFrame, trees: int, minfreq: int = T.MIN_FREQ, share: float = S
 
 def votes(model: DataFrame, rows: DataFrame, trees: int) -> DataFrame:
     """``(tree, row_id, label, pred)`` of every tree for every row."""
-    each = F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")
-    return T.predict(model, rows.select(each, "row_id", "label", "features"))
+    return T.predict_all(model, rows, trees)
 
 
 def vote(ballots: DataFrame) -> DataFrame:

@@ -2,8 +2,14 @@
 
 Rows stay one per example: ``(tree, row_id, label, features ARRAY<DOUBLE>, m)`` with a
 multiplicity ``m`` (1, or the number of bootstrap draws). Routing a row to a child only
-reads its own array, so it is a lookup of the node and never a shuffle of rows. Only the
-class counts per (node, attribute, value) are shuffled, combined on the map side.
+reads its own array, so it is a lookup of the node and never a shuffle of rows.
+
+Every attribute is sorted once: its different values get dense ranks, spread over the
+numbers ``0 .. 2**bits - 1`` (``codes``). The best split of a level is then found on
+integers, from the leading digits of the codes down: a step counts the classes per (node,
+attribute, bin), combined on the map side, and adds the bins up. The smallest value of a bin
+is a candidate whose counts are exact; the others in it can't be better than a bound,
+so only bins whose bound reaches the best candidate are counted again by the next digit.
 
 A model is a table of nodes ``(tree, node, depth, n, hist, used, is_leaf, a, split,
 gini, label)``; ``node`` is the path from the root ``T`` (``TL``, ``TLR``, ...).
@@ -11,21 +17,26 @@ gini, label)``; ``node`` is the path from the root ``T`` (``TL``, ``TLR``, ...).
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from orevein.operators.indexing import dense_index
+from orevein.operators.skew import join_measured
 from orevein.session import Scratch, materialize, scratch_path
 
 CLASSES = 10  # fixed value: labels are the ten classes 0..9
 MIN_FREQ = 20  # fixed value: default minimum number of rows a node needs to be split
 ROOT = "T"
-# A (node, attribute) scan is one task's work up to this many rows; beyond it the values
-# are cut into ranges whose class totals are added up first.
-SCAN_ROWS = 2_000_000
-MOST_RANGES = 4096  # keeps the cut table at attributes x 4096 numbers; ranges grow beyond it
+SCAN_ROWS = 4096  # bins that one step counts per (node, attribute)
+RANGE_BITS = 16  # a range of the scan over all values holds at most 2**16 of them
+TIE = 1e-12  # bounds this close to the best candidate are looked into, whatever the rounding
+MOST_NODES = 1_000_000  # a model up to this size goes to the tasks as arrays, about 32 MB
 # Rows are written anew after this many levels; between them routing is a chain of lookups.
-REWRITE_LEVELS = 4
+REWRITE_LEVELS = 2
 
 NODE_KEY = ["tree", "node"]
 
@@ -116,36 +127,41 @@ def node_histograms(rows: DataFrame, classes: int = CLASSES) -> DataFrame:
 # --------------------------------------------------------------------- split candidates
 
 
-def value_cuts(rows: DataFrame, n_rows: int, scan_rows: int = SCAN_ROWS) -> np.ndarray | None:
-    """Ascending cut values per attribute that split long scans into ranges.
+def with_ranges(rows: DataFrame, scan_rows: int | None = None) -> DataFrame:
+    """Add ``codes``: for every feature value its place among all values of its attribute, and ``bits``, their size.
 
-    ``None`` if one task can scan an attribute. The cuts only spread the work; any
-    cuts give the same trees. Size: attributes x ranges, whatever the number of rows.
+    The different values of all attributes are range-sorted together once and numbered. A code is the number
+    within the attribute times a fixed step, so that codes fill ``bits`` bits; codes are as ordered as values, a missing
+    value (null or NaN) comes first. ``bits`` is a multiple of the digit that ``scan_rows`` bins make.
+    A value that a large share of all cells holds is looked up by broadcast.
     """
-    ranges = min(MOST_RANGES, -(-n_rows // scan_rows))
-    if ranges <= 1:
-        return None
-    shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
-    cells = rows.select(F.posexplode("features").alias("a", "v")).selectExpr("a", f"{_present('v')} AS v")
-    cuts = cells.groupBy("a").agg(F.percentile_approx("v", shares, F.lit(max(1000, 10 * ranges))).alias("cuts"))
-    none = [float("inf")] * (ranges - 1)  # an attribute without any value has one range
-    return np.array([r["cuts"] or none for r in cuts.orderBy("a").collect()], dtype=float)
-
-
-def with_ranges(rows: DataFrame, cuts: np.ndarray | None) -> DataFrame:
-    """Add ``ranges``, the range number of every feature value (null array: one range)."""
-    if cuts is None:
-        return rows.withColumn("ranges", F.lit(None).cast("array<int>"))
-    shared = rows.sparkSession.sparkContext.broadcast(cuts)
-
-    @F.pandas_udf("array<int>")
-    def locate(features: pd.Series) -> pd.Series:
-        table = np.stack([np.asarray(f, dtype=float) for f in features])
-        table = np.where(np.isnan(table), -np.inf, table)  # missing values lie in the first range
-        found = [np.searchsorted(c, table[:, a], side="right") for a, c in enumerate(shared.value)]
-        return pd.Series(list(np.stack(found, axis=1).astype("int32")))
-
-    return rows.withColumn("ranges", locate("features"))
+    stamped = materialize(rows.withColumn("_row", F.monotonically_increasing_id()), "ranked")
+    cells = stamped.select("_row", F.posexplode("features").alias("a", "v")).selectExpr("_row", "a", f"{_present('v')} AS v")
+    cells = cells.selectExpr("_row", "a", "v IS NULL AS absent", "coalesce(v, CAST(0 AS DOUBLE)) AS v")
+    values, _ = dense_index(cells.select("a", "absent", "v").distinct(), ["a", F.desc("absent"), "v"], "place")
+    sizes = materialize(values.groupBy("a").agg(F.min("place").alias("first"), F.count("*").alias("size")), "sizes")
+    largest = sizes.agg(F.max("size")).first()[0] or 1
+    digit = digit_bits(scan_rows)
+    bits = digit * -(-max(1, (largest - 1).bit_length()) // digit)
+    # One row per attribute, so the lookup of the step is small.
+    step = F.floor(F.lit(float(1 << bits)) / F.col("size")).cast("bigint")
+    coded = values.join(F.broadcast(sizes), "a").select("a", "absent", "v", ((F.col("place") - F.col("first")) * step).alias("code"))
+    found = join_measured(cells, materialize(coded, "codes"), ["a", "absent", "v"])
+    codes = found.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("a", "code")))["code"].alias("codes"))
+    return stamped.join(codes, "_row", "left").drop("_row").withColumn("bits", F.lit(bits))
+
+
+def digit_bits(scan_rows: int | None) -> int:
+    """Bits of the bin number of one step."""
+    return min(RANGE_BITS, max(1, (scan_rows or SCAN_ROWS).bit_length() - 1))
+
+
+def _cells(rows: DataFrame) -> DataFrame:
+    """``(tree, node, label, m, a, code, v)`` of the attributes not yet used; a missing value is null."""
+    cells = rows.selectExpr(*NODE_KEY, "label", "m", "used", "posexplode(arrays_zip(codes, features)) AS (a, cell)")
+    return cells.filter("NOT array_contains(used, a)").selectExpr(
+        *NODE_KEY, "label", "m", "a", "cell.codes AS code", f"{_present('cell.features')} AS v"
+    )
 
 
 def value_counts(rows: DataFrame, classes: int = CLASSES) -> DataFrame:
@@ -156,39 +172,29 @@ def value_counts(rows: DataFrame, classes: int = CLASSES) -> DataFrame:
     Equal values collapse before the shuffle, so a value that holds a large share of
     all rows costs one record per task.
     """
-    cells = rows.selectExpr(*NODE_KEY, "label", "m", "used", "ranges", "posexplode(features) AS (a, v)")
-    cells = cells.filter("NOT array_contains(used, a)")
-    return (
-        cells.selectExpr(*NODE_KEY, "label", "m", "a", "coalesce(get(ranges, a), 0) AS part", f"{_present('v')} AS v")
-        .groupBy(*NODE_KEY, "a", "part", "v").agg(*_class_counts(classes))
-    )
+    cells = _cells(rows).selectExpr("*", f"shiftright(code, {RANGE_BITS}) AS part")
+    return cells.groupBy(*NODE_KEY, "a", "part", "code", "v").agg(*_class_counts(classes))
 
 
-def running_counts(counts: DataFrame, classes: int = CLASSES, ranged: bool = False) -> DataFrame:
+def running_counts(counts: DataFrame, classes: int = CLASSES) -> DataFrame:
     """Class counts on both sides of every value: ``l0, l1, ...`` smaller, ``r0, r1, ...`` the rest.
 
-    A window scans the values of one range. With several ranges, the class totals of the
+    A window scans the codes of one range, at most ``2**RANGE_BITS`` of them; the class totals of the
     ranges before it are added; those totals are one row per (node, attribute, range).
     """
     labels = range(classes)
     smaller = "ORDER BY {} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     whole = "ORDER BY {} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
-    scan = "PARTITION BY tree, node, a, part " + smaller.format("v")
+    scan = "PARTITION BY tree, node, a, part " + smaller.format("code")
     inside = [f"coalesce(sum(c{c}) OVER ({scan}), 0) AS i{c}" for c in labels]
-    if not ranged:
-        scan = "PARTITION BY tree, node, a, part " + whole.format("v")
-        placed = counts.selectExpr(
-            *NODE_KEY, "a", "v", *inside, *[f"sum(c{c}) OVER ({scan}) AS t{c}" for c in labels], *[f"0 AS o{c}" for c in labels]
-        )
-    else:
-        totals = counts.groupBy(*NODE_KEY, "a", "part").agg(*[F.sum(f"c{c}").alias(f"c{c}") for c in labels])
-        ranges = "PARTITION BY tree, node, a "
-        offsets = totals.selectExpr(
-            *NODE_KEY, "a", "part",
-            *[f"coalesce(sum(c{c}) OVER ({ranges + smaller.format('part')}), 0) AS o{c}" for c in labels],
-            *[f"sum(c{c}) OVER ({ranges + whole.format('part')}) AS t{c}" for c in labels],
-        )
-        placed = counts.selectExpr(*NODE_KEY, "a", "part", "v", *inside).join(offsets, [*NODE_KEY, "a", "part"])
+    totals = counts.groupBy(*NODE_KEY, "a", "part").agg(*[F.sum(f"c{c}").alias(f"c{c}") for c in labels])
+    ranges = "PARTITION BY tree, node, a "
+    offsets = totals.selectExpr(
+        *NODE_KEY, "a", "part",
+        *[f"coalesce(sum(c{c}) OVER ({ranges + smaller.format('part')}), 0) AS o{c}" for c in labels],
+        *[f"sum(c{c}) OVER ({ranges + whole.format('part')}) AS t{c}" for c in labels],
+    )
+    placed = counts.selectExpr(*NODE_KEY, "a", "part", "v", *inside).join(offsets, [*NODE_KEY, "a", "part"])
     return placed.selectExpr(
         *NODE_KEY, "a", "v", *[f"i{c} + o{c} AS l{c}" for c in labels], *[f"t{c} - i{c} - o{c} AS r{c}" for c in labels]
     )
@@ -218,9 +224,119 @@ def split_candidates(running: DataFrame, classes: int = CLASSES) -> DataFrame:
     )
 
 
-def best_splits(candidates: DataFrame) -> DataFrame:
+_FOUND = """
+tree int, node string, a int, open boolean, gini double, split double, bin bigint, lh array<bigint>, rh array<bigint>
+"""
+
+
+def _impurity(counts: np.ndarray) -> np.ndarray:
+    """Size times impurity of every row of class counts; 0 without rows."""
+    size = counts.sum(axis=1)
+    return size - (counts * counts).sum(axis=1) / np.where(size > 0, size, 1)
+
+
+def _scan_bins(batches, digit: int):
+    """Candidates and open bins of sorted bins ``(tree, node, a, bin, low, high, v, counts, before, after)``.
+
+    Bins of one (tree, node, attribute, leading digits) are at most ``2**digit`` rows that follow each other;
+    ``before`` and ``after`` are the classes left of the first of them and from there on. The first step has none of
+    the two: a group holds all rows of its node. Of a batch only the
+    best candidate of a node goes on, and the bins that may hold a better one: without the rows of a bin
+    both sides are at most as impure as with them, however the split divides it.
+    """
+    rest = None
+    for batch in itertools.chain(batches, [None]):
+        table = pa.Table.from_batches([b for b in (rest, batch) if b is not None]).combine_chunks() if rest or batch else None
+        if table is None or not table.num_rows:
+            continue
+        key = [table[c].combine_chunks().dictionary_encode().indices.to_numpy() for c in ("tree", "node", "a")]
+        number = table["bin"].to_numpy()
+        change = np.concatenate([[True], np.any([k[1:] != k[:-1] for k in [*key, number >> digit]], axis=0)])
+        first = np.flatnonzero(change)
+        if batch is not None:  # the last group may go on in the next batch
+            rest = table.slice(first[-1]).to_batches()[0]
+            table, first = table.slice(0, first[-1]).combine_chunks(), first[:-1]
+            key, number = [k[:len(table)] for k in key], number[:len(table)]
+        else:
+            rest = None
+        if not len(table):
+            continue
+        sides = [table[c].combine_chunks().flatten().to_numpy().reshape(len(table), -1) for c in ("counts", "before", "after") if c in table.column_names]
+        group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(table))))
+        counts, before, after = sides if len(sides) == 3 else (sides[0], 0, np.add.reduceat(sides[0], first, axis=0)[group])
+        running = np.cumsum(counts, axis=0) - counts
+        left = before + running - running[first][group]
+        right = before + after - left
+        total = (left + right).sum(axis=1)
+        size = left.sum(axis=1).astype(float)
+        other = right.sum(axis=1).astype(float)
+        exact = [(side.astype(float) ** 2).sum(axis=1) for side in (left, right)]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            gini = ((size - exact[0] / size) + (other - exact[1] / other)) / (size + other)
+        gini = np.where((size > 0) & (other > 0), gini, np.inf)
+        bound = (_impurity(left.astype(float)) + _impurity((right - counts).astype(float))) / total
+        # Nodes follow each other, so a node is a run of rows.
+        start = np.flatnonzero(np.concatenate([[True], (key[0][1:] != key[0][:-1]) | (key[1][1:] != key[1][:-1])]))
+        node = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(table))))
+        least = np.minimum.reduceat(gini, start)
+        best = np.flatnonzero(np.isfinite(gini) & (gini == least[node]))
+        best = best[np.unique(node[best], return_index=True)[1]]  # rows are in the order of attribute and value
+        wide = (table["low"].to_numpy() < table["high"].to_numpy()) & (bound <= least[node] * (1 + TIE))
+        at = np.concatenate([best, np.flatnonzero(wide)])
+        opened = np.arange(len(at)) >= len(best)
+        take = pa.array(at)
+        yield pa.RecordBatch.from_arrays([
+            table["tree"].combine_chunks().take(take), table["node"].combine_chunks().take(take), table["a"].combine_chunks().take(take),
+            pa.array(opened), pa.array(np.where(opened, bound[at], gini[at])), table["v"].combine_chunks().take(take),
+            pa.array(number[at]), pa.array(list(left[at]), pa.list_(pa.int64())), pa.array(list(right[at]), pa.list_(pa.int64())),
+        ], ["tree", "node", "a", "open", "gini", "split", "bin", "lh", "rh"])
+
+
+def find_splits(
+    rows: DataFrame, classes: int = CLASSES, scan_rows: int | None = None, bits: int | None = None, scratch: Scratch | None = None,
+) -> DataFrame:
+    """``(tree, node, gini, a, split, lh, rh)``: per node the split with the least impurity; ties: lowest attribute, then value.
+
+    ``rows`` carry ``codes`` and a node.
+    A step moves at most ``2**digit`` rows per (node, attribute, leading digits), and no task sees more of a group.
+    """
+    scratch = scratch or Scratch(rows.sparkSession, "splits")
+    if bits is None:
+        bits = rows.agg(F.max("bits")).first()[0] or digit_bits(scan_rows)
+    digit = digit_bits(scan_rows)
+    cells = _cells(rows)
+    counts = [*_class_counts(classes), F.min("code").alias("low"), F.max("code").alias("high"), F.min("v").alias("v")]
+    opened, best = None, None
+    for shift in range(bits - digit, -1, -digit):
+        at = f"shiftright(code, {shift})"
+        level = cells
+        if opened is not None:
+            level = cells.selectExpr("*", f"shiftright(code, {shift + digit}) AS parent").join(
+                opened.select(*NODE_KEY, "a", F.col("bin").alias("parent")), [*NODE_KEY, "a", "parent"], "left_semi"
+            )
+        bins = level.groupBy(*NODE_KEY, "a", F.expr(at).alias("bin")).agg(*counts)
+        bins = bins.select(*NODE_KEY, "a", "bin", "low", "high", "v", F.array(*_class_names(classes)).alias("counts"))
+        if opened is not None:
+            parents = opened.select(*NODE_KEY, "a", F.col("bin").alias("parent"), F.col("lh").alias("before"), F.col("rh").alias("after"))
+            bins = bins.withColumn("parent", F.shiftright("bin", digit)).join(parents, [*NODE_KEY, "a", "parent"])
+        dealt = bins.drop("parent").repartition(*NODE_KEY, "a")
+        found = dealt.sortWithinPartitions(*NODE_KEY, "a", "bin").mapInArrow(lambda b: _scan_bins(b, digit), _FOUND)
+        found = scratch.table(found, "bins") if shift else found  # read twice if a step follows
+        candidates = found.filter("NOT open").select(*NODE_KEY, "gini", "a", "split", "lh", "rh")
+        best = _least(candidates if best is None else candidates.unionByName(best))
+        if not shift:
+            break
+        least = best.select(*NODE_KEY, F.col("gini").alias("least"))
+        worth = F.coalesce(F.col("gini") <= F.col("least") * (1 + TIE), F.lit(True))
+        opened = scratch.table(found.filter("open").join(least, NODE_KEY, "left").filter(worth).drop("least"), "open")
+        if opened.isEmpty():
+            break
+    return best
+
+
+def _least(candidates: DataFrame) -> DataFrame:
     """Per node the candidate with the least impurity; ties: lowest attribute, then value."""
-    best = F.expr("min(struct(gini, a, v AS split, lh, rh)) AS best")
+    best = F.expr("min(struct(gini, a, split, lh, rh)) AS best")
     return candidates.groupBy(*NODE_KEY).agg(best).select(*NODE_KEY, "best.*")
 
 
@@ -239,10 +355,6 @@ def at_root(rows: DataFrame) -> DataFrame:
     return rows.withColumn("node", _per_row(ROOT)).withColumn("used", F.array().cast("array<int>"))
 
 
-def find_splits(rows: DataFrame, classes: int = CLASSES, ranged: bool = False) -> DataFrame:
-    return best_splits(split_candidates(running_counts(value_counts(rows, classes), classes, ranged), classes))
-
-
 def branch(rows: DataFrame, splits: DataFrame) -> DataFrame:
     """Move every row to a child: right if its value reaches the split, else left (missing values too).
 
@@ -250,12 +362,13 @@ def branch(rows: DataFrame, splits: DataFrame) -> DataFrame:
     says so (``l_stop``, ``r_stop``). ``splits`` is a small table with known size.
     """
     kept = [c for c in rows.columns if c not in ("node", "used")]
+    taken = "used_next" if "used_next" in splits.columns else "array_append(used, a)"
     stops = "if(is_left, l_stop, r_stop)" if "l_stop" in splits.columns else "false"
     return (
-        rows.drop("used").join(splits, NODE_KEY)
+        rows.join(splits, NODE_KEY)
         .selectExpr("*", f"NOT {_goes_right('a', 'split')} AS is_left")
         .filter(f"NOT {stops}")
-        .selectExpr(*kept, "concat(node, if(is_left, 'L', 'R')) AS node", "used_next AS used")
+        .selectExpr(*kept, "concat(node, if(is_left, 'L', 'R')) AS node", f"{taken} AS used")
     )
 
 
@@ -292,7 +405,7 @@ def root_nodes(rows: DataFrame, classes: int = CLASSES, reduce: bool = True) ->
 
 _SPLIT_SCHEMA = """
 tree int, node string, depth int, n bigint, hist array<bigint>, a int, split double, gini double,
-lh array<bigint>, rh array<bigint>, used_next array<int>, l_stop boolean, r_stop boolean
+lh array<bigint>, rh array<bigint>, l_stop boolean, r_stop boolean
 """
 MODEL_SCHEMA = """
 tree int, node string, depth int, is_leaf boolean, a int, split double, gini double, label int, n bigint,
@@ -301,14 +414,14 @@ hist array<bigint>
 
 
 def _children(splits: DataFrame) -> DataFrame:
-    child = "struct(concat(node, '{0}') AS node, depth + 1 AS depth, {1} AS hist, used_next AS used, {2} AS stop)"
+    child = "struct(concat(node, '{0}') AS node, depth + 1 AS depth, {1} AS hist, {2} AS stop)"
     both = f"inline(array({child.format('L', 'lh', 'l_stop')}, {child.format('R', 'rh', 'r_stop')}))"
     return splits.selectExpr("tree", both)
 
 
 def fit(
     rows: DataFrame, minfreq: int = MIN_FREQ, classes: int = CLASSES, max_depth: int | None = None,
-    reduce: bool = True, scan_rows: int = SCAN_ROWS,
+    reduce: bool = True, scan_rows: int | None = None,
 ) -> DataFrame:
     """Grow all trees of ``rows`` together, one job per level; returns the model.
 
@@ -317,30 +430,23 @@ def fit(
     """
     spark = rows.sparkSession
     roots, width = root_nodes(rows, classes, reduce)
-    nodes = node_status(roots, minfreq, width, max_depth)
-    largest = nodes.agg(F.max("n")).first()[0] or 0
-    cuts = value_cuts(rows, largest, scan_rows)
     scratch = Scratch(spark, "tree")
-    rows = with_ranges(rows, cuts)
-    kept = None  # the last table of rows, deleted when the next one is written
-    if cuts is not None:
-        rows = kept = scratch.table(rows, "ranges")
-    active = nodes.filter("NOT stop")
+    rows = kept = scratch.table(with_ranges(rows, scan_rows), "rows")  # deleted when the next one is written
+    bits = rows.agg(F.max("bits")).first()[0] or digit_bits(scan_rows)
+    active = node_status(roots, minfreq, width, max_depth).filter("NOT stop")
     rows = rows.join(active.select("tree", "node", "used"), "tree")
     path, depth = scratch_path(spark, "splits"), 0
-    stop = [_stops(h, minfreq, width, "used_next", max_depth, "depth + 1") + f" AS {h[0]}_stop" for h in ("lh", "rh")]
+    # A node without a free attribute finds no split, so it needs no test here.
+    stop = [_stops(h, minfreq, None, "", max_depth, "depth + 1") + f" AS {h[0]}_stop" for h in ("lh", "rh")]
     while True:
-        best = find_splits(rows, classes, ranged=cuts is not None)
-        found = best.join(active.select(*NODE_KEY, "depth", "hist", "used"), NODE_KEY).selectExpr(
-            *NODE_KEY, "depth", f"{_total('hist')} AS n", "hist", "a", "split", "gini", "lh", "rh",
-            "array_append(used, a) AS used_next",
-        )
+        found = find_splits(rows, classes, scan_rows, bits, scratch).selectExpr("*", "zip_with(lh, rh, (x, y) -> x + y) AS hist")
+        found = found.selectExpr(*NODE_KEY, f"{depth} AS depth", f"{_total('hist')} AS n", "hist", "a", "split", "gini", "lh", "rh")
         found.selectExpr("*", *stop).drop("depth").write.parquet(f"{path}/depth={depth}")
         splits = spark.read.schema(_SPLIT_SCHEMA).option("basePath", path).parquet(f"{path}/depth={depth}")
         active = _children(splits).filter("NOT stop")
         if active.isEmpty():
             break
-        rows = branch(rows, splits.select(*NODE_KEY, "a", "split", "used_next", "l_stop", "r_stop"))
+        rows = branch(rows, splits.select(*NODE_KEY, "a", "split", "l_stop", "r_stop"))
         depth += 1
         if depth % REWRITE_LEVELS == 0:
             rows = scratch.table(rows, "rows")
@@ -375,11 +481,106 @@ def write_model(model: DataFrame, path: str, *folders: str) -> None:
 # ---------------------------------------------------------------------------- predict
 
 
-def predict(model: DataFrame, rows: DataFrame) -> DataFrame:
-    """``(tree, row_id, label, pred)``: walk every row down its tree, one lookup per level.
+class Walk:
+    """A model as arrays: per node the attribute (-1: leaf), the split, both children and the label."""
+
+    def __init__(self, nodes: pa.Table) -> None:
+        keys = list(zip(nodes["tree"].to_pylist(), nodes["node"].to_pylist()))
+        place = {key: i for i, key in enumerate(keys)}
+        self.attribute = nodes["a"].fill_null(-1).to_numpy().astype(np.int32)
+        self.split = nodes["split"].fill_null(0).to_numpy().astype(np.float64)
+        self.label = nodes["label"].fill_null(-1).to_numpy().astype(np.int32)
+        left, right = ([place.get((t, n + turn), -1) for t, n in keys] for turn in "LR")
+        self.left, self.right = np.array(left, np.int32), np.array(right, np.int32)
+        self.roots = {t: place[t, n] for t, n in keys if n == ROOT}
+
+    def labels(self, x: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Label of the leaf that each row of ``x`` reaches from node ``at`` (-1: no tree)."""
+        at = at.copy()
+        moving = np.flatnonzero((at >= 0) & (self.attribute[at] >= 0))
+        while len(moving):
+            node = at[moving]
+            right = x[moving, self.attribute[node]] >= self.split[node]  # missing values (NaN) go left
+            at[moving] = np.where(right, self.right[node], self.left[node])
+            moving = moving[self.attribute[at[moving]] >= 0]
+        return np.where(at >= 0, self.label[at], -1)
+
+    def matrix(self, features: pa.Array) -> np.ndarray:
+        """Feature rows as far as the model reads them; what a row lacks is NaN."""
+        width = int(self.attribute.max(initial=-1)) + 1
+        values = features.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        sizes = pc.fill_null(pc.list_value_length(features), 0).to_numpy()
+        if (sizes == sizes.max(initial=0)).all() and sizes.max(initial=0) >= width:
+            return values.reshape(len(features), -1) if len(features) and sizes[0] else np.zeros((len(features), 0))
+        out = np.full((len(features), max(width, int(sizes.max(initial=0)))), np.nan)
+        row = np.repeat(np.arange(len(features)), sizes)
+        out[row, np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = values
+        return out
+
+
+def compiled(model: DataFrame, most_nodes: int = MOST_NODES) -> Walk | None:
+    """The model as arrays, or ``None`` if it has more than ``most_nodes`` nodes."""
+    nodes = model.select("tree", "node", "a", "split", "label").limit(most_nodes + 1)
+    return None if model.count() > most_nodes else Walk(nodes.toArrow())
+
+
+def predict(model: DataFrame, rows: DataFrame, most_nodes: int = MOST_NODES) -> DataFrame:
+    """``(tree, row_id, label, pred)``: walk every row down its tree.
+
+    ``rows`` holds ``(tree, row_id, label, features)``. The model goes to the tasks as arrays, a few numbers
+    per node, and all levels are one projection without a join; a model of more than ``most_nodes`` nodes is
+    joined level by level. A row of a tree that the model lacks gets no label.
+    """
+    walk = compiled(model, most_nodes)
+    if walk is None:
+        return predict_by_lookup(model, rows)
+    shared = rows.sparkSession.sparkContext.broadcast(walk)
+
+    def run(batches):
+        walk = shared.value
+        for batch in batches:
+            start = np.array([walk.roots.get(t, -1) for t in batch["tree"].to_pylist()], np.int64)
+            found = walk.labels(walk.matrix(batch["features"]), start)
+            yield pa.RecordBatch.from_arrays(
+                [batch["tree"], batch["row_id"], batch["label"], pa.array(found, mask=found < 0)], ["tree", "row_id", "label", "pred"]
+            )
+
+    return rows.select("tree", "row_id", "label", "features").mapInArrow(run, _walked_schema(rows))
+
+
+def predict_all(model: DataFrame, rows: DataFrame, trees: int, most_nodes: int = MOST_NODES) -> DataFrame:
+    """``(tree, row_id, label, pred)`` of trees ``0 .. trees - 1`` for every row ``(row_id, label, features)``.
+
+    All trees are walked in one projection; the features of a row are not copied per tree.
+    """
+    walk = compiled(model, most_nodes)
+    if walk is None:
+        each = F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")
+        return predict_by_lookup(model, rows.select(each, "row_id", "label", "features"))
+    shared = rows.sparkSession.sparkContext.broadcast(walk)
+
+    def run(batches):
+        walk = shared.value
+        for batch in batches:
+            x = walk.matrix(batch["features"])
+            for tree in range(trees):
+                found = walk.labels(x, np.full(len(x), walk.roots.get(tree, -1)))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(len(x), tree, np.int32)), batch["row_id"], batch["label"], pa.array(found, mask=found < 0)
+                ], ["tree", "row_id", "label", "pred"])
+
+    return rows.select("row_id", "label", "features").mapInArrow(run, _walked_schema(rows))
+
+
+def _walked_schema(rows: DataFrame) -> str:
+    kind = {c: rows.schema[c].dataType.simpleString() for c in ("row_id", "label")}
+    return f"tree int, row_id {kind['row_id']}, label {kind['label']}, pred int"
+
+
+def predict_by_lookup(model: DataFrame, rows: DataFrame) -> DataFrame:
+    """As :func:`predict` for models of any size: one lookup per level.
 
-    ``rows`` holds ``(tree, row_id, label, features)``. A step only reads the nodes of one
-    depth (a folder of the model), whose true size decides how Spark joins them.
+    A step only reads the nodes of one depth (a folder of the model), whose true size decides how Spark joins them.
     """
     deepest = model.agg(F.max("depth")).first()[0] or 0
     walk = rows.select(

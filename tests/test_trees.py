@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -203,3 +204,69 @@ def test_full_depth_query_sees_small_values(spark, tmp_path):
     data = [(i, label, [float(x) for x in features]) for i, (label, features) in enumerate(rows)]
     spark.createDataFrame(data, "vec_id bigint, label int, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
     assert table_of(tree_queries.dt_model(spark, str(tmp_path))) == grow(rows, tree_queries.MIN_FREQ)
+
+
+@pytest.mark.parametrize("batch", [1, 3, 7, 1000])
+def test_bins_are_scanned_alike_however_they_are_batched(batch):
+    """Candidates and open bins do not depend on where a batch ends; a bound is never above what its bin holds."""
+    rnd = random.Random(batch)
+    rows = [
+        (t, n, a, b, b * 4, b * 4 + rnd.randrange(2), float(b), [rnd.randrange(4) for _ in range(3)])
+        for t in (0, 1) for n in ("T", "TL") for a in (0, 2, 5) for b in sorted(rnd.sample(range(8), 5))
+    ]
+    names = ["tree", "node", "a", "bin", "low", "high", "v", "counts"]
+    table = pa.Table.from_pylist([dict(zip(names, r)) for r in rows])
+    found = {}
+    for part in T._scan_bins(iter(table.to_batches(max_chunksize=batch)), 3):
+        for r in part.to_pylist():
+            if not r["open"]:
+                key, value = (r["tree"], r["node"]), (r["gini"], r["a"], r["split"], r["lh"], r["rh"])
+                found[key] = min(value, found.get(key, value))
+    for t in (0, 1):
+        for n in ("T", "TL"):
+            best = None
+            for a in (0, 2, 5):
+                mine = [r for r in rows if r[:3] == (t, n, a)]
+                for i, r in enumerate(mine):
+                    left = [sum(x) for x in zip(*[q[7] for q in mine[:i]])] or [0, 0, 0]
+                    right = [sum(x) for x in zip(*[q[7] for q in mine[i:]])]
+                    if sum(left):
+                        nl, nr = float(sum(left)), float(sum(right))
+                        sides = ((nl - sum(c * c for c in left) / nl) + (nr - sum(c * c for c in right) / nr)) / (nl + nr) if nr else None
+                        if sides is not None:
+                            value = (sides, a, r[6], left, right)
+                            best = value if best is None or value < best else best
+            assert found[t, n][1:] == best[1:] and found[t, n][0] == pytest.approx(best[0], rel=1e-12)
+
+
+def test_many_values_need_several_steps(spark):
+    """Two digits of four bins each: splits are found by refining bins, ties and repeated values included."""
+    rnd = random.Random(8)
+    rows = [(rnd.randrange(3), (rnd.random(), round(rnd.random(), 1), rnd.choice((0.0, 1e30, -5.0)))) for _ in range(200)]
+    frame = T.single_tree(rows_of(spark, rows))
+    assert T.with_ranges(frame, 4).first()["bits"] == 8
+    assert table_of(T.fit(frame, minfreq=15, scan_rows=4, reduce=False)) == grow(rows, 15)
+
+
+def test_compiled_walk_equals_lookups(spark, sample):
+    rows = T.single_tree(rows_of(spark, sample))
+    model = R.fit(rows_of(spark, sample), 2, minfreq=8)
+    both = rows.unionByName(rows.withColumn("tree", F.lit(1)))
+    arrays = sorted(map(tuple, T.predict(model, both).collect()))
+    assert arrays == sorted(map(tuple, T.predict(model, both, most_nodes=3).collect()))
+    assert arrays == sorted(map(tuple, R.votes(model, rows_of(spark, sample), 2).collect()))
+    assert T.compiled(model, 3) is None
+
+
+def test_walk_over_odd_feature_arrays(spark):
+    data = [(i, i % 2, [float(i % 2), 3.0]) for i in range(40)]
+    schema = "row_id bigint, label int, features array<double>"
+    model = T.fit(T.single_tree(spark.createDataFrame(data, schema)), minfreq=2)
+    odd = [(1, 0, None), (2, 0, []), (3, 0, [None, 1.0]), (4, 0, [float("nan")]), (5, 1, [1.0, None, 9.0]), (None, 1, [7.0])]
+    rows = T.single_tree(spark.createDataFrame(odd, schema)).withColumn("tree", F.lit(0))
+    got = {r["row_id"]: r["pred"] for r in T.predict(model, rows).collect()}
+    assert got == {1: 0, 2: 0, 3: 0, 4: 0, 5: 1, None: 1}
+    assert got == {r["row_id"]: r["pred"] for r in T.predict_by_lookup(model, rows).collect()}
+    nothing = T.predict(model, rows.withColumn("tree", F.lit(9)))
+    assert {r["pred"] for r in nothing.collect()} == {None}
+    assert T.predict(model, rows.limit(0)).count() == 0
