@@ -25,6 +25,7 @@ from orevein.session import Scratch, materialize
 CRITERIA = ("SSE", "I2", "E1")
 SHIFT_LIMIT = 0.01  # fixed value: mean centroid change below which a trial has converged
 MAX_SCORES = 64  # scores per document and pass; more trials than that run in batches
+THINNEST = 12  # E1 moves are thinned to a share of 2**-12 before a single document is tried
 SCORE_DIGITS = 9  # similarities are compared at this precision, ties go to the lowest cluster
 
 
@@ -240,6 +241,7 @@ class Trial:
     shift: float = float("inf")
     passes: int = 0
     converged: bool = False  # the shift fell below the limit before ``max_iter`` passes
+    level: int = 0  # E1: the last pass admitted a share 2**-level of its moves
     sizes: dict[int, int] = field(default_factory=dict)
     assigned: DataFrame | None = None  # has columns id and k_<number>
 
@@ -273,20 +275,25 @@ def start(
     return Batch(criterion, k, vectors, corpus, wide, cluster_stats(wide, sizes), {t: Trial(t) for t in trials}, own, scratch)
 
 
-def one_pass(state: Batch, active: list[int]) -> None:
-    """Assign all documents, rebuild the centroids of the active trials, measure the shift."""
+@dataclass
+class Rebuilt:
+    """Centroids that follow from an assignment, with their scalars."""
+
+    assigned: DataFrame
+    sizes: dict[tuple[int, int], int]
+    wide: DataFrame
+    stats: dict[tuple[int, int], Stats]
+    shift: dict[int, float]
+    objectives: dict[int, float]
+
+
+def _rebuild(state: Batch, assigned: DataFrame, active: list[int]) -> Rebuilt:
+    """Centroids of the active trials from ``assigned``; an empty cluster keeps its previous centroid."""
     stats = {key: s for key, s in state.stats.items() if key[0] in active}
-    needs_previous = state.assigned is not None and (
-        state.criterion == "E1" or len(active) < len(state.trials)
-    )
-    assigned = materialize(
-        assign(state.vectors, state.wide, stats, state.criterion, state.assigned if needs_previous else None),
-        "assigned",
-    )
     sizes = cluster_sizes(assigned, state.k, active)
     wide = composites(state.vectors, assigned, state.k, active)
     empty = [key for key, n in sizes.items() if n == 0]
-    if empty:  # an empty cluster keeps its previous centroid
+    if empty:
         kept = state.wide.select("dim", *[F.col(centroid(*key)).alias(f"old_{centroid(*key)}") for key in empty])
         wide = wide.join(kept, "dim", "full").na.fill(0.0)
         wide = wide.select(
@@ -296,15 +303,96 @@ def one_pass(state: Batch, active: list[int]) -> None:
     wide = state.scratch.table(with_corpus(wide, state.corpus), "centroids")
     effective = {key: n or state.stats[key].n for key, n in sizes.items()}
     new_stats, shift = stats_and_shift(state.criterion, state.wide, wide, stats, effective)
+    objectives = {
+        t: objective(
+            state.criterion,
+            {j: Stats(sizes[t, j], new_stats[t, j].norm2, new_stats[t, j].dot_total) for j in range(state.k)}, state.own,
+        ) for t in active
+    }
+    return Rebuilt(assigned, sizes, wide, new_stats, shift, objectives)
+
+
+def _thinned(state: Batch, proposed: DataFrame, levels: dict[int, int | None], number: int) -> DataFrame:
+    """The previous assignment with a share ``2**-level`` of the proposed moves of every trial.
+
+    Which documents may move follows from a hash of the id and the pass. Level ``None`` admits the one
+    document that comes first in hash order.
+    """
+    both = proposed.join(state.assigned.select("id", *[F.col(f"k_{t}").alias(f"old_{t}") for t in levels]), "id")
+    order = digest(F.col("id"), F.lit(number))
+    chosen = {}
+    for t, level in levels.items():
+        moves = ~F.col(f"k_{t}").eqNullSafe(F.col(f"old_{t}"))
+        if level is None:
+            first = both.filter(moves).agg(F.min(F.struct(order.alias("order"), F.col("id").alias("id")))["id"]).first()[0]
+            chosen[t] = moves & (F.col("id") == F.lit(first)) if first is not None else F.lit(False)
+        else:
+            chosen[t] = moves & (F.conv(F.substring(order, 1, 8), 16, 10).cast("bigint") % F.lit(1 << level) == 0)
+    columns = [
+        F.when(chosen[t], F.col(f"k_{t}")).otherwise(F.col(f"old_{t}")).alias(f"k_{t}") if t in chosen else F.col(f"k_{t}")
+        for t in sorted(int(c[2:]) for c in proposed.columns if c != "id")
+    ]
+    return both.select("id", *columns)
+
+
+def _improved(state: Batch, proposed: DataFrame, active: list[int]) -> tuple[Rebuilt, set[int]]:
+    """E1: admit fewer and fewer of the proposed moves until no trial is worse than before the pass.
+
+    Moves are proposed one by one with the exact change of the objective, but made together they may undo each other. A
+    trial starts with eight times the share that its last pass admitted. If its objective did not fall, it tries again with an
+    eighth of the moves, and at last with one document, whose change is exact. If even that does not lower it, the
+    trial is settled: returns what was reached and the settled trials.
+    """
+    settled: set[int] = set()
+    levels: dict[int, int | None] = {t: max(0, state.trials[t].level - 3) for t in active}
+    while True:
+        thinner = _thinned(state, proposed, {t: levels[t] for t in active if t not in settled}, state.trials[active[0]].passes)
+        result = _rebuild(state, state.scratch.table(thinner, "assigned"), active)
+        worse = [
+            t for t in active
+            if t not in settled and result.objectives[t] >= state.trials[t].objective - 1e-12 * abs(state.trials[t].objective)
+        ]
+        if not worse:
+            for t in set(active) - settled:
+                state.trials[t].level = THINNEST if levels[t] is None else levels[t]
+            return result, settled
+        state.scratch.drop(result.wide)
+        last = {t for t in worse if levels[t] is None}
+        settled |= last
+        for t in worse:
+            levels[t] = None if levels[t] is None or levels[t] >= THINNEST else levels[t] + 3
+        if last:  # a settled trial stays as it was
+            back = state.assigned.select("id", *[F.col(f"k_{t}").alias(f"old_{t}") for t in last])
+            proposed = proposed.join(back, "id").select(
+                "id", *[F.col(f"old_{c[2:]}").alias(c) if int(c[2:]) in last else F.col(c) for c in proposed.columns if c != "id"]
+            )
+
+
+def one_pass(state: Batch, active: list[int]) -> None:
+    """Assign all documents, rebuild the centroids of the active trials, measure the shift.
+
+    A pass of E1 never raises the objective; a trial that finds no improving move is settled (shift 0).
+    """
+    stats = {key: s for key, s in state.stats.items() if key[0] in active}
+    needs_previous = state.assigned is not None and (
+        state.criterion == "E1" or len(active) < len(state.trials)
+    )
+    assigned = state.scratch.table(
+        assign(state.vectors, state.wide, stats, state.criterion, state.assigned if needs_previous else None),
+        "assigned",
+    )
+    if state.criterion == "E1" and state.assigned is not None:
+        new, settled = _improved(state, assigned, active)
+    else:
+        new, settled = _rebuild(state, assigned, active), set()
     for t in active:
-        members = {j: Stats(sizes[t, j], new_stats[t, j].norm2, new_stats[t, j].dot_total) for j in range(state.k)}
         trial = state.trials[t]
-        trial.objective = objective(state.criterion, members, state.own)
-        trial.shift, trial.assigned = shift[t], assigned
-        trial.sizes = {j: sizes[t, j] for j in range(state.k)}
+        trial.objective = new.objectives[t]
+        trial.shift, trial.assigned = 0.0 if t in settled else new.shift[t], new.assigned
+        trial.sizes = {j: new.sizes[t, j] for j in range(state.k)}
         trial.passes += 1
     state.scratch.drop(state.wide)
-    state.wide, state.stats, state.assigned = wide, new_stats, assigned
+    state.wide, state.stats, state.assigned = new.wide, new.stats, new.assigned
 
 
 def kmeans(
@@ -314,7 +402,7 @@ def kmeans(
     """Cluster vectors ``(id, dim, w)`` (I2 and E1 expect length 1); returns every trial, see :func:`best_trial`.
 
     ``keep='last'`` takes the state after the last pass, ``'best'`` the pass with the
-    best objective. Batch E1 passes need not improve, so E1 keeps the best by default.
+    best objective. Passes of E1 admit only as many moves as improve it, so its last pass is its best.
     ``seed`` is an optional ``(trial, k, id)`` table in place of the hash-ordered seeds.
     """
     if criterion not in CRITERIA:

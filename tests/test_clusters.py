@@ -187,3 +187,75 @@ def test_sse_of_vectors_of_any_length(spark, passes):
         mean = [sum(x) / len(members) for x in zip(*members)]
         total += sum((a - b) ** 2 for p in members for a, b in zip(p, mean))
     assert trial.objective == pytest.approx(total)
+
+
+def e1_by_hand(points, seeds, k, passes):
+    """E1 in the way of the operator, over plain Python lists: proposals, thinner and thinner, until the objective falls."""
+    import hashlib
+
+    ids, dims = sorted(points), range(len(points[seeds[0]]))
+    dot = lambda a, b: sum(x * y for x, y in zip(a, b))
+    total = [sum(points[i][d] for i in ids) for d in dims]
+    length = math.sqrt(dot(total, total))
+    corpus = [x / length for x in total]
+    cents = [(list(points[i]), 1) for i in seeds]
+    place, best, history, start = {}, None, [], 0
+
+    def rebuilt(place):
+        out = []
+        for j in range(k):
+            mine = [i for i in ids if place[i] == j]
+            out.append(([sum(points[i][d] for i in mine) for d in dims], len(mine)) if mine else cents[j])
+        value = sum(n * dot(s, corpus) / math.sqrt(dot(s, s)) for j, (s, n) in enumerate(out) if any(place[i] == j for i in ids))
+        return out, value
+
+    def cost(i, j):
+        s, n = cents[j]
+        p, sd, norm2, pt = dot(points[i], s), dot(s, corpus), dot(s, s), dot(points[i], corpus)
+        now = n * sd / math.sqrt(norm2)
+        own = dot(points[i], points[i])
+        if place.get(i) == j:
+            left = math.sqrt(max(norm2 - 2 * p + own, 0))
+            return now - ((n - 1) * (sd - pt) / left if n > 1 and left else 0)
+        return (n + 1) * (sd + pt) / math.sqrt(norm2 + 2 * p + own) - now
+
+    for number in range(passes):
+        proposed = {i: min(range(k), key=lambda j: (round(cost(i, j), 9), j)) for i in ids}
+        if best is None:
+            place = proposed
+            cents, best = rebuilt(place)
+        else:
+            order = {i: hashlib.md5(f"{number}:{i}".encode()).hexdigest() for i in ids}
+            movers = [i for i in ids if proposed[i] != place[i]]
+            done = False
+            for level in [v for v in (0, 3, 6, 9, 12) if v >= start] + [None]:
+                chosen = sorted(movers, key=order.get)[:1] if level is None else [i for i in movers if int(order[i][:8], 16) % 2**level == 0]
+                trial = {i: proposed[i] if i in set(chosen) else place[i] for i in ids}
+                after, value = rebuilt(trial)
+                if value < best - 1e-12 * abs(best):
+                    place, cents, best, done = trial, after, value, True
+                    start = max(0, (12 if level is None else level) - 3)
+                    break
+            if not done:
+                history.append(best)
+                break
+        history.append(best)
+    return place, history
+
+
+@pytest.mark.parametrize("n,k,passes", [(80, 3, 6), (12, 2, 4)])
+def test_e1_passes_never_worsen_and_equal_brute_force(spark, n, k, passes):
+    points = many_points(n)
+    want, history = e1_by_hand(points, range(k), k, passes)
+    assert all(b <= a + 1e-12 for a, b in zip(history, history[1:]))
+    trial, = K.kmeans(vectors_of(spark, points), k, "E1", max_iter=passes, keep="last", tol=0.0, seed=seed_table(spark, range(k)))
+    assert trial.objective == pytest.approx(history[-1], abs=1e-9)
+    assert {r["id"]: r["k"] for r in trial.assignment().collect()} == want
+
+
+def test_registered_fits_converge(spark, small):
+    from orevein.plans import cluster_queries
+
+    for name in ("clu_lloyd_sse", "clu_lloyd_i2"):
+        row = cluster_queries.QUERIES[name](spark, small).agg(F.min("converged"), F.max("passes"), F.count("*")).first()
+        assert row[0] and 1 < row[1] < cluster_queries.PASSES and row[2] > 0
