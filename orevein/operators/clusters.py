@@ -263,6 +263,7 @@ class Batch:
     own: float  # sum of the documents' squared lengths
     scratch: Scratch
     assigned: DataFrame | None = None
+    improving: bool = True  # E1 passes admit only as many moves as lower the objective
 
 
 def start(
@@ -381,7 +382,7 @@ def one_pass(state: Batch, active: list[int]) -> None:
         assign(state.vectors, state.wide, stats, state.criterion, state.assigned if needs_previous else None),
         "assigned",
     )
-    if state.criterion == "E1" and state.assigned is not None:
+    if state.criterion == "E1" and state.improving and state.assigned is not None:
         new, settled = _improved(state, assigned, active)
     else:
         new, settled = _rebuild(state, assigned, active), set()
@@ -397,12 +398,13 @@ def one_pass(state: Batch, active: list[int]) -> None:
 
 def kmeans(
     vectors: DataFrame, k: int, criterion: str = "SSE", trials: int = 1, max_iter: int = 20,
-    tol: float = SHIFT_LIMIT, keep: str | None = None, seed: DataFrame | None = None,
+    tol: float = SHIFT_LIMIT, keep: str | None = None, seed: DataFrame | None = None, improving: bool = True,
 ) -> list[Trial]:
     """Cluster vectors ``(id, dim, w)`` (I2 and E1 expect length 1); returns every trial, see :func:`best_trial`.
 
     ``keep='last'`` takes the state after the last pass, ``'best'`` the pass with the
-    best objective. Passes of E1 admit only as many moves as improve it, so its last pass is its best.
+    best objective. Passes of E1 admit only as many moves as improve it, so its last pass is its best;
+    with ``improving=False`` all proposed moves are made at once, whatever they do to the objective.
     ``seed`` is an optional ``(trial, k, id)`` table in place of the hash-ordered seeds.
     """
     if criterion not in CRITERIA:
@@ -418,6 +420,7 @@ def kmeans(
         for first in range(0, trials, step):
             batch = range(first, min(first + step, trials))
             state = start(vectors, criterion, k, batch, seed, corpus)
+            state.improving = improving
             best: dict[int, Trial] = {}
             active = list(batch)
             for _ in range(max_iter):
