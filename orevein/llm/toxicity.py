@@ -11,7 +11,7 @@ features, cut at the terciles of the toxic training rows.
 
 Training takes at most ``SAMPLE`` labelled rows, the first in hash order; executors count and test the features and
 return the telling ones of each row, at most ``BUCKETS``. Scoring is a narrow map over all rows with ``BUCKETS`` broadcast
-weights and a cache of bounded size.
+weights and a cache of bounded size; the words of a run of texts that are new to it are hashed together, as arrays.
 
 Defined cases: null and empty texts have no features and get the thresholds alone. Null labels are left out; of several
 for an id the highest counts. Without both classes in the training rows all severities are near 0 (or near the top
@@ -21,7 +21,6 @@ grade). Repeated rows are scored each; empty tables give no rows; other columns
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,7 +32,8 @@ from orevein.llm.common import checksum, lower_words
 from orevein.plans.tables import table
 from orevein.session import Scratch
 
-BUCKETS = 1 << 18
+BITS = 18
+BUCKETS = 1 << BITS
 GRAMS = (3, 4, 5, 6)  # bytes of an n-gram
 GRADES = 4  # 0 clean, 1 to 3 toxic
 SAMPLE = 12_000  # labelled rows that train the model
@@ -42,25 +42,57 @@ RATE = 0.5
 PENALTY = 1e-3
 SCREEN = 4.8  # standard deviations above the toxic rows that chance would give a feature
 LEAST = 4  # toxic training rows that hold a telling feature
-CACHE = 300_000  # words whose score a worker remembers
+CACHE = 300_000  # words whose score a worker remembers from one run of texts to the next
+RUN_CHARS = 1 << 20  # characters whose words are held at once
 _MARKS = b".,;:!?\"'()[]{}|*#$%&"
 
 
-def word_features(word: bytes) -> list[int]:
-    """Distinct buckets of a word and its n-grams, punctuation stripped."""
-    marked = b"<" + word.strip(_MARKS) + b">"
-    found = {zlib.crc32(marked) % BUCKETS}
-    for size in GRAMS:
-        found.update(zlib.crc32(marked[i:i + size]) % BUCKETS for i in range(len(marked) - size + 1))
-    return list(found)
-
-
-def document_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    counts: Counter = Counter()
-    for word in set(lower_words(text)):
-        counts.update(word_features(word))
-    ids = np.array(sorted(counts), np.int32)
-    return ids, np.array([counts[i] for i in ids.tolist()], np.float32)
+def word_buckets(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """``(position in words, bucket)`` of every n-gram and whole word, punctuation stripped; a pair may come twice."""
+    marked = [b"<" + word.strip(_MARKS) + b">" for word in words]
+    lengths = np.fromiter(map(len, marked), np.int64, len(marked))
+    data = np.frombuffer(b"".join(marked), np.uint8)
+    owner = np.repeat(np.arange(len(marked), dtype=np.int32), lengths)
+    owners = [np.arange(len(marked), dtype=np.int32)]
+    codes = [np.fromiter(map(zlib.crc32, marked), np.uint64, len(marked))]
+    code = data.astype(np.uint64)
+    for size in range(2, max(GRAMS) + 1):
+        code = (code[:-1] << np.uint64(8)) | data[size - 1:]
+        if size in GRAMS:
+            inside = owner[:len(code)] == owner[size - 1:]
+            owners.append(owner[:len(code)][inside])
+            codes.append(code[inside] | np.uint64(size << 56))
+    spread = np.concatenate(codes) * np.uint64(0x9E3779B97F4A7C15)  # wraps around: a multiplicative hash
+    return np.concatenate(owners), (spread >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def _runs(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """Consecutive texts with about ``RUN_CHARS`` characters, so that few words are held at once."""
+    run, chars = [], 0
+    for text in texts:
+        run.append(text)
+        chars += len(text or "")
+        if chars >= RUN_CHARS:
+            yield run
+            run, chars = [], 0
+    if run:
+        yield run
+
+
+def document_features(texts: list[str | None], kept: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Sorted buckets of each text and how many of its distinct words hold them; buckets outside ``kept`` are left out."""
+    for run in _runs(texts):
+        sets = [set(lower_words(text)) for text in run]
+        vocabulary = list(set().union(*sets))
+        place = dict(zip(vocabulary, range(len(vocabulary))))
+        owner, bucket = word_buckets(vocabulary)
+        pairs = np.unique((owner[kept[bucket]].astype(np.int64) << BITS) | bucket[kept[bucket]])
+        first = np.searchsorted(pairs >> BITS, np.arange(len(vocabulary) + 1))
+        bucket = pairs & (BUCKETS - 1)
+        for words in sets:
+            spots = [bucket[first[i]:first[i + 1]] for i in map(place.__getitem__, words)]
+            ids, counts = np.unique(np.concatenate(spots) if spots else bucket[:0], return_counts=True)
+            yield ids.astype(np.int32), counts.astype(np.float32)
 
 
 @dataclass
@@ -119,10 +151,10 @@ def fit_rows(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOCH
 
 def _count_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows that hold each bucket, toxic and clean, of one task."""
-    seen = np.zeros((2, BUCKETS), np.int64)
+    seen, every = np.zeros((2, BUCKETS), np.int64), np.ones(BUCKETS, bool)
     for batch in batches:
-        for text, toxic in zip(batch["text"], batch["toxic"]):
-            seen[toxic, document_features(text)[0]] += 1
+        for (ids, _), toxic in zip(document_features(batch["text"].tolist(), every), batch["toxic"]):
+            seen[toxic, ids] += 1
     held = np.nonzero(seen.sum(axis=0))[0]
     yield pd.DataFrame({"bucket": held, "clean": seen[0, held], "toxic": seen[1, held]})
 
@@ -157,10 +189,10 @@ def training_rows(
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [document_features(t) for t in batch["text"]]
+            rows = list(document_features(batch["text"].tolist(), mask))
             yield pd.DataFrame({
-                "id": batch["id"], "toxic": batch["toxic"], "ids": [i[mask[i]].tobytes() for i, _ in rows],
-                "counts": [c[mask[i]].tobytes() for i, c in rows],
+                "id": batch["id"], "toxic": batch["toxic"], "ids": [i.tobytes() for i, _ in rows],
+                "counts": [c.tobytes() for _, c in rows],
             })
 
     got = picked.mapInPandas(features, "id string, toxic int, ids binary, counts binary").collect()
@@ -169,18 +201,29 @@ def training_rows(
     return [(np.frombuffer(r["ids"], np.int32), np.frombuffer(r["counts"], np.float32), r["toxic"]) for r in got]
 
 
-class _Scores(dict):
-    """Sum of the weights of a word's features, computed when first asked for."""
+class _Scores:
+    """Sum of the weights of a word's features; words met for the first time are scored together."""
 
     def __init__(self, weights: np.ndarray) -> None:
-        super().__init__()
-        self.weights = weights.tolist()
-
-    def __missing__(self, word: bytes) -> float:
-        if len(self) >= CACHE:
-            self.clear()
-        score = self[word] = sum(map(self.weights.__getitem__, word_features(word)))
-        return score
+        self.weights, self.known = weights, {}
+
+    def totals(self, texts: list[str | None]) -> Iterator[float]:
+        for run in _runs(texts):
+            sets = [set(lower_words(text)) for text in run]
+            if len(self.known) > CACHE:
+                self.known.clear()
+            new = list(set().union(*sets) - self.known.keys())
+            if new:
+                self.known.update(zip(new, self._score(new).tolist()))
+            for words in sets:
+                # Sorted, so that the sum does not depend on the order of a set.
+                yield sum(sorted(map(self.known.__getitem__, words)))
+
+    def _score(self, words: list[bytes]) -> np.ndarray:
+        owner, bucket = word_buckets(words)
+        telling = self.weights[bucket] != 0
+        pairs = np.unique((owner[telling].astype(np.int64) << BITS) | bucket[telling])
+        return np.bincount(pairs >> BITS, self.weights[pairs & (BUCKETS - 1)], len(words))
 
 
 def scorer(spark: SparkSession, model: Model):
@@ -192,9 +235,8 @@ def scorer(spark: SparkSession, model: Model):
         model = shared.value
         scores = _Scores(model.weights)
         for texts in batches:
-            # Sorted, so that the sum does not depend on the order of a set.
-            totals = [sum(sorted(map(scores.__getitem__, set(lower_words(t))))) for t in texts]
-            yield pd.Series(list(model.at_least(np.array(totals, float)))) if totals else pd.Series([], dtype=object)
+            totals = np.fromiter(scores.totals(texts.tolist()), float, len(texts))
+            yield pd.Series(list(model.at_least(totals))) if len(totals) else pd.Series([], dtype=object)
 
     return score
 
