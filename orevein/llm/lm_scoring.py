@@ -5,10 +5,11 @@ count less one half; the halves are the escape (method D) to the next shorter co
 out every symbol the longer one could have given; below order 0 the bytes left share the rest
 evenly. A shorter context learns a symbol only when it is new to the longer one (update exclusion). The text is its tokens, A-Z lower-cased, joined by one space, and one end symbol.
 
-Scale: documents are dealt into blocks of about ``BLOCK_CHARS`` characters by a hash of their id. Each block counts
-its different (context, symbol) pairs; the trie is a table of counts per order, made by aggregates and joins.
-Nothing is broadcast or collected: a block gets back the log probabilities of its own pairs only, so
-its memory follows the block, not the corpus, and what is gathered grows with the input.
+Scale: documents are dealt into blocks of about ``BLOCK_CHARS`` characters by a hash of their id and sorted by block.
+A task streams them and counts their different (context, symbol) pairs in sorted arrays, written out at the end of a block
+or as partial counts beyond ``MOST_KEYS``; the trie is a table of counts per order, made by aggregates and joins.
+Nothing is broadcast or collected: one sorted stream brings a block the log probabilities of its own pairs only, then
+its documents, batch by batch. A task holds one block's pairs and one batch of texts; what is gathered grows with the input.
 
 Defined cases: a null or empty text is the end symbol alone. Repeated rows are learned and scored each. With no
 training text all bytes are equally likely and ``base_score`` is that of an empty count table. Empty tables give no rows.
@@ -23,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -36,6 +38,8 @@ START, END = b"\xfe", b"\xff"  # bytes that UTF-8 never uses
 BLOCK_CHARS = 32_000_000
 CHUNK = 1 << 19  # positions that are counted at once
 WORD_CHARS = 1 << 22  # characters whose words are held at once
+MOST_KEYS = 1 << 21  # different pairs that a block counts before it writes partial counts
+WRITTEN = 1 << 17  # rows that are given back at once
 LOOKED_UP = 1 << 18  # positions whose probabilities are looked up at once
 _END_TOKEN = b"\n"  # no word holds white space
 
@@ -106,12 +110,20 @@ def _pairs(data: np.ndarray, order: int, start: int, stop: int) -> np.ndarray:
     return code
 
 
-def _add_up(counts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys, spot = np.unique(np.concatenate([k for k, _ in counts]), return_inverse=True)
-    return keys, np.bincount(spot, weights=np.concatenate([n for _, n in counts])).astype(np.int64)
+Counts = tuple[np.ndarray, np.ndarray]
 
 
-def _count_pairs(texts: list, order: int) -> tuple[np.ndarray, np.ndarray]:
+def _add_up(counts: list[Counts]) -> Counts:
+    """Different keys, sorted, and the sums of their counts."""
+    keys = np.concatenate([k for k, _ in counts])
+    spot = np.argsort(keys)
+    keys, n = keys[spot], np.concatenate([n for _, n in counts])[spot]
+    del spot
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[:len(keys)])
+    return keys[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def _count_pairs(texts: list, order: int) -> Counts:
     """Different pairs and their counts; chunks are added up as soon as they outgrow what is known."""
     data, _ = _symbols(texts, order)
     known = np.empty(0, np.int64), np.empty(0, np.int64)
@@ -139,40 +151,82 @@ def _runs(texts: list) -> Iterator[tuple[int, int]]:
             start, chars = i + 1, 0
 
 
-def _count_words(texts: list) -> tuple[np.ndarray, np.ndarray]:
+def _count_words(texts: list) -> Counts:
     """Keys and counts of the different words, an end for every text among them."""
-    known = np.array([_word_key(_END_TOKEN)], np.int64), np.array([len(texts)], np.int64)
-    for start, stop in _runs(texts):
-        counts: Counter = Counter()
-        for text in texts[start:stop]:
-            counts.update(lower_words(text))
-        keys = np.fromiter(map(_word_key, counts), np.int64, len(counts))
-        known = _add_up([known, (keys, np.fromiter(counts.values(), np.int64, len(counts)))])
-    return known
+    counts: Counter = Counter({_END_TOKEN: len(texts)})
+    for text in texts:
+        counts.update(lower_words(text))
+    return _add_up([(np.fromiter(map(_word_key, counts), np.int64, len(counts)), np.fromiter(counts.values(), np.int64, len(counts)))])
+
+
+class _Tally:
+    """Counts that grow by sorted parts, added up once the parts outgrow what is known."""
+
+    def __init__(self) -> None:
+        self.clear()
+
+    def clear(self) -> None:
+        self.known, self.waiting, self.parts = (np.empty(0, np.int64), np.empty(0, np.int64)), 0, []
 
+    def add(self, part: Counts) -> None:
+        self.parts.append(part)
+        self.waiting += len(part[0])
+        if self.waiting >= max(CHUNK, len(self.known[0])):
+            self.total()
 
-def _count_block(pdf: pd.DataFrame, order: int) -> pd.DataFrame:
-    """``(block, kind, key, n)``: training counts of the block's pairs (kind 0) and words (kind 1), 0 if only held out."""
-    learned, rest = pdf.text[~pdf.held_out].tolist(), pdf.text[pdf.held_out].tolist()
-    keys, n = _count_pairs(learned, order)
-    others = np.setdiff1d(_count_pairs(rest, order)[0], keys, assume_unique=True)
-    words, found = _count_words(learned)
-    more = np.setdiff1d(_count_words(rest)[0], words, assume_unique=True)
-    parts = [(keys, n), (others, np.zeros(len(others), np.int64)), (words, found), (more, np.zeros(len(more), np.int64))]
-    return pd.DataFrame({
-        "block": pdf.block.iloc[0],
-        "kind": np.repeat([0, 1], [len(keys) + len(others), len(words) + len(more)]).astype(np.int8),
-        "key": np.concatenate([k for k, _ in parts]), "n": np.concatenate([c for _, c in parts]),
-    })
+    def total(self) -> Counts:
+        if self.parts:
+            self.known, self.waiting, self.parts = _add_up([self.known, *self.parts]), 0, []
+        return self.known
+
+
+def _parts(batch: pa.RecordBatch, *columns: str) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """Runs of rows that agree in ``columns``, which hold small whole numbers or truth values."""
+    values = np.stack([batch.column(c).cast(pa.int32()).to_numpy(zero_copy_only=False) for c in columns])
+    cuts = [0, *(np.flatnonzero((values[:, 1:] != values[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+    for start, stop in zip(cuts, cuts[1:]):
+        if stop > start:
+            yield tuple(values[:, start].tolist()), batch.slice(start, stop - start)
+
+
+def _count_blocks(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.RecordBatch]:
+    """``(block, kind, key, n)`` of rows sorted by block: training counts of its pairs (kind 0) and words (kind 1).
+
+    What only held-out texts hold counts 0; a key may come in several rows, whose counts add up.
+    """
+    tallies, current = (_Tally(), _Tally()), None
+
+    def written() -> Iterator[pa.RecordBatch]:
+        for kind, tally in enumerate(tallies):
+            keys, n = tally.total()
+            for start in range(0, len(keys), WRITTEN):
+                key = keys[start:start + WRITTEN]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(key), current, np.int32)), pa.array(np.full(len(key), kind, np.int8)),
+                     pa.array(key), pa.array(n[start:start + WRITTEN])], ["block", "kind", "key", "n"],
+                )
+            tally.clear()
+
+    for batch in batches:
+        for (block, held_out), rows in _parts(batch, "block", "held_out"):
+            if block != current:
+                yield from written()
+                current = block
+            texts = rows.column("text").to_pylist()
+            for start, stop in _runs(texts):
+                for tally, (keys, n) in zip(tallies, (_count_pairs(texts[start:stop], order), _count_words(texts[start:stop]))):
+                    tally.add((keys, n * 0 if held_out else n))
+                if max(len(tally.known[0]) for tally in tallies) >= MOST_KEYS:
+                    yield from written()
+    yield from written()
 
 
 class _Lookup:
     """Values of sorted keys: a table of hashed slots, then a search for keys that share a slot."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
-        order = np.argsort(keys)
-        self.keys, self.values = keys[order], values[order]
-        self.shift = np.uint64(64 - max(10, int(len(keys) * 8).bit_length()))
+        self.keys, self.values = keys, values
+        self.shift = np.uint64(64 - max(10, int(len(keys) * 4).bit_length()))
         self.slots = np.zeros(1 << (64 - int(self.shift)), np.int32)
         self.slots[self._slot(self.keys)] = np.arange(len(keys), dtype=np.int32)
 
@@ -186,13 +240,10 @@ class _Lookup:
         return self.values[spot]
 
 
-def _score_block(docs: pd.DataFrame, model: pd.DataFrame, order: int, total: int, distinct: int) -> pd.DataFrame:
-    kind, key, value = (model.pop(c).to_numpy() for c in ("kind", "key", "value"))
-    look = _Lookup(key[kind == 0], value[kind == 0])
-    count_of = _Lookup(key[kind == 1], value[kind == 1])
-    del kind, key, value
-    data, starts = _symbols(docs.text.tolist(), order)
-    score = np.zeros(len(docs))
+def _score_texts(texts: list, look: _Lookup, order: int) -> np.ndarray:
+    """log10 probability of every text."""
+    data, starts = _symbols(texts, order)
+    score = np.zeros(len(texts))
     ends = np.append(starts[1:] - order, len(data))
     # Short chunks: a running sum over each keeps memory at a few arrays of LOOKED_UP positions.
     for start in range(order, len(data), LOOKED_UP):
@@ -205,23 +256,42 @@ def _score_block(docs: pd.DataFrame, model: pd.DataFrame, order: int, total: int
         lo = np.clip(starts[first:last], start, stop) - start
         hi = np.clip(ends[first:last], start, stop) - start
         score[first:last] += sums[hi] - sums[lo]
-    del data, look
+    return score
+
+
+def _score_rows(rows: pa.RecordBatch, look: _Lookup, count_of: _Lookup, order: int, total: int, distinct: int) -> Iterator[pa.RecordBatch]:
     bottom = np.log10(0.1) - np.log10(total + 0.1 * (distinct + 1))
-    rows, texts = [], docs.text.tolist()
+    texts = rows.column("text").to_pylist()
     for start, stop in _runs(texts):
-        words = {_END_TOKEN}
-        for text in texts[start:stop]:
-            words.update(lower_words(text))
-        known = np.fromiter(map(_word_key, words), np.int64, len(words))
-        counts = dict(zip(words, count_of(known).tolist()))
-        part = docs.iloc[start:stop]
-        for ident, held, text, value in zip(part.id, part.held_out, texts[start:stop], score[start:stop]):
-            c = np.array([counts[t] for t in lower_words(text)] + [counts[_END_TOKEN]])
-            base = float(np.log10((c + 0.1) / 0.1).sum() + len(c) * bottom)
-            rows.append((ident, held, len(c), int((c > 0).sum()), total, base, float(value)))
-    out = pd.DataFrame(rows, columns=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-    out["id"] = out["id"].astype("Int64")
-    return out
+        part = texts[start:stop]
+        tokens = [[*lower_words(text), _END_TOKEN] for text in part]
+        words = set().union(*tokens)
+        counts = dict(zip(words, count_of(np.fromiter(map(_word_key, words), np.int64, len(words))).tolist()))
+        found = [np.array([counts[t] for t in own]) for own in tokens]
+        score = _score_texts(part, look, order)
+        yield pa.RecordBatch.from_arrays([
+            rows.column("id").slice(start, stop - start), rows.column("held_out").slice(start, stop - start),
+            pa.array([len(c) for c in found], pa.int64()), pa.array([int((c > 0).sum()) for c in found], pa.int64()),
+            pa.array([total] * len(part), pa.int64()),
+            pa.array([float(np.log10((c + 0.1) / 0.1).sum() + len(c) * bottom) for c in found], pa.float64()), pa.array(score),
+        ], ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+
+def _score_blocks(batches: Iterator[pa.RecordBatch], order: int, total: int, distinct: int) -> Iterator[pa.RecordBatch]:
+    """Scores from rows sorted by block, kind and key: a block's pairs (kind 0), its words (1), then its documents (2)."""
+    current, model, looks = None, ([], []), None
+    for batch in batches:
+        for (block, kind), rows in _parts(batch, "block", "kind"):
+            if block != current:
+                current, model, looks = block, ([], []), None
+            if kind < 2:
+                # Copied, so that the batch they came in can go.
+                model[kind].append(tuple(rows.column(c).to_numpy(zero_copy_only=False).copy() for c in ("key", "value")))
+                continue
+            if looks is None:
+                looks = [_Lookup(*map(np.concatenate, zip(*parts))) for parts in model]
+                model = ([], [])
+            yield from _score_rows(rows, *looks, order, total, distinct)
 
 
 def _orders(pairs: DataFrame, order: int) -> dict[int, DataFrame]:
@@ -301,9 +371,9 @@ def score(
     # The text joins the hash so that rows with one id, or none, spread.
     block = F.pmod(F.xxhash64("id", F.substring("text", 1, 64)), F.lit(blocks)).cast("int")
     docs = docs.withColumn("block", block)
+    dealt = docs.repartition("block").sortWithinPartitions("block", "held_out")
     seen = scratch.table(
-        docs.groupBy("block").applyInPandas(lambda pdf: _count_block(pdf, order), "block int, kind byte, key bigint, n bigint"),
-        "seen",
+        dealt.mapInArrow(lambda rows: _count_blocks(rows, order), "block int, kind byte, key bigint, n bigint"), "seen"
     )
     release_shuffles(docs.sparkSession)
     keys = scratch.table(seen.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
@@ -315,10 +385,10 @@ def score(
     )
     release_shuffles(docs.sparkSession)
     model = seen.select("block", "kind", "key").join(parts, ["kind", "key"])
+    stream = model.unionByName(docs.withColumn("kind", F.lit(2).cast("byte")), allowMissingColumns=True)
+    stream = stream.repartition("block").sortWithinPartitions("block", "kind", "key")
     shape = "id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    return docs.groupBy("block").cogroup(model.groupBy("block")).applyInPandas(
-        lambda left, right: _score_block(left, right, order, total, distinct), shape
-    )
+    return stream.mapInArrow(lambda rows: _score_blocks(rows, order, total, distinct), shape)
 
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

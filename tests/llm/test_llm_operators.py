@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from orevein.llm import (
@@ -325,3 +326,65 @@ def test_toxicity_grades_rise_with_toxic_words(spark):
     got = {r["doc_id"]: r["_at_least"] for r in toxicity.grade(docs, table, quality.checksum(table["doc_id"]) >= 0).collect()}
     assert {i for i, p in got.items() if p[0] >= 0.5} == {i for i, t in labels if t}
     assert all(p[0] >= p[1] >= p[2] for p in got.values())
+
+
+@pytest.mark.parametrize("order", ["descending", "shuffled"])
+def test_components_of_long_chains_take_few_rounds(spark, order):
+    names = list(range(1000))[::-1]
+    if order == "shuffled":
+        np.random.default_rng(4).shuffle(names)
+    edges = spark.createDataFrame([(int(a), int(b)) for a, b in zip(names, names[1:])], "a bigint, b bigint")
+    rounds = []
+    got = components.connected_components(edges, Scratch(spark, "t"), rounds).collect()
+    assert len(got) == 1000 and {r["component"] for r in got} == {0} and len(rounds) <= 20
+
+
+def test_components_of_random_graphs(spark):
+    rng = np.random.default_rng(6)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 400, (220, 2))]
+    low = {i: i for e in edges for i in e}
+    for _ in low:
+        for a, b in edges:
+            low[a] = low[b] = min(low[a], low[b])
+    table = spark.createDataFrame(edges, "a bigint, b bigint")
+    got = {r["id"]: r["component"] for r in components.connected_components(table, Scratch(spark, "t")).collect()}
+    assert got == low
+
+
+def test_toxicity_features_by_run_equal_plain_ones(monkeypatch):
+    monkeypatch.setattr(toxicity, "RUN_CHARS", 40)
+    texts = ["The cat, the cat sat.", None, "", "ab a \x00 été", "x" * 300, "the Dog (dog) cat"]
+    rng = np.random.default_rng(1)
+    weights = np.where(rng.random(toxicity.BUCKETS) < 0.5, rng.normal(size=toxicity.BUCKETS), 0.0)
+    features = list(toxicity.document_features(texts, np.ones(toxicity.BUCKETS, bool)))
+    totals = list(toxicity._Scores(weights).totals(texts))
+    for text, (ids, counts), total in zip(texts, features, totals, strict=True):
+        plain = Counter()
+        for word in set(lower_words(text)):
+            plain.update(set(toxicity.word_buckets([word])[1].tolist()))
+        assert dict(zip(ids.tolist(), counts.tolist())) == plain
+        assert total == pytest.approx(sum(weights[i] * n for i, n in plain.items()))
+
+
+def test_lm_counts_written_in_parts_add_up(monkeypatch):
+    """Workers don't see patched constants, so the streams are run here."""
+    texts = [None, "", *[f"text {i % 7} of words {'long ' * (i % 50)}" for i in range(300)]]
+    rows = pa.table({
+        "block": pa.array([i * 3 // len(texts) for i in range(len(texts))], pa.int32()),
+        "held_out": [i % 10 == 0 for i in range(len(texts))], "text": texts,
+    }).sort_by([("block", "ascending"), ("held_out", "ascending")])
+
+    def counted(rows_a_batch):
+        got, written = Counter(), 0
+        for out in lm_scoring._count_blocks(iter(rows.to_batches(max_chunksize=rows_a_batch)), 5):
+            written += out.num_rows
+            for block, kind, key, n in zip(*(c.to_pylist() for c in out.columns)):
+                got[block, kind, key] += n
+        return got, written
+
+    whole, few = counted(1000)
+    for name, value in (("MOST_KEYS", 50), ("WORD_CHARS", 400), ("CHUNK", 64), ("WRITTEN", 13)):
+        monkeypatch.setattr(lm_scoring, name, value)
+    parts, many = counted(7)
+    assert parts == whole and parts.keys() == whole.keys() and many > few == len(whole)
+    assert len({block for block, _, _ in whole}) == 3 and 0 in whole.values()
