@@ -40,6 +40,7 @@ CHUNK = 1 << 19  # positions that are counted at once
 WORD_CHARS = 1 << 22  # characters whose words are held at once
 MOST_KEYS = 1 << 21  # different pairs that a block counts before it writes partial counts
 WRITTEN = 1 << 17  # rows that are given back at once
+KINDS = 3  # of rows in the stream of a block: pairs, words, documents
 LOOKED_UP = 1 << 18  # positions whose probabilities are looked up at once
 _END_TOKEN = b"\n"  # no word holds white space
 
@@ -225,7 +226,9 @@ class _Lookup:
     """Values of sorted keys: a table of hashed slots, then a search for keys that share a slot."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
-        self.keys, self.values = keys, values
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order]
+        del order
         self.shift = np.uint64(64 - max(10, int(len(keys) * 4).bit_length()))
         self.slots = np.zeros(1 << (64 - int(self.shift)), np.int32)
         self.slots[self._slot(self.keys)] = np.arange(len(keys), dtype=np.int32)
@@ -270,7 +273,8 @@ def _score_rows(rows: pa.RecordBatch, look: _Lookup, count_of: _Lookup, order: i
         found = [np.array([counts[t] for t in own]) for own in tokens]
         score = _score_texts(part, look, order)
         yield pa.RecordBatch.from_arrays([
-            rows.column("id").slice(start, stop - start), rows.column("held_out").slice(start, stop - start),
+            rows.column("key").slice(start, stop - start),
+            rows.column("value").slice(start, stop - start).cast(pa.bool_()),
             pa.array([len(c) for c in found], pa.int64()), pa.array([int((c > 0).sum()) for c in found], pa.int64()),
             pa.array([total] * len(part), pa.int64()),
             pa.array([float(np.log10((c + 0.1) / 0.1).sum() + len(c) * bottom) for c in found], pa.float64()), pa.array(score),
@@ -278,10 +282,11 @@ def _score_rows(rows: pa.RecordBatch, look: _Lookup, count_of: _Lookup, order: i
 
 
 def _score_blocks(batches: Iterator[pa.RecordBatch], order: int, total: int, distinct: int) -> Iterator[pa.RecordBatch]:
-    """Scores from rows sorted by block, kind and key: a block's pairs (kind 0), its words (1), then its documents (2)."""
+    """Scores from rows sorted by ``spot``: a block's pairs (kind 0), its words (1), then its documents (2), id as key."""
     current, model, looks = None, ([], []), None
     for batch in batches:
-        for (block, kind), rows in _parts(batch, "block", "kind"):
+        for (spot,), rows in _parts(batch, "spot"):
+            block, kind = divmod(spot, KINDS)
             if block != current:
                 current, model, looks = block, ([], []), None
             if kind < 2:
@@ -384,9 +389,13 @@ def score(
         keys.filter("kind = 1").select("kind", "key", F.col("n").cast("double"))
     )
     release_shuffles(docs.sparkSession)
-    model = seen.select("block", "kind", "key").join(parts, ["kind", "key"])
-    stream = model.unionByName(docs.withColumn("kind", F.lit(2).cast("byte")), allowMissingColumns=True)
-    stream = stream.repartition("block").sortWithinPartitions("block", "kind", "key")
+    # Few columns and one whole number to sort by, as there are many small rows.
+    spot = F.col("block") * KINDS + F.col("kind")
+    model = seen.join(parts, ["kind", "key"]).select("block", spot.alias("spot"), "key", "value", F.lit(None).cast("string").alias("text"))
+    stream = model.union(docs.select(
+        "block", (F.col("block") * KINDS + KINDS - 1).alias("spot"), F.col("id").alias("key"), F.col("held_out").cast("double").alias("value"), "text"
+    ))
+    stream = stream.repartition("block").sortWithinPartitions("spot").drop("block")
     shape = "id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     return stream.mapInArrow(lambda rows: _score_blocks(rows, order, total, distinct), shape)
 

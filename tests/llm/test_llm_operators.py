@@ -368,7 +368,7 @@ def test_toxicity_features_by_run_equal_plain_ones(monkeypatch):
 
 def test_lm_counts_written_in_parts_add_up(monkeypatch):
     """Workers don't see patched constants, so the streams are run here."""
-    texts = [None, "", *[f"text {i % 7} of words {'long ' * (i % 50)}" for i in range(300)]]
+    texts = [None, "", *[f"text {i % 7} of words {'long ' * (i % 50)}{'held' * (i % 10 == 8)}" for i in range(300)]]
     rows = pa.table({
         "block": pa.array([i * 3 // len(texts) for i in range(len(texts))], pa.int32()),
         "held_out": [i % 10 == 0 for i in range(len(texts))], "text": texts,
