@@ -96,13 +96,14 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     groups = exact_groups(docs, id_col, text_col, hash_all=True)
     # Of a repeated id only the row with the most code points is the one that was meant.
     stays = groups.filter("kept").groupBy("_id", "_sha").agg(F.max("_points").alias("_points"))
+    # The row travels in one column, so that its names can't meet the operator's own.
     marked = docs.select(
-        "*", F.col(id_col).alias("_id"), F.char_length(F.coalesce(F.col(text_col), F.lit(""))).alias("_points"),
+        F.struct("*").alias("row"), F.col(id_col).alias("_id"), F.char_length(F.coalesce(F.col(text_col), F.lit(""))).alias("_points"),
         F.sha2(normalised(F.col(text_col)).cast("binary"), 256).alias("_sha"),
     )
     same = [F.col("m._id").eqNullSafe(F.col("s._id")), F.col("m._points") == F.col("s._points"), F.col("m._sha") == F.col("s._sha")]
     found = marked.alias("m").join(stays.alias("s"), same[0] & same[1] & same[2], "left_semi")
-    return found.dropDuplicates(["_id", "_points", "_sha"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return found.dropDuplicates(["_id", "_points", "_sha"]).select("row.*")
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -363,18 +363,21 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = CONTRACT) -> DataFrame:
-    """One row of ``docs`` of every group of near-duplicates, all columns; documents without words all stay.
+    """One row of ``docs`` of every group of near-duplicates, all columns; documents without words form no group and stay.
 
     The row with the smallest id stays (null last), of several with that id the one with the smallest fingerprint,
-    then text hash. Equal rows of one id are cut to one.
+    then text hash. Rows with one id, or none, and one text are cut to one, those without words or text too. Columns of
+    any name pass through. Ids must be whole numbers.
     """
     rows = near_documents(docs, id_col, text_col, rule)
     first = F.min(F.struct(F.col("id").isNull(), "id", "f1", "f2", "n_shingles", "text_hash")).alias("first")
     kept = rows.filter("n_shingles > 0").groupBy("component").agg(first).select("first.id", "first.text_hash")
     kept = kept.union(rows.filter("n_shingles = 0").select("id", "text_hash"))
-    kept = kept.select(F.col("id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash"))
-    same = F.col(id_col).cast("bigint").eqNullSafe(F.col("_kept_id")) & (_text_hash(text_col) == F.col("_kept_hash"))
-    return docs.join(kept, same, "left_semi").dropDuplicates([id_col, text_col])
+    # The row travels in one column, so that its names can't meet the operator's own.
+    marked = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("bigint").alias("id"), _text_hash(text_col).alias("text_hash"))
+    same = F.col("m.id").eqNullSafe(F.col("k.id")) & (F.col("m.text_hash") == F.col("k.text_hash"))
+    found = marked.alias("m").join(kept.alias("k"), same, "left_semi")
+    return found.dropDuplicates(["id", "text_hash"]).select("row.*")
 
 
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -137,6 +137,15 @@ def mix(
     weights: tuple = WEIGHTS, budget: float = BUDGET, cap: int = CAP,
 ) -> DataFrame:
     """Columns ``carry`` of every document with ``_size, _source_size, _target, _copies``."""
+    found = _mix(docs, carry, id_col, source_col, text_col, weights, budget, cap)
+    return found.select("row.*", "_size", "_source_size", "_target", "_copies")
+
+
+def _mix(
+    docs: DataFrame, carry: list[str], id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
+    weights: tuple = WEIGHTS, budget: float = BUDGET, cap: int = CAP,
+) -> DataFrame:
+    """As ``mix``, the carried columns in one column ``row``."""
     scratch = Scratch(docs.sparkSession, "mixing")
     base = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.col(id_col).alias("id"),
@@ -177,17 +186,15 @@ def mix(
     ranked = dealt.withColumn("place", F.row_number().over(inside)).join(before, ["sid", "size", "bucket"], "left")
     taken = F.floor(F.col("copies") / F.col("n")) + (F.col("place") + F.coalesce("before", F.lit(0)) <= extra).cast("int")
     return ranked.select(
-        "row.*", F.col("size").alias("_size"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"),
+        "row", F.col("size").alias("_size"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"),
         taken.cast("bigint").alias("_copies"),
     )
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with every row repeated as often as the mix takes it."""
-    found = mix(docs, docs.columns, **options).filter("_copies > 0")
-    return found.withColumn("_copies", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(
-        *[F.col(f"`{c}`") for c in docs.columns]
-    )
+    """``docs`` with every row repeated as often as the mix takes it; columns of any name pass through."""
+    found = _mix(docs, docs.columns, **options).filter("_copies > 0")
+    return found.select("row", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("row.*")
 
 
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -199,9 +199,7 @@ def held_out(ident: Column) -> Column:
 def keep_good(docs: DataFrame, labels: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose score is at least 0.5, all columns; no row is shuffled."""
     score = scorer(docs.sparkSession, fit(docs, labels, ~held_out(F.col("doc_id"))))
-    return docs.withColumn("_score", score(F.col(text_col))).filter("_score >= 0.5").select(
-        *[F.col(f"`{c}`") for c in docs.columns]
-    )
+    return docs.filter(score(F.col(text_col)) >= 0.5)
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -245,7 +245,7 @@ def grade(
     docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text",
     label_col: str = "toxic", sample: int = SAMPLE,
 ) -> DataFrame:
-    """``docs`` (all columns) with ``_at_least``: P(grade >= 1), P(grade >= 2), ..."""
+    """``docs`` (all columns) with ``_at_least``: P(grade >= 1), P(grade >= 2), ...; it replaces a column of that name."""
     score = scorer(docs.sparkSession, fit_rows(training_rows(docs, labels, learn, id_col, text_col, label_col, sample)))
     return docs.withColumn("_at_least", score(F.col(text_col)))
 

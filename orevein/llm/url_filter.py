@@ -79,14 +79,20 @@ def _sweep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def judge(urls: DataFrame, rules: DataFrame, url_col: str = "url", default: str = DEFAULT) -> DataFrame:
-    """``urls`` (all columns) with ``_host, _path, _rule, _verdict``; ``rules`` has ``host, path, verdict``."""
+    """``urls`` (all columns) with ``_host, _path, _rule, _verdict``; ``rules`` has ``host, path, verdict``.
+
+    The four replace columns of ``urls`` with their names; all others pass through, whatever they are called.
+    """
     scratch = Scratch(urls.sparkSession, "urls")
     rules = rules.filter("host <> '' AND path <> '' AND verdict IN ('allow', 'block')").select(
         reversed_host(F.col("host")).alias("parent"), F.col("path").alias("key"), "verdict"
     ).groupBy("parent", "key").agg(F.max("verdict").alias("verdict"))  # 'block' sorts after 'allow'
     # The stamp is stable once written; it ties results to rows also where ids repeat.
-    rows = scratch.table(urls.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    parts = rows.select("_row", url_host(F.col(url_col)).alias("_host"), url_path(F.col(url_col)).alias("_path"))
+    rows = scratch.table(urls.select(
+        F.struct("*").alias("given"), F.monotonically_increasing_id().alias("_row"),
+        url_host(F.col(url_col)).alias("_host"), url_path(F.col(url_col)).alias("_path"),
+    ), "rows")
+    parts = rows.select("_row", "_host", "_path")
     points = parts.filter("_host <> ''").select(
         F.explode(_parents(F.col("_host"))).alias("parent"), F.col("_path").alias("key"), F.col("_row").alias("row")
     ).join(rules.select("parent").distinct(), "parent", "left_semi")
@@ -113,9 +119,10 @@ def judge(urls: DataFrame, rules: DataFrame, url_col: str = "url", default: str
         F.col("best.verdict").alias("_verdict"),
     )
     judged = rows.join(best, "_row", "left")
+    added = {"_host", "_path", "_rule", "_verdict"}
     return judged.select(
-        *[F.col(f"`{c}`") for c in urls.columns], url_host(F.col(url_col)).alias("_host"),
-        url_path(F.col(url_col)).alias("_path"), "_rule", F.coalesce("_verdict", F.lit(default)).alias("_verdict"),
+        *[F.col(f"given.`{c}`") for c in urls.columns if c.lower() not in added],
+        "_host", "_path", "_rule", F.coalesce("_verdict", F.lit(default)).alias("_verdict"),
     )
 
 

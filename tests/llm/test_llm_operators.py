@@ -388,3 +388,30 @@ def test_lm_counts_written_in_parts_add_up(monkeypatch):
     parts, many = counted(7)
     assert parts == whole and parts.keys() == whole.keys() and many > few == len(whole)
     assert len({block for block, _, _ in whole}) == 3 and 0 in whole.values()
+
+
+CLASHING = [
+    "_id", "_sha", "_points", "_key", "_kept_id", "_kept_hash", "_copies", "_size", "_target", "_score", "_row", "row", "id", "text_hash",
+    "_host", "_rule", "m", "k", "given", "col",
+]
+
+
+@pytest.mark.parametrize("operator", ["deduplicate", "keep_one", "mixed_rows", "keep_good", "judge"])
+def test_columns_with_the_operators_own_names_pass_through(spark, operator):
+    rows = [(i, f"word{i} and some other text number {i}", "s" if i % 2 else None, *[f"{c}{i}" for c in CLASHING]) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, " + ", ".join(f"`{c}` string" for c in CLASHING))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id bigint, quality int")
+    rules = spark.createDataFrame(list(url_filter.RULES), "host string, path string, verdict string")
+    got = {
+        "deduplicate": lambda: exact_dedup.deduplicate(docs), "keep_one": lambda: minhash_dedup.keep_one(docs),
+        "mixed_rows": lambda: mixing.mixed_rows(docs), "keep_good": lambda: quality.keep_good(docs, labels),
+        "judge": lambda: url_filter.judge(docs, rules, url_col="text"),
+    }[operator]()
+    names = [c for c in docs.columns if operator != "judge" or c not in ("_host", "_rule")]
+    assert got.columns[:len(names)] == names and len(set(got.columns)) == len(got.columns)
+    given = {r["doc_id"]: tuple(r[c] for c in names) for r in docs.collect()}
+    out = got.select(*[f"`{c}`" for c in names]).collect()
+    assert all(tuple(r) == given[r["doc_id"]] for r in out)
+    assert out if operator != "keep_good" else True
+    if operator in ("deduplicate", "keep_one", "judge"):
+        assert len(out) == 12
