@@ -45,7 +45,7 @@ def test_stages_against_brute_force(spark, small, tmp_path):
         w = lower_words(t)
         sets[i] = {tuple(w[j:j + 5]) for j in range(max(1, len(w) - 4))} if w else set()
     low = {i: i for i in sets}
-    links = [(i, j) for i in sets for j in sets if i < j and sets[i] and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])]
+    links = [(i, j) for i in sets for j in sets if i < j and sets[i] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
     for _ in sets:
         for i, j in links:
             low[i] = low[j] = min(low[i], low[j])
