@@ -22,8 +22,8 @@ def different_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near-duplicates."""
-    return minhash_dedup.keep_one(docs)
+    """One document of every group of near-duplicates: five-word shingles, a similarity of 0.8 or more."""
+    return minhash_dedup.keep_one(docs, rule=minhash_dedup.WIDER)
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
