@@ -31,16 +31,29 @@ def normalised(text: Column) -> Column:
 
 
 def _facts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Length, prefix hash and normalised text of every document; ``row`` holds its columns, so that no names can meet."""
     plain = docs.select(
-        F.col(id_col).alias("_id"), F.char_length(F.coalesce(F.col(text_col), F.lit(""))).alias("_points"),
-        normalised(F.col(text_col)).alias("_norm"),
+        F.struct("*").alias("row"), F.col(id_col).alias("_id"),
+        F.char_length(F.coalesce(F.col(text_col), F.lit(""))).alias("_points"), normalised(F.col(text_col)).alias("_norm"),
     )
     return plain.select(
-        "_id", "_points", F.octet_length("_norm").alias("_bytes"),
+        "row", "_id", "_points", F.octet_length("_norm").alias("_bytes"),
         F.xxhash64(F.substring("_norm", 1, PREFIX)).alias("_prefix"), "_norm",
     )
 
 
+def _shared_keys(facts: DataFrame, scratch: Scratch) -> DataFrame:
+    """The (length, prefix hash) keys of more than one document."""
+    light = scratch.table(facts.select("_bytes", "_prefix"), "light")
+    by_length = light.groupBy("_bytes").count().filter("count > 1").drop("count")
+    left = light.join(by_length, "_bytes", "left_semi")
+    shared = scratch.table(
+        left.groupBy("_bytes", "_prefix").count().filter("count > 1").drop("count"), "prefixes"
+    )
+    scratch.drop(light)
+    return shared
+
+
 def _seen_bits(keys: DataFrame) -> DataFrame:
     """Bitmap of the surviving (length, prefix) keys: at most ``BUCKETS`` rows of 4 KB, whatever the input."""
     spot = keys.select(F.pmod(F.xxhash64("_bytes", "_prefix"), F.lit(BUCKETS * BITS)).alias("spot"))
@@ -49,33 +62,21 @@ def _seen_bits(keys: DataFrame) -> DataFrame:
     )
 
 
-def exact_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_all: bool = False
-) -> DataFrame:
-    """``(_id, _points, _sha, keep_id, group_size, kept)``, a row per document.
+def _with_survivors(facts: DataFrame, shared: DataFrame) -> DataFrame:
+    """``facts`` with ``_survives``: false tells that no other document has the length and the prefix hash."""
+    spot = F.pmod(F.xxhash64("_bytes", "_prefix"), F.lit(BUCKETS * BITS))
+    facts = facts.withColumn("_spot", spot).withColumn("_bucket", (F.col("_spot") / BITS).cast("int"))
+    facts = facts.join(F.broadcast(_seen_bits(shared)), "_bucket", "left")
+    byte = F.conv(F.hex(F.expr("substring(_bitmap, cast(_spot % 32768 div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    hit = (F.floor(byte / F.pow(F.lit(2), F.expr("_spot % 8").cast("int"))) % 2) == 1
+    return facts.withColumn("_survives", F.coalesce(hit, F.lit(False)))
 
-    ``_sha`` is null where length and prefix already tell the text apart from all others,
-    unless ``hash_all`` asks for every digest. No text is shuffled: the second scan tests
-    a bitmap of fixed size to see which texts it has to read in full.
-    """
-    scratch = Scratch(docs.sparkSession, "exact")
-    facts = _facts(docs, id_col, text_col)
-    light = scratch.table(facts.select("_bytes", "_prefix"), "light")
-    by_length = light.groupBy("_bytes").count().filter("count > 1").drop("count")
-    left = light.join(by_length, "_bytes", "left_semi")
-    shared = scratch.table(
-        left.groupBy("_bytes", "_prefix").count().filter("count > 1").drop("count"), "prefixes"
-    )
-    scratch.drop(light)
-    digest = F.sha2(F.col("_norm").cast("binary"), 256)
-    if not hash_all:
-        spot = F.pmod(F.xxhash64("_bytes", "_prefix"), F.lit(BUCKETS * BITS))
-        facts = facts.withColumn("_spot", spot).withColumn("_bucket", (F.col("_spot") / BITS).cast("int"))
-        facts = facts.join(F.broadcast(_seen_bits(shared)), "_bucket", "left")
-        byte = F.conv(F.hex(F.expr("substring(_bitmap, cast(_spot % 32768 div 8 as int) + 1, 1)")), 16, 10).cast("int")
-        hit = F.expr("_spot % 8").cast("int")
-        digest = F.when((F.floor(byte / F.pow(F.lit(2), hit)) % 2) == 1, digest)
-    full = scratch.table(facts.select("_id", "_points", "_bytes", "_prefix", digest.alias("_sha")), "full")
+
+def _digest() -> Column:
+    return F.sha2(F.col("_norm").cast("binary"), 256)
+
+
+def _grouped(full: DataFrame, shared: DataFrame) -> DataFrame:
     best = F.struct(-F.col("_points"), F.col("_id").isNull(), F.col("_id").alias("_id"))
     groups = (
         full.join(shared, ["_bytes", "_prefix"], "left_semi")
@@ -91,19 +92,46 @@ def exact_groups(
     ).withColumn("kept", F.col("_id").eqNullSafe(F.col("keep_id")))
 
 
+def exact_groups(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_all: bool = False
+) -> DataFrame:
+    """``(_id, _points, _sha, keep_id, group_size, kept)``, a row per document.
+
+    ``_sha`` is null where length and prefix already tell the text apart from all others,
+    unless ``hash_all`` asks for every digest. No text is shuffled: the second scan tests
+    a bitmap of fixed size to see which texts it has to read in full.
+    """
+    scratch = Scratch(docs.sparkSession, "exact")
+    facts = _facts(docs, id_col, text_col)
+    shared = _shared_keys(facts, scratch)
+    digest = _digest()
+    if not hash_all:
+        facts, digest = _with_survivors(facts, shared), F.when(F.col("_survives"), digest)
+    full = scratch.table(facts.select("_id", "_points", "_bytes", "_prefix", digest.alias("_sha")), "full")
+    return _grouped(full, shared)
+
+
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, all columns; repeated rows are cut to one."""
-    groups = exact_groups(docs, id_col, text_col, hash_all=True)
+    """The rows of ``docs`` that stay, all columns; repeated rows are cut to one.
+
+    Documents that length and prefix tell apart go through as they are read: they are not hashed in full, joined or
+    shuffled. Only survivors are hashed, and only their rows meet the decisions.
+    """
+    scratch = Scratch(docs.sparkSession, "exact")
+    facts = _facts(docs, id_col, text_col)
+    shared = _shared_keys(facts, scratch)
+    rows = _with_survivors(facts, shared)
+    alone = rows.filter(~F.col("_survives")).select("row.*")
+    survivors = rows.filter("_survives").withColumn("_sha", _digest())
+    full = scratch.table(survivors.select("_id", "_points", "_bytes", "_prefix", "_sha"), "full")
     # Of a repeated id only the row with the most code points is the one that was meant.
-    stays = groups.filter("kept").groupBy("_id", "_sha").agg(F.max("_points").alias("_points"))
-    # The row travels in one column, so that its names can't meet the operator's own.
-    marked = docs.select(
-        F.struct("*").alias("row"), F.col(id_col).alias("_id"), F.char_length(F.coalesce(F.col(text_col), F.lit(""))).alias("_points"),
-        F.sha2(normalised(F.col(text_col)).cast("binary"), 256).alias("_sha"),
+    stays = scratch.table(
+        _grouped(full, shared).filter("kept").groupBy("_id", "_sha").agg(F.max("_points").alias("_points")), "stays"
     )
+    marked = survivors.select("row", "_id", "_points", "_sha").alias("m")
     same = [F.col("m._id").eqNullSafe(F.col("s._id")), F.col("m._points") == F.col("s._points"), F.col("m._sha") == F.col("s._sha")]
-    found = marked.alias("m").join(stays.alias("s"), same[0] & same[1] & same[2], "left_semi")
-    return found.dropDuplicates(["_id", "_points", "_sha"]).select("row.*")
+    found = marked.join(stays.alias("s"), same[0] & same[1] & same[2], "left_semi")
+    return alone.unionAll(found.dropDuplicates(["_id", "_points", "_sha"]).select("row.*"))
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -63,3 +63,31 @@ def test_stages_against_brute_force(spark, small, tmp_path):
         assert r["bin_id"] is None or 0 <= r["offset"] <= r["capacity"] - r["length"]
     assert packed == Counter({i: words[i] * n for i, n in copies.items()})
     assert corpus_pipeline.run(spark, small).count() == kept[5].count()
+
+
+def stage(number, spark, docs, sf_dir):
+    return corpus_pipeline.STAGES[number][1](spark, docs, sf_dir)
+
+
+def test_stages_take_odd_rows_and_empty_tables(spark, small):
+    """Null and repeated ids, null and empty texts, repeated rows and a long text through all stages, and no rows at all."""
+    given = spark.read.parquet(f"{small}/documents.parquet")
+    some = given.limit(20).collect()
+    long = " ".join(r["text"] or "" for r in some) * 20
+    odd = [
+        r.asDict() | change for r, change in zip(some, [
+            {"doc_id": None}, {"doc_id": None, "text": None}, {"text": None}, {"text": ""}, {"text": long}, {"source": None}, {"lang": None},
+        ])
+    ]
+    rows = [tuple(r[c] for c in given.columns) for r in [*odd, *[r.asDict() for r in some[7:]], some[9].asDict(), some[9].asDict()]]
+    for part in (rows, []):
+        docs = spark.createDataFrame(part, given.schema)
+        for number in range(4):
+            left = stage(number, spark, docs, small)
+            assert left.columns == given.columns
+            if number in (1, 2):  # repeated rows and equal empty texts leave one, texts without a partner stay
+                texts = [re.sub(r"[\x20\x09-\x0D]", "", r["text"] or "") for r in left.collect()]
+                was = {re.sub(r"[\x20\x09-\x0D]", "", r["text"] or "") for r in docs.collect()}
+                assert set(texts) <= was and (number == 2 or sorted(texts) == sorted(was))
+        packed = stage(4, spark, docs, small).collect()
+        assert sum(r["length"] for r in packed) == sum(len((r["text"] or "").split()) for r in docs.collect())

@@ -50,6 +50,23 @@ def test_exact_deduplicate_keeps_columns_and_one_row(spark):
     assert sorted(str(r["doc_id"]) for r in got.collect()) == ["1", "2", "5", "6", "None"]
 
 
+def test_exact_deduplicate_against_plain_grouping(spark):
+    """Texts that share length and opening but not their ends, repeated and null ids, empty texts."""
+    rng = np.random.default_rng(4)
+    head = "same opening of every text " * 4
+    rows = [(int(i), (head if i % 3 else "") + " " * int(rng.integers(0, 3)) + str(rng.integers(10, 40)), "s") for i in range(150)]
+    rows += [(None, rows[4][1], "s"), (None, head + "only here", None), (200, None, "s"), (201, "", None), (7, rows[7][1], "s")]
+    best = {}
+    for i, t, _ in rows:
+        key = "".join((t or "").split())
+        best[key] = min(best.get(key, (1, True, 0)), (-len(t or ""), i is None, -1 if i is None else i))
+    want = Counter(None if none else i for _, none, i in best.values())
+    docs = documents(spark, rows).repartition(7)
+    assert Counter(r["doc_id"] for r in exact_dedup.deduplicate(docs).collect()) == want
+    groups = exact_dedup.exact_groups(docs)
+    assert groups.filter("_sha IS NULL").count() > 0 and groups.filter("NOT kept AND _sha IS NULL").count() == 0
+
+
 @pytest.mark.parametrize("rows", [[], ODD])
 def test_operators_take_empty_and_odd_tables(spark, rows):
     docs = documents(spark, rows)
@@ -276,6 +293,67 @@ def test_mix_ranks_within_hash_buckets(spark, monkeypatch):
     assert len(got) == 500 and abs(sum(r["_copies"] * r["_size"] for r in hot) - hot[0]["_target"]) <= 7
 
 
+def plain_best_fit(lengths, sizes):
+    """Bins as lists of lengths and their final sizes, by looking at every open bin."""
+    bins = []  # [free, turn of the last change, lengths]
+    for turn, length in enumerate(lengths):
+        fitting = [b for b in bins if b[0] >= length]
+        if fitting:
+            chosen = min(fitting, key=lambda b: (b[0], -b[1]))
+        else:
+            rest = sum(lengths[turn:])
+            price = {c: packing.sequence_cost(c) / min(c, rest) for c in sizes if c >= length}
+            chosen = [min(c for c in price if price[c] == min(price.values())), turn, []]
+            bins.append(chosen)
+        chosen[0], chosen[1] = chosen[0] - length, turn
+        chosen[2].append(length)
+    return sorted((min(c for c in sizes if c >= sum(held)), tuple(held)) for *_, held in bins)
+
+
+def plain_pack(lengths, sizes=packing.CAPACITIES):
+    plans = [plain_best_fit(lengths, [c for c in sizes if c <= most]) for most in sizes if most >= lengths[0]]
+    return min(plans, key=lambda plan: sum(packing.sequence_cost(c) for c, _ in plan))
+
+
+def least_cost(lengths, sizes):
+    """The cheapest of all ways to divide the pieces into bins."""
+    if not lengths:
+        return 0.0
+    first, rest = lengths[0], lengths[1:]
+    found = []
+    for mask in range(1 << len(rest)):
+        held = first + sum(n for k, n in enumerate(rest) if mask >> k & 1)
+        if held <= max(sizes):
+            left = [n for k, n in enumerate(rest) if not mask >> k & 1]
+            found.append(packing.sequence_cost(min(c for c in sizes if c >= held)) + least_cost(left, sizes))
+    return min(found)
+
+
+def test_packing_against_every_open_bin_and_all_divisions():
+    rng = np.random.default_rng(9)
+    ratios = []
+    for case in range(150):
+        lengths = sorted((int(n) for n in rng.integers(1, 2049 if case % 2 else 300, rng.integers(1, 8))), reverse=True)
+        place, _, final = packing.pack_lengths(lengths)
+        held = [tuple(n for n, b in zip(lengths, place) if b == k) for k in range(len(final))]
+        assert sorted(zip(final, held)) == plain_pack(lengths)
+        ratios.append(sum(map(packing.sequence_cost, final)) / least_cost(lengths, packing.CAPACITIES))
+    assert min(ratios) >= 1 - 1e-9 and max(ratios) < 1.7 and sum(ratios) / len(ratios) < 1.1
+
+
+def test_packing_query_equals_plain_packing_with_ties(spark):
+    """Whole operator on one shard: ties, repeated rows, documents beyond the largest size, no words."""
+    rng = np.random.default_rng(10)
+    sizes = [*map(int, rng.integers(1, 900, 120)), *[300] * 40, 2048, 2049, 5000, 5000, 0]
+    got = packing.pack(documents(spark, [(i % 150, "w " * n, "s") for i, n in enumerate(sizes)]).repartition(5)).collect()
+    bins = {}
+    for r in sorted((r for r in got if r["bin_id"] is not None), key=lambda r: r["offset"]):
+        bins.setdefault((r["bin_id"], r["capacity"]), []).append(r["length"])
+    pieces = sorted((min(2048, n - k) for n in sizes for k in range(0, n, 2048)), reverse=True)
+    assert sorted((c, tuple(held)) for (_, c), held in bins.items()) == plain_pack(pieces)
+    assert sum(r["bin_id"] is None for r in got) == 1
+
+
 def test_packing_is_whole_and_fits(spark):
     rng = np.random.default_rng(6)
     rows = [(i, "w " * int(rng.integers(0, 700)), "s") for i in range(200)] + [(500, "w " * 5000, "s"), (500, "w " * 5000, "s"), (501, None, "s")]
