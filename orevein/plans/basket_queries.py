@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orevein.operators import baskets as B, rules as R
+from orevein.operators.vertical import vertical_supports
 from orevein.plans.tables import table
 from orevein.session import materialize
 
@@ -44,8 +45,10 @@ def _ordered(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _of_size(spark: SparkSession, sf: str, size: int) -> DataFrame:
+    """From vertical bitmaps, without the mining of ``_itemsets``, so that each checks the other."""
     names = [F.element_at("items", i).alias(f"i{i}") for i in range(1, size + 1)]
-    return _itemsets(spark, sf).filter(F.col("size") == size).select(*names, "freq")
+    baskets = order_brands(spark, sf)
+    return vertical_supports(baskets, size, minimum_support(baskets)).select(*names, "freq")
 
 
 def fim_baskets(spark, sf):
@@ -164,15 +167,14 @@ sets AS MATERIALIZED (
 """
 
 _CANDIDATES = _SETS + """,
-slots AS (SELECT unnest(generate_series(1, 4)) AS slot),
 masks AS (SELECT unnest(generate_series(1, 14)) AS mask),
 candidates AS MATERIALIZED (
   SELECT s.items, s.size, s.freq, m.mask,
-         string_agg(s.members[p.slot], ',' ORDER BY p.slot) FILTER (WHERE (m.mask >> (p.slot - 1)) & 1 = 0) AS antecedent,
-         string_agg(s.members[p.slot], ',' ORDER BY p.slot) FILTER (WHERE (m.mask >> (p.slot - 1)) & 1 = 1) AS consequent,
-         count(*) FILTER (WHERE (m.mask >> (p.slot - 1)) & 1 = 1) AS consequent_size
-  FROM sets s JOIN masks m ON m.mask < (1 << s.size) - 1 JOIN slots p ON p.slot <= s.size
-  WHERE s.size > 1 GROUP BY ALL),
+         array_to_string([s.members[i] FOR i IN range(1, s.size + 1) IF (m.mask >> (i - 1)) & 1 = 0], ',') AS antecedent,
+         array_to_string([s.members[i] FOR i IN range(1, s.size + 1) IF (m.mask >> (i - 1)) & 1 = 1], ',') AS consequent,
+         CAST(bit_count(m.mask) AS BIGINT) AS consequent_size
+  FROM sets s JOIN masks m ON m.mask < (1 << s.size) - 1
+  WHERE s.size > 1),
 scored AS (SELECT c.*, t.freq AS ante_freq, c.freq / CAST(t.freq AS DOUBLE) AS confidence
            FROM candidates c JOIN sets t ON t.items = c.antecedent),
 rules AS (SELECT * FROM scored WHERE freq > CAST(0.025 AS DOUBLE) * ante_freq)

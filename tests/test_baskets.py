@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from orevein.operators import baskets as B, rules as R
 from orevein.operators.indexing import dense_index
+from orevein.operators.vertical import vertical_supports
 
 BASKETS = {1: "abc", 2: "abc", 3: "ab", 4: "cd", 5: "abd"}
 
@@ -107,3 +108,23 @@ def test_dense_index_over_many_partitions(spark):
 def test_dense_index_of_nothing(spark):
     numbered, total = dense_index(spark.range(0).toDF("x"), ["x"], "pos")
     assert total == 0 and numbered.count() == 0
+
+
+@pytest.mark.parametrize(("size", "most"), [(1, 7), (2, 7), (2, 32768), (3, 40), (3, 32768)])
+def test_vertical_supports_equal_brute_force(spark, size, most):
+    """Items that live in some ranges only, a basket with nothing frequent, an empty one, ties."""
+    baskets = {t: sorted({f"i{(t * 7 + j * j) % 9}" for j in range(t % 6 + 1)} | ({"early"} if t < 12 else set())) for t in range(95)}
+    baskets |= {200: ["rare"], 201: []}
+    counts = {}
+    for items in baskets.values():
+        for c in combinations(items, size):
+            counts[c] = counts.get(c, 0) + 1
+    given = spark.createDataFrame(list(baskets.items()), "tid bigint, items array<string>").repartition(5)
+    found = [(tuple(r["items"]), r["freq"]) for r in vertical_supports(given, size, 6, most).collect()]
+    assert len(found) == len(dict(found)) and dict(found) == {c: n for c, n in counts.items() if n >= 6}
+
+
+def test_vertical_supports_of_nothing(spark):
+    assert vertical_supports(spark.createDataFrame([], "tid bigint, items array<string>"), 2, 1).count() == 0
+    with pytest.raises(ValueError):
+        vertical_supports(spark.createDataFrame([], "tid bigint, items array<string>"), 2, 0)
