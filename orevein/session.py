@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import gc
+import io
 import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: str | None = None
+_shipped: set[str] = set()  # applications whose workers have the package
+_ONE_MACHINE = re.compile(r"local(\[[^-]*\])?")
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -37,7 +42,7 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not re.fullmatch(r"local(\[[^-]*\])?", spark.conf.get("spark.master", "")):
+    if not _ONE_MACHINE.fullmatch(spark.conf.get("spark.master", "")):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if _local_scratch is None:
         _local_scratch = tempfile.mkdtemp(prefix="orevein-")
@@ -48,6 +53,32 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def package_archive() -> bytes:
+    """This package's modules as a zip file that Python can import from."""
+    home, held = Path(__file__).resolve().parent, io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as archive:
+        for module in sorted(home.rglob("*.py")):
+            archive.write(module, module.relative_to(home.parent))
+    return held.getvalue()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers of a cluster import this package; once per application, nothing to do on one machine.
+
+    The archive goes to the shared scratch folder, from which Spark gives it to every executor, later ones too.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _shipped or _ONE_MACHINE.fullmatch(spark.conf.get("spark.master", "")):
+        return
+    path = f"{scratch_path(spark, 'package')}/{Path(__file__).resolve().parent.name}.zip"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    out.write(bytearray(package_archive()))
+    out.close()
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(application)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a file or folder in any store Spark can write to."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -1,6 +1,11 @@
+import os
+import subprocess
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
+from orevein import session
 from orevein.operators import baskets as B, clusters as K, corpus as C, forests as R, rules, trees as T
 from orevein.sources import readers, writers
 
@@ -96,3 +101,16 @@ def test_votes_by_tree(spark, tmp_path):
     writers.tree_predictions(votes, str(tmp_path / "votes"))
     back = readers.tree_predictions(spark, str(tmp_path / "votes"))
     assert [tuple(r) for r in R.vote(back).collect()] == [(0, 5, 5)]
+
+
+def test_package_archive_can_be_imported_elsewhere(spark, tmp_path):
+    """Workers of a cluster import the package from the archive alone."""
+    (tmp_path / "orevein.zip").write_bytes(session.package_archive())
+    code = "import orevein.operators.vertical as v, orevein.session as s; print(v.__file__)"
+    out = subprocess.run(
+        [sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True,
+        env={**os.environ, "PYTHONPATH": os.pathsep.join([str(tmp_path / "orevein.zip"), *[p for p in sys.path if "site-packages" in p or "pyspark" in p]])},
+    ).stdout
+    assert "orevein.zip" in out
+    session.ship_package(spark)  # one machine: nothing to send
+    assert not session._shipped
