@@ -1,4 +1,7 @@
+import contextlib
+import io
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -85,3 +88,41 @@ def test_pages(spark):
 
 def test_log_weight_formula():
     assert math.isclose(1 + math.log2(4), 3.0)
+
+
+def test_stem_steps_fit_into_compiled_methods(spark):
+    """The JVM interprets generated methods of more than 8000 bytes, at several times the CPU time."""
+    docs = spark.createDataFrame([(1, "prices rose")], "doc_id bigint, text string")
+    terms = C.stem_counts(C.drop_stop_words(C.token_counts(docs), C.default_stop_words(spark)))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with contextlib.redirect_stdout(io.StringIO()) as plan:
+            terms.explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", plan.getvalue())]
+    assert sizes and max(sizes) < 8000
+
+
+def _rows_of_tasks(df):
+    return [n for n in df.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect() if n]
+
+
+def test_tasks_stay_small_as_documents_grow(spark, monkeypatch):
+    monkeypatch.setattr(C, "TASK_CHARS", 1 << 10)
+    monkeypatch.setattr(C, "TASK_TERMS", 1 << 8)
+    text = " ".join(f"w{i}" for i in range(50))
+    worst = {}
+    for n in (200, 1600):
+        docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("en").alias("topic"), F.lit(text).alias("text"))
+        worst[n] = max(_rows_of_tasks(C.token_counts(docs)))
+        weights, _, _ = C.text_vectors(docs)
+        assert weights.count() == 50 * n
+        assert max(_rows_of_tasks(weights)) < 50 * n / 8
+    assert worst[1600] < 3 * worst[200]
+
+
+def test_repeated_and_missing_ids_are_counted_together(spark):
+    docs = spark.createDataFrame([(1, "ab cd"), (1, "ab"), (None, "ab"), (None, "ab"), (2, None)], "doc_id bigint, text string")
+    assert {tuple(r) for r in C.token_counts(docs).collect()} == {(1, "ab", 2), (1, "cd", 1), (None, "ab", 2)}
