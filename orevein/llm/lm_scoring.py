@@ -40,6 +40,7 @@ CHUNK = 1 << 19  # positions that are counted at once
 WORD_CHARS = 1 << 22  # characters whose words are held at once
 MOST_KEYS = 1 << 21  # different pairs that a block counts before it writes partial counts
 WRITTEN = 1 << 17  # rows that are given back at once
+TEXT_ROWS = 1024  # rows whose texts are held as Python strings at once
 KINDS = 3  # of rows in the stream of a block: pairs, words, documents
 LOOKED_UP = 1 << 18  # positions whose probabilities are looked up at once
 _END_TOKEN = b"\n"  # no word holds white space
@@ -142,6 +143,12 @@ def _word_key(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word) - (1 << 63)
 
 
+def _few(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """``rows`` in pieces of at most ``TEXT_ROWS``."""
+    for start in range(0, rows.num_rows, TEXT_ROWS):
+        yield rows.slice(start, TEXT_ROWS)
+
+
 def _runs(texts: list) -> Iterator[tuple[int, int]]:
     """Bounds of consecutive texts with about ``WORD_CHARS`` characters, so that few words are held at once."""
     start = chars = 0
@@ -213,25 +220,32 @@ def _count_blocks(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.
             if block != current:
                 yield from written()
                 current = block
-            texts = rows.column("text").to_pylist()
-            for start, stop in _runs(texts):
-                for tally, (keys, n) in zip(tallies, (_count_pairs(texts[start:stop], order), _count_words(texts[start:stop]))):
-                    tally.add((keys, n * 0 if held_out else n))
-                if max(len(tally.known[0]) for tally in tallies) >= MOST_KEYS:
-                    yield from written()
+            for piece in _few(rows):
+                texts = piece.column("text").to_pylist()
+                for start, stop in _runs(texts):
+                    for tally, (keys, n) in zip(tallies, (_count_pairs(texts[start:stop], order), _count_words(texts[start:stop]))):
+                        tally.add((keys, n * 0 if held_out else n))
+                    if max(len(tally.known[0]) for tally in tallies) >= MOST_KEYS:
+                        yield from written()
     yield from written()
 
 
 class _Lookup:
     """Values of sorted keys: a table of hashed slots, then a search for keys that share a slot."""
 
-    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+    def __init__(self, held: list[np.ndarray]) -> None:
+        """``held`` is keys and values; it is emptied, so that each unsorted array goes as soon as its sorted copy is made."""
+        values, keys = held.pop(), held.pop()
         order = np.argsort(keys)
-        self.keys, self.values = keys[order], values[order]
-        del order
-        self.shift = np.uint64(64 - max(10, int(len(keys) * 4).bit_length()))
+        self.keys = keys[order]
+        del keys
+        self.values = values[order]
+        del values, order
+        self.shift = np.uint64(64 - max(10, int(len(self.keys) * 4).bit_length()))
         self.slots = np.zeros(1 << (64 - int(self.shift)), np.int32)
-        self.slots[self._slot(self.keys)] = np.arange(len(keys), dtype=np.int32)
+        for start in range(0, len(self.keys), LOOKED_UP):
+            stop = min(start + LOOKED_UP, len(self.keys))
+            self.slots[self._slot(self.keys[start:stop])] = np.arange(start, stop, dtype=np.int32)
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
@@ -294,9 +308,13 @@ def _score_blocks(batches: Iterator[pa.RecordBatch], order: int, total: int, dis
                 model[kind].append(tuple(rows.column(c).to_numpy(zero_copy_only=False).copy() for c in ("key", "value")))
                 continue
             if looks is None:
-                looks = [_Lookup(*map(np.concatenate, zip(*parts))) for parts in model]
-                model = ([], [])
-            yield from _score_rows(rows, *looks, order, total, distinct)
+                looks = []
+                for parts in model:
+                    held = [np.concatenate(column) for column in zip(*parts)]
+                    parts.clear()  # before the tables are made: the pairs are a task's largest arrays
+                    looks.append(_Lookup(held))
+            for piece in _few(rows):
+                yield from _score_rows(piece, *looks, order, total, distinct)
 
 
 def _orders(pairs: DataFrame, order: int) -> dict[int, DataFrame]:

@@ -493,3 +493,23 @@ def test_columns_with_the_operators_own_names_pass_through(spark, operator):
     assert out if operator != "keep_good" else True
     if operator in ("deduplicate", "keep_one", "judge"):
         assert len(out) == 12
+
+
+def test_lm_holds_few_texts_and_one_copy_of_the_pairs(monkeypatch):
+    """A batch of many short texts is worked off in pieces, and a block's pairs are let go before its tables are searched."""
+    held, symbols = [], lm_scoring._symbols
+    monkeypatch.setattr(lm_scoring, "_symbols", lambda texts, order: held.append(len(texts)) or symbols(texts, order))
+    n, order = 3000, 2
+    texts = [f"text number {i % 7}" for i in range(n)]
+    learned = pa.RecordBatch.from_pydict({
+        "block": pa.array([0] * n, pa.int32()), "held_out": pa.array([False] * n), "text": pa.array(texts),
+    })
+    rows = [r for b in lm_scoring._count_blocks(iter([learned]), order) for r in b.to_pylist()]
+    stream = [(r["kind"], r["key"], float(r["n"]), None) for r in rows] + [(2, i, 0.0, t) for i, t in enumerate(texts)]
+    spot, key, value, text = zip(*sorted(stream, key=lambda r: r[0]))
+    batch = pa.RecordBatch.from_pydict({
+        "spot": pa.array(spot, pa.int32()), "key": pa.array(key, pa.int64()), "value": pa.array(value, pa.float64()), "text": pa.array(text),
+    })
+    got = [r for b in lm_scoring._score_blocks(iter([batch]), order, 4 * n, 9) for r in b.to_pylist()]
+    assert [r["id"] for r in got] == list(range(n)) and all(r["n_tokens"] == 4 for r in got)
+    assert max(held) <= lm_scoring.TEXT_ROWS
