@@ -41,6 +41,7 @@ WORDS = 5
 COORDINATES = 32
 HUB_MEMBERS = 400  # members that are compared with one copy of their hub
 TILE = 1024  # classes on one side of a tile of a long posting list
+PAIRS = 1 << 12  # pairs whose postings are compared at once
 CACHE = 300_000  # words whose hash a worker remembers
 
 _ODD = [int(x) | 1 for x in np.random.default_rng(11).integers(1, 2**63, WORDS + 2 * COORDINATES + 4)]
@@ -204,6 +205,16 @@ def _tiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.concat(held, ignore_index=True)
 
 
+def _first_shared(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """The first posting that both rows of each pair have, the largest number without one; rows are filled up with -1."""
+    none, found = np.iinfo(np.int64).max, []
+    for start in range(0, len(one), PAIRS):
+        a, b = one[start:start + PAIRS], two[start:start + PAIRS]
+        shared = (a[:, :, None] == b[:, None, :]).any(axis=2) & (a >= 0)
+        found.append(np.where(shared, a, none).min(axis=1, initial=none))
+    return np.concatenate([np.empty(0, np.int64), *found])
+
+
 def _candidates(tile: pd.DataFrame, rule: Rule) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Row numbers of pairs that agree in enough coordinates, lie in different components and meet here first."""
     sig, n, comp = np.stack(tile.sig.to_numpy()), tile.n.to_numpy(), tile.comp.to_numpy()
@@ -222,8 +233,7 @@ def _candidates(tile: pd.DataFrame, rule: Rule) -> Iterator[tuple[np.ndarray, np
         i, j = rows[i], right[j]
         if left is right:
             i, j = i[i < j], j[i < j]
-        shared = (first[i][:, :, None] == first[j][:, None, :]).any(axis=2) & (first[i] >= 0)
-        here = np.where(shared, first[i], np.iinfo(np.int64).max).min(axis=1, initial=np.iinfo(np.int64).max) == key
+        here = _first_shared(first[i], first[j]) == key
         yield i[here], j[here]
 
 

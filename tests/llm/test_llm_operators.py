@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 
@@ -513,3 +515,22 @@ def test_lm_holds_few_texts_and_one_copy_of_the_pairs(monkeypatch):
     got = [r for b in lm_scoring._score_blocks(iter([batch]), order, 4 * n, 9) for r in b.to_pylist()]
     assert [r["id"] for r in got] == list(range(n)) and all(r["n_tokens"] == 4 for r in got)
     assert max(held) <= lm_scoring.TEXT_ROWS
+
+
+def test_pairs_of_a_full_tile_take_little_memory():
+    """All pairs of two sides of a tile that are near copies, each a component of its own."""
+    rng, n, rule = np.random.default_rng(3), 2 * minhash_dedup.TILE, minhash_dedup.WIDER
+    prefix = np.sort(rng.integers(0, 40, rule.prefix))
+    tile = pd.DataFrame({
+        "key": int(prefix[0]), "one": 0, "two": 1, "side": np.arange(n) % 2, "comp": np.arange(n), "n": 100,
+        "sig": [np.arange(minhash_dedup.COORDINATES)] * n, "prefix": [prefix] * n,
+    })
+    tracemalloc.start()
+    try:
+        pairs = sum(len(i) for i, _ in minhash_dedup._candidates(tile, rule))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    print(f"peak {peak / 1e6:.0f} MB")
+    assert pairs == (n // 2) ** 2
+    assert peak < 36e6
