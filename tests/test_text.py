@@ -126,3 +126,34 @@ def test_tasks_stay_small_as_documents_grow(spark, monkeypatch):
 def test_repeated_and_missing_ids_are_counted_together(spark):
     docs = spark.createDataFrame([(1, "ab cd"), (1, "ab"), (None, "ab"), (None, "ab"), (2, None)], "doc_id bigint, text string")
     assert {tuple(r) for r in C.token_counts(docs).collect()} == {(1, "ab", 2), (1, "cd", 1), (None, "ab", 2)}
+
+
+def _plan(df):
+    with contextlib.redirect_stdout(io.StringIO()) as plan:
+        df.explain()
+    return plan.getvalue()
+
+
+@pytest.mark.parametrize(("broadcast", "task", "join"), [(10, 10, "BroadcastHashJoin"), (2, 10, "ShuffledHashJoin"), (2, 1, "ShuffledHashJoin")])
+def test_vocabulary_is_looked_up_without_sorting_the_terms(spark, monkeypatch, broadcast, task, join):
+    """Sorting all terms by stem took memory of a task that grew with the documents."""
+    monkeypatch.setattr(C, "BROADCAST_STEMS", broadcast, raising=False)
+    monkeypatch.setattr(C, "TASK_STEMS", task, raising=False)
+    terms = spark.createDataFrame(
+        [(1, "a", 2), (1, "b", 1), (None, "a", 3), (2, "rare", 1), (2, None, 1), (3, "c", 1), (3, "c", 1)],
+        "doc_id bigint, stem string, n bigint",
+    )
+    vocab = spark.createDataFrame([(i, s, 9) for i, s in enumerate("abcdefghi")], "stem_id bigint, stem string, freq bigint")
+    kept = {x: spark.conf.get(x) for x in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        found = C.doc_terms(terms, vocab)
+        plan, rows = _plan(found), [tuple(r) for r in found.collect()]
+    finally:
+        for x, value in kept.items():
+            spark.conf.set(x, value)
+    assert sorted(rows, key=str) == sorted([(1, 0, 2), (1, 1, 1), (None, 0, 3), (3, 2, 1), (3, 2, 1)], key=str)
+    assert join in plan and "SortMergeJoin" not in plan
+    if task == 1:  # nine stems, one a task
+        assert re.findall(r"hashpartitioning\(stem#\d+, (\d+)\)", plan) == ["9", "9"]
