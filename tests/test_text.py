@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from orevein.functions import text as T
 from orevein.operators import corpus as C
+from orevein.plans import text_queries
 
 # Published examples of the stemming rules and of the later departures.
 STEMS = """
@@ -157,3 +158,22 @@ def test_vocabulary_is_looked_up_without_sorting_the_terms(spark, monkeypatch, b
     assert join in plan and "SortMergeJoin" not in plan
     if task == 1:  # nine stems, one a task
         assert re.findall(r"hashpartitioning\(stem#\d+, (\d+)\)", plan) == ["9", "9"]
+
+
+@pytest.mark.parametrize("name", ["text_top_terms", "text_weights_all", "text_weights_log2", "text_weights_sqrt"])
+def test_queries_on_terms_do_not_sort_them_by_stem(spark, monkeypatch, tmp_path, name):
+    """A vocabulary too large to broadcast gives the same rows, and no sort of all terms by stem."""
+    rows = [(i, " ".join(f"price{chr(97 + (i * k) % 9)} trade" for k in range(12)), "en" if i % 3 else None) for i in range(20)]
+    rows += [(20, None, "en"), (20, "trade trade", "en"), (None, "trade rare", "en")]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    small = [tuple(r) for r in text_queries.QUERIES[name](spark, str(tmp_path)).collect()]
+    monkeypatch.setattr(C, "BROADCAST_STEMS", 2, raising=False)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = text_queries.QUERIES[name](spark, str(tmp_path))
+        plan, large = _plan(found), [tuple(r) for r in found.collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert small and sorted(large, key=str) == sorted(small, key=str)
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
