@@ -177,3 +177,19 @@ def test_queries_on_terms_do_not_sort_them_by_stem(spark, monkeypatch, tmp_path,
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert small and sorted(large, key=str) == sorted(small, key=str)
     assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_lookups_of_a_task_do_not_grow_with_the_terms(spark, monkeypatch, tmp_path):
+    """The terms were dealt by stem into a fixed number of tasks, and the shuffle by document held all rows of one."""
+    words = "transform(sequence(0, 4), k -> concat('q', (id * 5 + k) % 200, 'x'))"  # each of 200 words 40 times
+    docs = spark.range(1600).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.expr(f"concat_ws(' ', {words})").alias("text"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    wanted = sorted(tuple(r) for r in text_queries.text_doc_term(spark, str(tmp_path)).collect())
+    monkeypatch.setattr(C, "BROADCAST_STEMS", 4)
+    monkeypatch.setattr(C, "TASK_LOOKUPS", 1 << 8, raising=False)
+    found = text_queries.text_doc_term(spark, str(tmp_path))
+    assert len(wanted) == 8000 and sorted(tuple(r) for r in found.collect()) == wanted
+    assert max(_rows_of_tasks(found)) < 3 << 8
+    weights, vocab, _ = C.text_vectors(docs.withColumnRenamed("lang", "topic"))
+    assert re.findall(r"hashpartitioning\(stem#\d+, (\d+)\)", _plan(weights)) == ["32", "32"]
+    assert weights.count() == 8000 and vocab.count() == 200
