@@ -36,7 +36,10 @@ from orevein.session import Scratch
 BLOCK = 65536  # classes of one block
 ASKING = 4096  # queries of one tile
 STRIP = 1024  # classes of a tile that are multiplied at once
+GROUP = 256  # queries that are multiplied with a strip at once
+PAIRS = 16384  # pairs whose rows are copied at once
 STEPS = (0.25, 0.5, 0.75)  # shares of the coordinates after which pairs are tested
+DENSE = 1 / 16  # beyond this share of pairs left, products of all of them take less than copies of the rows left
 NO_SCORE = -(2**63)
 
 
@@ -85,10 +88,21 @@ class Best:
         self.low[touched] = low[kept].reshape(-1, self.k)
 
 
+def _pair_products(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, product) -> np.ndarray:
+    """``product`` of rows ``a[i]`` and ``b[j]``, copied a few at a time."""
+    parts = [product(a[i[s:s + PAIRS]], b[j[s:s + PAIRS]]) for s in range(0, len(i), PAIRS)]
+    return np.concatenate(parts) if parts else np.zeros(0)
+
+
+def _row_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.einsum("ij,ij->i", a, b)
+
+
 def search_block(queries: np.ndarray, least: np.ndarray, rows: np.ndarray, low: np.ndarray, rotation: np.ndarray, k: int) -> Best:
     """Best ``k`` rows per query that score at least ``least``; ``rows`` are sorted by falling length.
 
-    ``low`` orders rows of equal score. All numbers are whole; ``rotation`` is an orthogonal matrix.
+    ``low`` orders rows of equal score. All numbers are whole; ``rotation`` is an orthogonal matrix. Besides the
+    block itself only the pairs of ``GROUP`` queries and ``STRIP`` rows are held, whatever share of them is left.
     """
     width = rows.shape[1]
     best = Best(len(queries), k)
@@ -98,31 +112,41 @@ def search_block(queries: np.ndarray, least: np.ndarray, rows: np.ndarray, low:
     # Length of what lies behind each step.
     behind_q = [np.linalg.norm(turned_q[:, e:], axis=1) for e in ends]
     behind = [np.linalg.norm(turned[:, e:], axis=1) for e in ends]
+    bound = float(np.abs(queries).max(initial=0)) * float(np.abs(rows).max(initial=0)) * max(width, 1)
     for start in range(0, len(rows), STRIP):
         part = slice(start, start + STRIP)
         need = np.maximum(least, best.worst())
         need = np.where(need <= NO_SCORE + 1, -np.inf, need.astype(np.float64))  # the end of a long stands for all below
         need = need - np.where(np.isinf(need), 0, np.abs(need)) * 2 * np.finfo(float).eps  # a long may have been rounded up
         top = length[part].max()
-        live = np.flatnonzero(length_q * top + _slack(length_q * top, width) >= need)
-        if not len(live):
-            continue
+        reach = np.flatnonzero(length_q * top + _slack(length_q * top, width) >= need)
         need = need - _slack(length_q * top, width)
-        product = turned_q[live, :ends[0]] @ turned[part, :ends[0]].T
-        i, j = np.nonzero(product + behind_q[0][live, None] * behind[0][part] >= need[live, None])
-        value = product[i, j]
-        i, j = live[i], start + j
-        for e, (begin, end) in enumerate(zip(ends, ends[1:]), 1):
+        whole = rows[part].astype(np.float64) if len(reach) and bound < 2**53 else None  # exact, sums too
+        for first in range(0, len(reach), GROUP):
+            live = reach[first:first + GROUP]
+            product = turned_q[live, :ends[0]] @ turned[part, :ends[0]].T
+            i, j = np.nonzero(product + behind_q[0][live, None] * behind[0][part] >= need[live, None])
+            value, dense_left = product[i, j], True
+            for e, (begin, end) in enumerate(zip(ends, ends[1:]), 1):
+                if not len(i):
+                    break
+                dense_left = dense_left and len(i) > product.size * DENSE
+                if dense_left:
+                    product += turned_q[live, begin:end] @ turned[part, begin:end].T
+                    value = product[i, j]
+                else:
+                    value = value + _pair_products(turned_q[:, begin:end], turned[:, begin:end], live[i], start + j, _row_products)
+                keep = value + behind_q[e][live[i]] * behind[e][start + j] >= need[live[i]]
+                i, j, value = i[keep], j[keep], value[keep]
             if not len(i):
-                break
-            value = value + np.einsum("ij,ij->i", turned_q[i, begin:end], turned[j, begin:end])
-            keep = value + behind_q[e][i] * behind[e][j] >= need[i]
-            i, j, value = i[keep], j[keep], value[keep]
-        if not len(i):
-            continue
-        score = exact_products(queries[i], rows[j])
-        keep = score >= np.maximum(least, best.worst())[i]
-        best.add(i[keep], score[keep], j[keep], low[j[keep]])
+                continue
+            if whole is not None and len(i) > product.size * DENSE:
+                score = (queries[live].astype(np.float64) @ whole.T)[i, j].astype(np.int64)
+            else:
+                score = _pair_products(queries, rows, live[i], start + j, exact_products)
+            i, j = live[i], start + j
+            keep = score >= np.maximum(least, best.worst())[i]
+            best.add(i[keep], score[keep], j[keep], low[j[keep]])
     return best
 
 

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -144,6 +145,25 @@ def test_bounds_skip_pairs_but_lose_none():
     assert (best.place == order).all() and (best.score == np.take_along_axis(scores, order, axis=1)).all()
 
 
+@pytest.mark.parametrize("scale", [1000, 2**40])
+def test_search_of_a_block_holds_few_pairs(scale):
+    """No lower bound yet and all lengths alike: every pair of the first strip is left, but not all at once."""
+    rnd = np.random.default_rng(4)
+    rows = rnd.normal(size=(2048, 32))
+    rows = np.floor(rows / np.linalg.norm(rows, axis=1)[:, None] * scale).astype(np.int64)
+    rows = rows[np.argsort(-np.linalg.norm(rows.astype(float), axis=1), kind="stable")]
+    asked = rows[rnd.integers(0, 2048, 1024 if scale == 1000 else 64)]
+    tracemalloc.start()
+    best = K.search_block(asked, np.full(len(asked), K.NO_SCORE), rows, np.arange(2048), np.eye(32), 5)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    scores = (asked.astype(object) @ rows.T.astype(object) if scale > 1000 else asked @ rows.T)
+    scores = np.array([[min(max(s, K.NO_SCORE + 1), 2**63 - 1) for s in r] for r in scores.tolist()], dtype=np.int64)
+    order = np.lexsort((np.broadcast_to(np.arange(2048), scores.shape), ~scores), axis=1)[:, :5]
+    assert (best.place == order).all() and (best.score == np.take_along_axis(scores, order, axis=1)).all()
+    assert most < 100e6
+
+
 # --------------------------------------------------------------------------- collocations
 
 
