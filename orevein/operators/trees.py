@@ -4,13 +4,18 @@ Rows stay one per example: ``(tree, row_id, label, features ARRAY<DOUBLE>, m)``
 multiplicity ``m`` (1, or the number of bootstrap draws). Routing a row to a child only
 reads its own array, so it is a lookup of the node and never a shuffle of rows.
 
-Every attribute is sorted once: its different values get dense ranks, spread over the
+Single steps (``with_ranges``, ``find_splits``): every attribute is sorted once, its different values get dense ranks, spread over the
 numbers ``0 .. 2**bits - 1`` (``codes``). The best split of a level is then found on
 integers, from the leading digits of the codes down: a step counts the classes per (node,
 attribute, bin), combined on the map side, and adds the bins up. The smallest value of a bin
 is a candidate whose counts are exact; the others in it can't be better than a bound,
 so only bins whose bound reaches the best candidate are counted again by the next digit.
 
+Whole trees (``fit``): noisy data is cut off at its ends, so that a node loses few rows per level and there are about as many levels as
+attributes. A level of nodes beyond ``SUBTREE_ROWS`` rows is one job: tasks pack the values of their rows by (attribute, range
+of values), and one stream per attribute scans the ranges in order for all nodes at once, holding the classes left of
+the current range. A node of at most ``SUBTREE_ROWS`` rows is grown to its end by one task.
+
 A model is a table of nodes ``(tree, node, depth, n, hist, used, is_leaf, a, split,
 gini, label)``; ``node`` is the path from the root ``T`` (``TL``, ``TLR``, ...).
 """
@@ -35,8 +40,10 @@ SCAN_ROWS = 4096  # bins that one step counts per (node, attribute)
 RANGE_BITS = 16  # a range of the scan over all values holds at most 2**16 of them
 TIE = 1e-12  # bounds this close to the best candidate are looked into, whatever the rounding
 MOST_NODES = 1_000_000  # a model up to this size goes to the tasks as arrays, about 32 MB
-# Rows are written anew after this many levels; between them routing is a chain of lookups.
-REWRITE_LEVELS = 2
+SUBTREE_ROWS = 8192  # a node of at most so many rows is grown to its end by one task
+RANGE_ROWS = 65536  # about as many values of an attribute are scanned at once
+PACK_CELLS = 1 << 19  # about as many cells are packed at once
+BLOCK_CELLS = 1 << 17  # cells that a subtree's level works on at once
 
 NODE_KEY = ["tree", "node"]
 
@@ -407,6 +414,7 @@ _SPLIT_SCHEMA = """
 tree int, node string, depth int, n bigint, hist array<bigint>, a int, split double, gini double,
 lh array<bigint>, rh array<bigint>, l_stop boolean, r_stop boolean
 """
+_SPLIT_NAMES = ["tree", "node", "depth", "n", "hist", "a", "split", "gini", "lh", "rh", "l_stop", "r_stop"]
 MODEL_SCHEMA = """
 tree int, node string, depth int, is_leaf boolean, a int, split double, gini double, label int, n bigint,
 hist array<bigint>
@@ -419,41 +427,471 @@ def _children(splits: DataFrame) -> DataFrame:
     return splits.selectExpr("tree", both)
 
 
+def _feature_matrix(features: pa.Array, width: int) -> np.ndarray:
+    """Feature rows as a matrix of at least ``width`` columns; what a row lacks is NaN."""
+    values = features.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    sizes = pc.fill_null(pc.list_value_length(features), 0).to_numpy()
+    if (sizes == sizes.max(initial=0)).all() and sizes.max(initial=0) >= width:
+        return values.reshape(len(features), -1) if len(features) and sizes[0] else np.zeros((len(features), 0))
+    out = np.full((len(features), max(width, int(sizes.max(initial=0)))), np.nan)
+    row = np.repeat(np.arange(len(features)), sizes)
+    out[row, np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = values
+    return out
+
+
+def _descend(attribute: np.ndarray, split: np.ndarray, left: np.ndarray, right: np.ndarray, x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The node without an attribute (-1) that each row of ``x`` reaches from node ``at`` (-1 stays)."""
+    at = at.copy()
+    moving = np.flatnonzero((at >= 0) & (attribute[at] >= 0))
+    while len(moving):
+        node = at[moving]
+        goes_right = x[moving, attribute[node]] >= split[node]  # missing values (NaN) go left
+        at[moving] = np.where(goes_right, right[node], left[node])
+        moving = moving[attribute[at[moving]] >= 0]
+    return at
+
+
+def _gathered(batches, rows: int, names: tuple[str, ...], key: str | None = None):
+    """Tables of at least ``rows`` rows; with ``key`` rows of equal, adjacent keys stay together."""
+    held, n = [], 0
+    for batch in itertools.chain(batches, [None]):
+        if batch is not None:
+            held.append(batch.select(names))
+            n += len(batch)
+            if n < rows:
+                continue
+        if not n:
+            continue
+        table, held, n = pa.Table.from_batches(held).combine_chunks(), [], 0
+        if batch is not None and key:  # the last key may go on in the next batch
+            keys = table[key].to_numpy()
+            end = int(np.flatnonzero(keys != keys[-1])[-1]) + 1 if keys[0] != keys[-1] else 0
+            held, n = table.slice(end).to_batches(), len(table) - end
+            table = table.slice(0, end).combine_chunks()
+        if len(table):
+            yield table
+
+
+def _cells_of(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Matrix of values, number of cells of every row, labels, multiplicities."""
+    features = table["features"].combine_chunks()
+    sizes = pc.fill_null(pc.list_value_length(features), 0).to_numpy()
+    return _feature_matrix(features, width), sizes, table["label"].to_numpy().astype(np.int64), table["m"].to_numpy().astype(np.int64)
+
+
+def _gini_before(
+    no: np.ndarray, first: np.ndarray, key: np.ndarray, m: np.ndarray, held: np.ndarray, total: np.ndarray, classes: int,
+) -> np.ndarray:
+    """Impurity of a split before every position of every row of ``key``; infinite if a side is empty.
+
+    A row of ``key`` holds (node * ``classes`` + label) of sorted cells; ``no`` is their node and ``first`` the first position of each
+    node, the same in all rows. ``m`` are the multiplicities, ``held`` the (node, class) counts left of the first position,
+    ``total`` those of both sides. Counts are whole numbers until the last step, so equal splits are equal in every bit.
+    """
+    kind = np.uint16 if total.shape[1] <= 1 << 16 else np.int64
+    by_class = np.argsort(key.astype(kind), axis=1, kind="stable")
+    weight = np.take_along_axis(m, by_class, 1)
+    group = np.take_along_axis(key, by_class, 1)
+    own = _counted(key, m, total.shape[1])
+    offset = np.cumsum(own, axis=1) - own - held
+    seen = np.empty_like(m)  # rows of the same class on the left
+    np.put_along_axis(seen, by_class, np.cumsum(weight, axis=1) - weight - np.take_along_axis(offset, group, 1), 1)
+
+    def before(x, start):
+        sums = np.cumsum(x, axis=1) - x
+        return sums + (start - sums[:, first])[:, no]
+
+    per_node = [v.reshape(len(key), -1, classes) for v in (held, total)]
+    left = before(m, per_node[0].sum(2))
+    square = before(m * (2 * seen + m), (per_node[0] ** 2).sum(2))
+    cross = before(m * np.take_along_axis(total, key, 1), (per_node[0] * per_node[1]).sum(2))
+    right = per_node[1].sum(2)[:, no] - left
+    other_square = (per_node[1] ** 2).sum(2)[:, no] - 2 * cross + square
+    size, other = left.astype(float), right.astype(float)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gini = ((size - square / size) + (other - other_square / other)) / (size + other)
+    return np.where((left > 0) & (right > 0), gini, np.inf)
+
+
+def _counted(key: np.ndarray, m: np.ndarray, size: int) -> np.ndarray:
+    """Sums of ``m`` by ``key`` for every row."""
+    at = key + np.arange(len(key))[:, None] * size
+    return np.bincount(at.ravel(), weights=m.ravel(), minlength=len(key) * size).astype(np.int64).reshape(len(key), size)
+
+
+def _first_equal(values: np.ndarray, wanted: np.ndarray, no: np.ndarray, nodes: int) -> np.ndarray:
+    """Per node the first position whose value is the wanted one; a node that wants none has no meaning."""
+    hit = np.flatnonzero(values == wanted[no])
+    out = np.zeros(nodes, np.int64)
+    out[no[hit][::-1]] = hit[::-1]
+    return out
+
+
+class _Nodes:
+    """Nodes on the way to their rows: tree, path, depth and attributes that are used up."""
+
+    def __init__(self, names: list[tuple[int, str, int]], used: np.ndarray) -> None:
+        self.names, self.used = names, used
+
+    def __len__(self) -> int:
+        return len(self.names)
+
+    def take(self, which) -> "_Nodes":
+        return _Nodes([self.names[i] for i in which], self.used[which])
+
+    def children(self, parents: np.ndarray, sides: np.ndarray, a: np.ndarray) -> "_Nodes":
+        names = [(t, node + "LR"[side], depth + 1) for (t, node, depth), side in zip((self.names[p] for p in parents), sides)]
+        used = self.used[parents].copy()
+        used[np.arange(len(parents)), a[parents]] = True
+        return _Nodes(names, used)
+
+
+def _split_rows(nodes: _Nodes, which, a, split, gini, sides, stop) -> list[tuple]:
+    """Rows of ``_SPLIT_SCHEMA``; ``sides`` are class counts (node, side, class), ``stop`` flags (node, side)."""
+    hist = sides.sum(1)
+    return [
+        (*nodes.names[i], int(hist[i].sum()), hist[i].tolist(), int(a[i]), float(split[i]), float(gini[i]),
+         *sides[i].tolist(), *stop[i].tolist())
+        for i in which
+    ]
+
+
+def _stopped(sides: np.ndarray, nodes: _Nodes, minfreq: int, max_depth: int | None) -> np.ndarray:
+    """As ``_stops`` for class counts (node, side, class)."""
+    n = sides.sum(2)
+    stop = (n < minfreq) | (sides.max(2) == n)
+    if max_depth is not None:
+        stop |= np.array([depth + 1 >= max_depth for _, _, depth in nodes.names], bool)[:, None]
+    return stop
+
+
+def _grow(
+    x: np.ndarray, sizes: np.ndarray, label: np.ndarray, m: np.ndarray, at: np.ndarray, nodes: _Nodes,
+    minfreq: int, classes: int, max_depth: int | None,
+) -> list[tuple]:
+    """All splits below ``nodes``, whose rows are ``x`` (``at``: number of the node)."""
+    n, width = x.shape
+    values = np.ascontiguousarray(x.T)
+    order = np.argsort(values, axis=1, kind="stable")
+    ordered = np.take_along_axis(values, order, 1)
+    step = np.ones((width, n), np.int32)
+    step[:, 1:] = ordered[:, 1:] != ordered[:, :-1]
+    rank = np.empty((width, n), np.int32)
+    np.put_along_axis(rank, order, np.cumsum(step, axis=1, dtype=np.int32), 1)
+    missing = np.isnan(values)
+    if missing.any():  # they come first; what a row lacks counts for no side
+        rank[missing] = 0
+        rank[np.arange(width)[:, None] >= sizes] = -1
+        order = np.argsort(rank, axis=1, kind="stable")
+    del ordered, step, missing
+    found_rows = []
+    while len(nodes):
+        count = len(nodes)
+        code = at.astype(np.uint16 if count <= 1 << 16 else np.int64)
+        no = np.sort(at[order[0]])
+        first = np.searchsorted(no, np.arange(count))
+        best, a, at_rank, split = np.full(count, np.inf), np.zeros(count, np.int64), np.zeros(count, np.int64), np.zeros(count)
+        each = max(1, BLOCK_CELLS // order.shape[1])
+        for start in range(0, width, each):
+            block = slice(start, start + each)
+            o = order[block]
+            o = np.take_along_axis(o, np.argsort(code[o], axis=1, kind="stable"), 1)
+            order[block] = o
+            r = np.take_along_axis(rank[block], o, 1)
+            weight = np.where(r < 0, 0, m[o])
+            key = no * classes + label[o]
+            total = _counted(key, weight, count * classes)
+            gini = _gini_before(no, first, key, weight, np.zeros_like(total), total, classes)
+            gini[:, 1:][r[:, 1:] == r[:, :-1]] = np.inf
+            gini[nodes.used[:, block].T[:, no]] = np.inf
+            least = np.minimum.reduceat(gini, first, axis=1)
+            lowest = np.argmin(least, axis=0)  # the lowest attribute on a tie
+            least = least[lowest, np.arange(count)]
+            better = np.flatnonzero(least < best)
+            place = _first_equal(gini[lowest[no], np.arange(len(no))], least, no, count)
+            best[better], a[better] = least[better], start + lowest[better]
+            at_rank[better] = r[lowest[better], place[better]]
+            split[better] = values[a[better], o[lowest[better], place[better]]]
+        found = np.isfinite(best)
+        rows = order[0]
+        rows = rows[found[at[rows]]]
+        i = at[rows]
+        r = rank[a[i], rows]
+        child = 2 * i + (r >= at_rank[i])
+        sides = _counted((child * classes + label[rows])[None], np.where(r < 0, 0, m[rows])[None], 2 * count * classes).reshape(count, 2, classes)
+        stop = _stopped(sides, nodes, minfreq, max_depth)
+        found_rows += _split_rows(nodes, np.flatnonzero(found), a, split, best, sides, stop)
+        kept = np.flatnonzero((~stop & found[:, None]).ravel())
+        number = np.full(2 * count, -1)
+        number[kept] = np.arange(len(kept))
+        at = np.full(n, -1)
+        at[rows] = number[child]
+        order = order[at[order] >= 0].reshape(width, -1)
+        nodes = nodes.children(kept // 2, kept % 2, a)
+    return found_rows
+
+
+def _pack(batches, top: dict, number: np.ndarray, free: np.ndarray, cuts: list[np.ndarray], classes: int):
+    """Cells of the nodes of a level, sorted by value, one record per (attribute, range).
+
+    ``number`` has the node's number in the level (-1: none) by its number in ``top``, ``free`` the attributes (node, a) not yet used. Range -2
+    holds the class counts of all cells of an attribute, range -1 those of missing values. Multiplicities that are all 1 are left out.
+    """
+    width = free.shape[1]
+    for table in _gathered(batches, max(1, PACK_CELLS // max(1, width)), ("at", "label", "features", "m")):
+        x, sizes, label, m = _cells_of(table, width)
+        node = number[_descend(**top, x=x, at=table["at"].to_numpy())]
+        rows = np.flatnonzero(node >= 0)
+        out = []
+        for a in range(width):
+            mine = rows[(sizes[rows] > a) & free[node[rows], a]]
+            v, key, w = x[mine, a], node[mine] * classes + label[mine], m[mine]
+            sums = np.bincount(key, weights=w, minlength=len(free) * classes).astype(np.int64)
+            some = np.flatnonzero(sums)
+            if not len(some):
+                continue
+            out.append((a, -2, np.zeros(0), some, sums[some]))
+            if (missing := np.isnan(v)).any():
+                sums = np.bincount(key[missing], weights=w[missing], minlength=len(free) * classes).astype(np.int64)
+                some = np.flatnonzero(sums)
+                out.append((a, -1, np.zeros(0), some, sums[some]))
+                v, key, w = v[~missing], key[~missing], w[~missing]
+            order = np.argsort(v)
+            v, key, w = v[order], key[order], w[order]
+            if np.count_nonzero(v[1:] == v[:-1]) * 2 > len(v):  # frequent values are counted here
+                order = np.lexsort((key, v))
+                v, key, w = v[order], key[order], w[order]
+                begin = np.flatnonzero(np.append(True, (v[1:] != v[:-1]) | (key[1:] != key[:-1])))
+                v, key, w = v[begin], key[begin], np.add.reduceat(w, begin)
+            ends = [0, *np.searchsorted(v, cuts[a]), len(v)]
+            out += [(a, part, v[s:e], key[s:e], w[s:e]) for part, (s, e) in enumerate(zip(ends, ends[1:])) if s < e]
+        if out:
+            a, part, v, key, w = zip(*out)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(a, pa.int32()), pa.array(part, pa.int32()), *(
+                    pa.array([cells.astype(kind).tobytes() for cells in column], pa.binary())
+                    for column, kind in ((v, np.float64), (key, np.int32), ([x[:0] if (x == 1).all() else x for x in w], np.int64))
+                )
+            ], ["a", "part", "v", "key", "m"])
+
+
+_BEST = "node int, gini double, a int, split double, lh array<bigint>, rh array<bigint>"
+
+
+class _Scan:
+    """The best split of every node by one attribute, from its ranges in order."""
+
+    def __init__(self, nodes: int, classes: int) -> None:
+        self.classes = classes
+        self.total, self.held = np.zeros(nodes * classes, np.int64), np.zeros(nodes * classes, np.int64)
+        self.gini, self.split = np.full(nodes, np.inf), np.zeros(nodes)
+        self.left = np.zeros((nodes, classes), np.int64)
+
+    def add(self, part: int, v: np.ndarray, key: np.ndarray, m: np.ndarray) -> None:
+        if part < 0:
+            np.add.at(self.total if part == -2 else self.held, key, m)
+            return
+        classes, node = self.classes, key // self.classes
+        order = np.argsort(v, kind="stable")
+        order = order[np.argsort(node[order].astype(np.uint16 if len(self.gini) <= 1 << 16 else np.int64), kind="stable")]
+        v, key, m, node = v[order], key[order], m[order], node[order]
+        fresh = np.append(True, node[1:] != node[:-1])
+        first, no = np.flatnonzero(fresh), np.cumsum(fresh) - 1
+        here = node[first]  # nodes that have values in this range
+        short = (no * classes + key % classes)[None]
+        held, total = (x.reshape(-1, classes)[here].reshape(1, -1) for x in (self.held, self.total))
+        gini = _gini_before(no, first, short, m[None], held, total, classes)[0]
+        gini[1:][~fresh[1:] & (v[1:] == v[:-1])] = np.inf
+        least = np.minimum.reduceat(gini, first)
+        better = least < self.gini[here]  # the lowest value on a tie
+        place = _first_equal(gini, least, no, len(here))
+        self.gini[here[better]], self.split[here[better]] = least[better], v[place[better]]
+        before = np.arange(len(no)) < place[no]
+        left = held + _counted(short, np.where(before, m, 0)[None], held.shape[1])
+        self.left[here[better]] = left.reshape(-1, classes)[better]
+        self.held += np.bincount(key, weights=m, minlength=len(self.held)).astype(np.int64)
+
+    def found(self, a: int) -> pa.RecordBatch:
+        at = np.flatnonzero(np.isfinite(self.gini))
+        right = self.total.reshape(-1, self.classes) - self.left
+        return pa.RecordBatch.from_arrays([
+            pa.array(at, pa.int32()), pa.array(self.gini[at]), pa.array(np.full(len(at), a), pa.int32()), pa.array(self.split[at]),
+            *(pa.array(list(side[at]), pa.list_(pa.int64())) for side in (self.left, right)),
+        ], ["node", "gini", "a", "split", "lh", "rh"])
+
+
+def _scan_ranges(batches, nodes: int, classes: int):
+    """Best split per (node, attribute) from records of ``_pack``, sorted by attribute and range."""
+    records = (record for batch in batches for record in zip(batch["a"].to_pylist(), batch["part"].to_pylist(), batch["v"], batch["key"], batch["m"]))
+    for a, ranges in itertools.groupby(records, key=lambda record: record[0]):
+        scan = _Scan(nodes, classes)
+        for part, some in itertools.groupby(ranges, key=lambda record: record[1]):
+            cells = [[np.frombuffer(cell.as_buffer(), kind) for cell, kind in zip(r[2:], (np.float64, np.int32, np.int64))] for r in some]
+            v, key, m = (np.concatenate(c) for c in zip(*((v, key, m if len(m) else np.ones(len(key), np.int64)) for v, key, m in cells)))
+            scan.add(part, v, key.astype(np.int64), m)
+        yield scan.found(a)
+
+
+class _Top:
+    """The nodes of more than ``SUBTREE_ROWS`` rows and their children, on the driver: a few numbers per node.
+
+    There are at most as many per level as the rows hold ``SUBTREE_ROWS``.
+    """
+
+    def __init__(self) -> None:
+        self.attribute, self.split, self.left, self.right = [], [], [], []
+
+    def add(self) -> int:
+        for values, x in ((self.attribute, -1), (self.split, 0.0), (self.left, -1), (self.right, -1)):
+            values.append(x)
+        return len(self.attribute) - 1
+
+    def arrays(self) -> dict:
+        return {
+            "attribute": np.array(self.attribute, np.int64), "split": np.array(self.split),
+            "left": np.array(self.left, np.int64), "right": np.array(self.right, np.int64),
+        }
+
+
+def _level_splits(rows: DataFrame, top: _Top, at: list[int], nodes: _Nodes, cuts: list[np.ndarray], classes: int) -> list:
+    """The best split of each of ``nodes`` that has one; ``at`` are their numbers in ``top``. One job."""
+    arrays, count = top.arrays(), len(nodes)
+    number = np.full(len(arrays["split"]) + 1, -1)  # the last one is of rows that have no node
+    number[at] = np.arange(count)
+    free = ~nodes.used
+    packed = rows.mapInArrow(
+        lambda b: _pack(b, arrays, number, free, cuts, classes), "a int, part int, v binary, key binary, m binary"
+    )
+    dealt = packed.repartition(max(1, free.shape[1]), "a").sortWithinPartitions("a", "part")
+    found = dealt.mapInArrow(lambda b: _scan_ranges(b, count, classes), _BEST)
+    return found.groupBy("node").agg(F.expr("min(struct(gini, a, split, lh, rh)) AS best")).select("node", "best.*").collect()
+
+
+def _moved(rows: DataFrame, top: _Top, kept: list[int]) -> DataFrame:
+    """Rows that reach the nodes ``kept`` of ``top``, which become their ``at``."""
+    arrays = top.arrays()
+    stays = np.zeros(len(arrays["split"]) + 1, bool)  # the last one is of rows that have no node
+    stays[kept] = True
+    width = int(arrays["attribute"].max(initial=-1)) + 1
+
+    def run(batches):
+        for batch in batches:
+            at = _descend(**arrays, x=_feature_matrix(batch["features"], width), at=batch["at"].to_numpy())
+            on = pa.array(np.flatnonzero(stays[at]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(at).take(on), *(batch[c].take(on) for c in ("label", "features", "m"))], ["at", "label", "features", "m"]
+            )
+
+    return rows.mapInArrow(run, "at bigint, label int, features array<double>, m bigint")
+
+
+def _cut_points(rows: DataFrame, width: int, parts: int) -> list[np.ndarray]:
+    """Per attribute the values that divide it into about even ranges; any would give the same trees."""
+    if parts < 2:
+        return [np.zeros(0)] * width
+    cells = rows.select(F.posexplode("features").alias("a", "v")).selectExpr("a", f"{_present('v')} AS v").filter("v IS NOT NULL")
+    shares = [i / parts for i in range(1, parts)]
+    cuts = {r["a"]: np.unique(r["cuts"]) for r in cells.groupBy("a").agg(F.percentile_approx("v", shares, 10_000).alias("cuts")).collect()}
+    return [cuts.get(a, np.zeros(0)) for a in range(width)]
+
+
 def fit(
     rows: DataFrame, minfreq: int = MIN_FREQ, classes: int = CLASSES, max_depth: int | None = None,
     reduce: bool = True, scan_rows: int | None = None,
 ) -> DataFrame:
-    """Grow all trees of ``rows`` together, one job per level; returns the model.
+    """Grow all trees of ``rows`` together; returns the model.
 
     Each attribute is used at most once per path. A node whose remaining attributes are
-    all constant becomes a leaf. A level's splits are written before the next one starts.
+    all constant becomes a leaf. Nodes of more than ``scan_rows`` rows (``SUBTREE_ROWS``) are split level by level, one job per
+    level, in ranges of about ``scan_rows`` (``RANGE_ROWS``) values; the others are grown to their end, each by one task.
     """
     spark = rows.sparkSession
     roots, width = root_nodes(rows, classes, reduce)
     scratch = Scratch(spark, "tree")
-    rows = kept = scratch.table(with_ranges(rows, scan_rows), "rows")  # deleted when the next one is written
-    bits = rows.agg(F.max("bits")).first()[0] or digit_bits(scan_rows)
-    active = node_status(roots, minfreq, width, max_depth).filter("NOT stop")
-    rows = rows.join(active.select("tree", "node", "used"), "tree")
-    path, depth = scratch_path(spark, "splits"), 0
-    # A node without a free attribute finds no split, so it needs no test here.
-    stop = [_stops(h, minfreq, None, "", max_depth, "depth + 1") + f" AS {h[0]}_stop" for h in ("lh", "rh")]
-    while True:
-        found = find_splits(rows, classes, scan_rows, bits, scratch).selectExpr("*", "zip_with(lh, rh, (x, y) -> x + y) AS hist")
-        found = found.selectExpr(*NODE_KEY, f"{depth} AS depth", f"{_total('hist')} AS n", "hist", "a", "split", "gini", "lh", "rh")
-        found.selectExpr("*", *stop).drop("depth").write.parquet(f"{path}/depth={depth}")
-        splits = spark.read.schema(_SPLIT_SCHEMA).option("basePath", path).parquet(f"{path}/depth={depth}")
-        active = _children(splits).filter("NOT stop")
-        if active.isEmpty():
+    active = node_status(roots, minfreq, width, max_depth).filter("NOT stop AND tree IS NOT NULL").collect()  # one row per tree
+    used = np.zeros((len(active), width), bool)
+    for i, r in enumerate(active):
+        used[i, r["used"]] = True
+    top, most = _Top(), scan_rows or SUBTREE_ROWS
+    nodes, weights = _Nodes([(r["tree"], ROOT, 0) for r in active], used), [r["n"] for r in active]
+    at = [top.add() for _ in active]
+    total = sum(weights)
+    cores = spark.sparkContext.defaultParallelism
+    starts = spark.createDataFrame(list(zip([r["tree"] for r in active], at)), "tree int, at bigint")
+    # Each task holds a share of the rows for all levels; no order is needed.
+    dealt = rows.withColumn("label", F.col("label").cast("int")).join(F.broadcast(starts), "tree").select("at", "label", "features", "m")
+    base = scratch.table(dealt.repartition(cores * max(1, -(-total // RANGE_ROWS // cores))), "rows")
+    cuts = _cut_points(base, width, -(-total // (scan_rows or RANGE_ROWS))) if any(w > most for w in weights) else []
+    splits, small, small_nodes, moved = [], [], {}, total  # small: rows that were moved out of base
+
+    def sorted_out(at, nodes, weights):
+        """The nodes that go on level by level; the others are kept for the end."""
+        small_nodes.update({at[i]: nodes.take([i]) for i, w in enumerate(weights) if w <= most})
+        large = [i for i, w in enumerate(weights) if w > most]
+        return [at[i] for i in large], nodes.take(large), [weights[i] for i in large]
+
+    at, nodes, weights = sorted_out(at, nodes, weights)
+    while len(nodes):
+        found = sorted(_level_splits(base, top, at, nodes, cuts, classes), key=lambda r: r["node"])
+        which = np.array([r["node"] for r in found], np.int64)
+        if not len(which):
+            at, nodes, weights = [], nodes.take([]), []
             break
-        rows = branch(rows, splits.select(*NODE_KEY, "a", "split", "l_stop", "r_stop"))
-        depth += 1
-        if depth % REWRITE_LEVELS == 0:
-            rows = scratch.table(rows, "rows")
-            scratch.drop(kept)
-            kept = rows
-    splits = spark.read.schema(_SPLIT_SCHEMA).parquet(path)
-    return _model(roots, splits)
+        some = nodes.take(which)
+        a, split, gini = (np.array([r[c] for r in found]) for c in ("a", "split", "gini"))
+        sides = np.array([[r["lh"], r["rh"]] for r in found], np.int64).reshape(len(found), 2, classes)
+        stop = _stopped(sides, some, minfreq, max_depth)
+        splits += _split_rows(some, range(len(some)), a, split, gini, sides, stop)
+        new_at, parents, turns, new_weights = [], [], [], []
+        for i, node in enumerate(which):
+            here, right = at[node], int(sides[i, 1].sum())
+            top.attribute[here], top.split[here] = int(a[i]), float(split[i])
+            top.left[here], top.right[here] = top.add(), top.add()
+            for side, to, weight in ((0, top.left[here], weights[node] - right), (1, top.right[here], right)):
+                if not stop[i, side]:
+                    new_at, parents, turns, new_weights = [*new_at, to], [*parents, i], [*turns, side], [*new_weights, weight]
+        children = some.children(np.array(parents, np.int64), np.array(turns, np.int64), a)
+        at, nodes, weights = sorted_out(new_at, children, new_weights)
+        if sum(weights) * 2 < moved and len(nodes):  # rows of the other nodes need not be read again
+            small.append(scratch.table(_moved(base, top, list(small_nodes)), "small"))
+            base, old, moved = scratch.table(_moved(base, top, at), "rows"), base, sum(weights)
+            scratch.drop(old)
+    if small_nodes:
+        rest = _moved(base, top, list(small_nodes))  # rows that were not moved out before
+        for part in small:
+            rest = rest.unionByName(part)
+        parts = max(cores, 2 * total // SUBTREE_ROWS)
+        below = scratch.table(_subtrees(rest, small_nodes, parts, width, minfreq, classes, max_depth, most), "splits")
+        found = below.unionByName(spark.createDataFrame(splits, _SPLIT_SCHEMA)) if splits else below
+    else:
+        found = spark.createDataFrame(splits, _SPLIT_SCHEMA)
+    return _model(roots, found)
+
+
+def _subtrees(
+    rows: DataFrame, nodes: dict[int, _Nodes], parts: int, width: int, minfreq: int, classes: int, max_depth: int | None, most: int,
+) -> DataFrame:
+    """Splits (``_SPLIT_SCHEMA``) below ``nodes``, whose rows carry the number ``at``."""
+    shared = rows.sparkSession.sparkContext.broadcast(nodes)
+
+    def run(batches):
+        for table in _gathered(batches, most, ("at", "label", "features", "m"), "at"):
+            x, sizes, label, m = _cells_of(table, width)
+            numbers, at = np.unique(table["at"].to_numpy(), return_inverse=True)
+            mine = [shared.value[i] for i in numbers.tolist()]
+            start = _Nodes([name for n in mine for name in n.names], np.concatenate([n.used for n in mine]))
+            found = _grow(x[:, :width], sizes, label, m, at, start, minfreq, classes, max_depth)
+            if found:
+                columns = [pa.array(c, kind) for c, kind in zip(zip(*found), _SPLIT_TYPES)]
+                yield pa.RecordBatch.from_arrays(columns, _SPLIT_NAMES)
+
+    return rows.repartition(max(1, min(len(nodes), parts)), "at").sortWithinPartitions("at").mapInArrow(run, _SPLIT_SCHEMA)
+
+
+_COUNTS = pa.list_(pa.int64())
+_SPLIT_TYPES = [
+    pa.int32(), pa.string(), pa.int32(), pa.int64(), _COUNTS, pa.int32(), pa.float64(), pa.float64(), _COUNTS, _COUNTS, pa.bool_(), pa.bool_()
+]
 
 
 def _model(roots: DataFrame, splits: DataFrame) -> DataFrame:
@@ -496,26 +934,12 @@ class Walk:
 
     def labels(self, x: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Label of the leaf that each row of ``x`` reaches from node ``at`` (-1: no tree)."""
-        at = at.copy()
-        moving = np.flatnonzero((at >= 0) & (self.attribute[at] >= 0))
-        while len(moving):
-            node = at[moving]
-            right = x[moving, self.attribute[node]] >= self.split[node]  # missing values (NaN) go left
-            at[moving] = np.where(right, self.right[node], self.left[node])
-            moving = moving[self.attribute[at[moving]] >= 0]
+        at = _descend(self.attribute, self.split, self.left, self.right, x, at)
         return np.where(at >= 0, self.label[at], -1)
 
     def matrix(self, features: pa.Array) -> np.ndarray:
         """Feature rows as far as the model reads them; what a row lacks is NaN."""
-        width = int(self.attribute.max(initial=-1)) + 1
-        values = features.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-        sizes = pc.fill_null(pc.list_value_length(features), 0).to_numpy()
-        if (sizes == sizes.max(initial=0)).all() and sizes.max(initial=0) >= width:
-            return values.reshape(len(features), -1) if len(features) and sizes[0] else np.zeros((len(features), 0))
-        out = np.full((len(features), max(width, int(sizes.max(initial=0)))), np.nan)
-        row = np.repeat(np.arange(len(features)), sizes)
-        out[row, np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = values
-        return out
+        return _feature_matrix(features, int(self.attribute.max(initial=-1)) + 1)
 
 
 def compiled(model: DataFrame, most_nodes: int = MOST_NODES) -> Walk | None:

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -270,3 +271,82 @@ def test_walk_over_odd_feature_arrays(spark):
     nothing = T.predict(model, rows.withColumn("tree", F.lit(9)))
     assert {r["pred"] for r in nothing.collect()} == {None}
     assert T.predict(model, rows.limit(0)).count() == 0
+
+
+def jobs_of(spark, run):
+    spark.sparkContext.setJobGroup(name := f"counted-{random.random()}", "counted")
+    try:
+        out = run()
+    finally:
+        spark.sparkContext.setJobGroup("others", "not counted")
+    return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+
+def test_a_deep_tree_takes_few_jobs(spark):
+    """Every level cuts off a little, so there are as many levels as attributes; only large nodes cost jobs per level."""
+    width = 12
+    rows = [(i % 10, tuple(1 if a == i else 0 for a in range(width))) for i in range(width)] * 3
+    frame = T.single_tree(rows_of(spark, rows))
+    want = grow(rows, 2)
+    model, jobs = jobs_of(spark, lambda: T.fit(frame, minfreq=2))
+    assert table_of(model) == want and max(len(n) for n in want) > 9
+    assert jobs <= 40
+    model, more = jobs_of(spark, lambda: T.fit(frame, minfreq=2, scan_rows=8))
+    assert table_of(model) == want
+    assert more <= jobs + 7 * 8
+
+
+def odd_rows(n, seed):
+    """Missing values, short and missing arrays, infinite and frequent values, both zeros."""
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(n):
+        f = [rnd.choice([None, float("nan"), 0.0, -0.0, 1.0, rnd.random(), float("-inf"), float("inf")]), rnd.random(), float(rnd.randrange(3)), -rnd.random()]
+        f = None if rnd.random() < 0.04 else f[:rnd.randrange(4)] if rnd.random() < 0.15 else f
+        rows.append((i, rnd.randrange(3) if rnd.random() < 0.6 or not f or len(f) < 2 else int(f[1] * 4), f))
+    return rows
+
+
+def nodes_of(model):
+    return sorted((tuple(map(repr, (r["tree"], r["node"], r["a"], r["label"], r["n"], r["hist"], (r["split"] or 0) + 0.0, r["gini"]))) for r in model.collect()))
+
+
+def test_odd_rows_give_the_same_tree_by_levels_and_by_subtrees(spark):
+    """One step of ``find_splits`` is the independent answer for the root."""
+    rows = spark.createDataFrame(odd_rows(300, 3), "row_id bigint, label int, features array<double>")
+    frame = T.single_tree(rows)
+    whole, levels = T.fit(frame, 10, reduce=False), T.fit(frame, 10, reduce=False, scan_rows=40)
+    assert nodes_of(whole) == nodes_of(levels) and whole.count() > 9
+    step = T.find_splits(T.at_root(T.with_ranges(frame))).first()
+    top = whole.filter("node = 'T'").first()
+    assert [top[c] for c in ("a", "split", "gini")] == [step[c] for c in ("a", "split", "gini")]
+    assert top["hist"] == [x + y for x, y in zip(step["lh"], step["rh"])]
+    forests = [nodes_of(R.fit(rows, 3, 10, scan_rows=n)) for n in (None, 25)]
+    assert forests[0] == forests[1]
+    two = [nodes_of(T.fit(frame, 10, max_depth=2, scan_rows=n)) for n in (None, 25)]
+    assert two[0] == two[1] and max(len(r[1]) for r in two[0]) == 5
+
+
+@pytest.mark.parametrize("rows", [1, 4, 100])
+def test_rows_of_a_key_stay_together(rows):
+    keys = [0, 0, 1, 1, 1, 1, 1, 2, 3, 3]
+    batches = pa.table({"k": keys, "x": list(range(10)), "y": keys}).to_batches(max_chunksize=2)
+    parts = list(T._gathered(iter(batches), rows, ("k", "x"), "k"))
+    assert [x for p in parts for x in p["x"].to_pylist()] == list(range(10)) and parts[0].column_names == ["k", "x"]
+    found = [set(p["k"].to_pylist()) for p in parts]
+    assert sum(map(len, found)) == len(set(keys))
+
+
+def test_frequent_values_are_counted_before_they_move():
+    """One value of half of the rows is one record cell per task, node and class."""
+    n = 4000
+    x = [[1.0 if i % 2 else float(i % 8)] for i in range(n)]
+    table = pa.table({"at": [0] * n, "label": pa.array([i % 2 for i in range(n)], pa.int32()), "features": x, "m": [1] * n})
+    top = T._Top()
+    top.add()
+    nodes = np.array([0, -1])
+    packed = list(T._pack(iter(table.to_batches()), top.arrays(), nodes, np.ones((1, 1), bool), [np.array([2.0])], 2))
+    cells = {p: len(np.frombuffer(v, np.float64)) for p, v in zip(packed[0]["part"].to_pylist(), packed[0]["v"].to_pylist())}
+    assert cells == {-2: 0, 0: 2, 1: 3}
+    found = next(T._scan_ranges(iter(packed), 1, 2)).to_pylist()
+    assert [(r["a"], r["split"], r["lh"], r["rh"]) for r in found] == [(0, 2.0, [500, 2000], [1500, 0])]
