@@ -350,3 +350,18 @@ def test_frequent_values_are_counted_before_they_move():
     assert cells == {-2: 0, 0: 2, 1: 3}
     found = next(T._scan_ranges(iter(packed), 1, 2)).to_pylist()
     assert [(r["a"], r["split"], r["lh"], r["rh"]) for r in found] == [(0, 2.0, [500, 2000], [1500, 0])]
+
+
+@pytest.mark.parametrize("name", ["dt_predict", "eval_accuracy", "eval_confusion", "eval_confusion_pivot", "forest_votes", "forest_vote"])
+def test_queries_of_deep_trees_take_few_jobs(spark, tmp_path, name):
+    """A chain of levels, each with one value of its own: jobs do not grow with the levels."""
+    rows = [(i, i % 10, [1.0 if a == i % 12 else 0.0 for a in range(12)]) for i in range(240)]
+    spark.createDataFrame(rows, "vec_id bigint, label int, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    found, jobs = jobs_of(spark, lambda: tree_queries.QUERIES[name](spark, str(tmp_path)).collect())
+    assert jobs <= 60
+    right = {"dt_predict": 240, "eval_accuracy": 1, "eval_confusion": 100, "eval_confusion_pivot": 10, "forest_votes": 720, "forest_vote": 240}
+    assert len(found) == right[name]
+    if name == "dt_predict":
+        used = [dict(enumerate(f)) for _, _, f in rows]
+        nodes = grow([(label, tuple(f)) for _, label, f in rows], tree_queries.MIN_FREQ)
+        assert {r["row_id"]: r["pred"] for r in found} == {i: walk(nodes, f) for (i, _, _), f in zip(rows, used)}
